@@ -398,6 +398,8 @@ def with_views(sql: str) -> str:
                 todo.append(body)
     if not needed:
         return sql
+    if sql.lstrip().startswith("with "):
+        sql = f"select * from (\n{sql}\n) as q"
     # views are defined before they are used, so definition order is a valid order
     parts = [f"{name} as ({VIEWS[name].strip()})" for name in VIEWS if name in needed]
     return "with " + ",\n".join(parts) + "\n" + sql

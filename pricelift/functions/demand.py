@@ -30,12 +30,14 @@ def lerner_elasticity(elasticity: ColumnLike) -> Column:
 def linear_demand(
     price: ColumnLike, base_price: ColumnLike, level: ColumnLike, elasticity: ColumnLike
 ) -> Column:
-    """Unrounded demand at ``price``: the level at base price times the linear response."""
-    p, b, level_at_base = col(price), col(base_price), col(level)
-    change = ratio(p - b, b)
-    return F.when(change.isNull(), level_at_base).otherwise(
-        level_at_base * (F.lit(1.0) + clamp_elasticity(elasticity) * change)
-    )
+    """Unrounded demand at ``price``: the level at base price times the linear response to a
+    clamped elasticity.
+
+    Without a base price there is nothing to compare with and the level holds.
+    """
+    p, b = col(price), col(base_price)
+    change = F.coalesce(ratio(p - b, b), F.lit(0.0))
+    return col(level) * (F.lit(1.0) + col(elasticity) * change)
 
 
 def rounded_demand(
@@ -51,12 +53,12 @@ def power_demand(price: ColumnLike, base_price: ColumnLike, level: ColumnLike, e
 
 
 def best_price(cost: ColumnLike, base_price: ColumnLike, elasticity: ColumnLike) -> Column:
-    """Price in the allowed interval with the highest profit.
+    """Price in the allowed interval with the highest profit, for a clamped elasticity.
 
     (p - c) (1 + e (p - b) / b) is a concave parabola in p for e < 0, so its peak is
     (c + b (1 - 1/e)) / 2, moved to the nearer end when it lies outside the interval.
     """
-    c, b, e = col(cost), col(base_price), clamp_elasticity(elasticity)
+    c, b, e = col(cost), col(base_price), col(elasticity)
     lower = c * F.lit(MIN_MARKUP)
     upper = b * F.lit(MAX_MARKUP)
     upper = F.when(lower >= upper, lower * F.lit(1.2)).otherwise(upper)

@@ -40,7 +40,6 @@ def prompt_text(
 ) -> Column:
     """Request for an explanation of one price, built from eight signals."""
     change = F.coalesce(col(change_pct), F.lit(0.0))
-    sign = F.when(change < 0, "").otherwise("+")
     lines = [
         F.lit("Explain this retail price to a manager. Answer only with JSON holding explanation,"
               " confidence_label (High, Medium or Low), confidence_pct (0-100) and reasoning."),
@@ -48,7 +47,7 @@ def prompt_text(
         F.concat(F.lit("department="), F.coalesce(col(department), F.lit("General"))),
         F.concat(F.lit("current=$"), money_text(F.coalesce(col(current), F.lit(0.0)))),
         F.concat(F.lit("recommended=$"), money_text(F.coalesce(col(recommended), F.lit(0.0)))),
-        F.concat(F.lit("change="), sign, F.format_string("%.1f", change), F.lit("%")),
+        F.concat(F.lit("change="), F.format_string("%+.1f", change), F.lit("%")),
         F.concat(F.lit("sensitivity="), F.coalesce(col(sensitivity), F.lit("Medium"))),
         F.concat(F.lit("stock="), F.coalesce(col(urgency), F.lit("Normal"))),
         F.when(col(uplift).isNull(), F.lit("uplift=not comparable, expiry markdown")).otherwise(
@@ -58,12 +57,12 @@ def prompt_text(
     return F.concat_ws("\n", *lines)
 
 
-def without_fences(text: ColumnLike) -> Column:
-    """Drop one leading and one trailing code fence around a reply."""
-    opened = F.regexp_replace(F.trim(_flat(text)), r"^```(json)?", "")
-    return F.trim(F.regexp_replace(F.trim(opened), r"```$", ""))
+def stripped(text: ColumnLike) -> Column:
+    """Without white space at both ends (``trim`` only removes blanks)."""
+    return F.regexp_replace(col(text), r"^\s+|\s+$", "")
 
 
-def _flat(text: ColumnLike) -> Column:
-    # trim() only removes blanks, so line breaks and tabs at the ends go first
-    return F.regexp_replace(col(text), r"^\s+|\s+$", "")
+def without_fences(text: ColumnLike) -> Column:
+    """Drop one leading and one trailing code fence around a reply."""
+    opened = F.regexp_replace(stripped(text), r"^```(json)?", "")
+    return stripped(F.regexp_replace(stripped(opened), r"```$", ""))

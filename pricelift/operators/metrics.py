@@ -60,8 +60,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], cells: in
     grid = [i / cells for i in range(1, cells)]
     cuts = known.agg(F.percentile_approx("v", grid, 10000).alias("cuts")).scalar()
     values = (
-        known.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("cell", F.size(F.filter(cuts, lambda c: c < F.col("v"))))
+        known.groupBy("v").agg(F.count(F.lit(1)).alias("n")).withColumn("cuts", cuts)
+        .select("v", "n", F.size(F.filter("cuts", lambda c: c < F.col("v"))).alias("cell"))
     )
     whole = Window.partitionBy(F.lit(0))  # at most ``cells`` rows
     per_cell = values.groupBy("cell").agg(F.sum("n").alias("cell_n")).withColumns({

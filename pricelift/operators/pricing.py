@@ -42,13 +42,16 @@ def lookup_defaults(lookup: DataFrame) -> DataFrame:
         "baseline_demand": _or(out, "baseline_demand", F.lit(0.0), "double"),
         "seasonal_factor": _or(out, "seasonal_factor", F.lit(1.0), "double"),
     }
-    return out.withColumns(filled)
+    # the two factors of every demand figure, worked out once per row
+    level = F.greatest(F.lit(0.0), F.col("baseline_demand")) * F.col("seasonal_factor")
+    return out.withColumns(filled).withColumns(
+        {"demand_level": level, "clamped_elasticity": demand.clamp_elasticity("price_elasticity")}
+    )
 
 
 def demand_at(price: Column | str) -> Column:
     """Whole units at a price, for a row that went through ``lookup_defaults``."""
-    level = F.greatest(F.lit(0.0), F.col("baseline_demand")) * F.col("seasonal_factor")
-    return demand.rounded_demand(price, "base_price", level, "price_elasticity")
+    return demand.rounded_demand(price, "base_price", "demand_level", "clamped_elasticity")
 
 
 def demand_at_price(df: DataFrame, price_col: str, alias: str = "demand") -> DataFrame:
@@ -61,33 +64,28 @@ def optimize_price(lookup: DataFrame) -> DataFrame:
     cost, base, current = F.col("cost_price"), F.col("base_price"), F.col("current_price")
     floor = cost * F.lit(demand.MIN_MARKUP)
     markup = F.greatest(round_to(base * F.lit(1.10), 2), floor)
-    df = df.withColumn("_markup", markup)
-    markup_profit = (F.col("_markup") - cost) * demand_at("_markup")
-    current_profit = (current - cost) * demand_at(current)
+    low = F.col("price_sensitivity_category") == "Low"
+    not_worth_it = (markup - cost) * demand_at(markup) < (current - cost) * demand_at(current)
+    expiring = F.col("expiry_risk_flag") == 1
 
-    best = demand.best_price(cost, base, "price_elasticity")
-    best = F.when(F.col("stock_urgency_category") == "Critical", F.least(best, base * F.lit(1.15))).otherwise(best)
+    # least() skips nulls, so the scarcity cap only counts for critical stock
+    cap = F.when(F.col("stock_urgency_category") == "Critical", base * F.lit(1.15))
+    best = F.least(demand.best_price(cost, base, "clamped_elasticity"), cap)
     best = F.least(F.greatest(best, floor), base * F.lit(demand.MAX_MARKUP))
 
-    method = (
-        F.when(
-            F.col("price_sensitivity_category") == "Low",
-            F.when(markup_profit < current_profit, "inelastic_no_change").otherwise("inelastic_markup"),
-        )
-        .when(F.col("expiry_risk_flag") == 1, retail.EXPIRY_METHOD)
-        .otherwise("elasticity_optimized")
-    )
-    df = df.withColumn("optimization_method", method)
+    # both columns test the inputs, not each other: filters on either stay small when
+    # Catalyst pushes them down
     price = (
-        F.when(F.col("optimization_method") == "inelastic_no_change", round_to(current, 2))
-        .when(F.col("optimization_method") == "inelastic_markup", F.col("_markup"))
-        .when(
-            F.col("optimization_method") == retail.EXPIRY_METHOD,
-            round_to(F.greatest(cost * F.lit(1.02), base * F.lit(0.75)), 2),
-        )
+        F.when(low, F.when(not_worth_it, round_to(current, 2)).otherwise(markup))
+        .when(expiring, round_to(F.greatest(cost * F.lit(1.02), base * F.lit(0.75)), 2))
         .otherwise(round_to(best, 2))
     )
-    return df.withColumn("recommended_price", price).drop("_markup")
+    method = (
+        F.when(low, F.when(not_worth_it, "inelastic_no_change").otherwise("inelastic_markup"))
+        .when(expiring, retail.EXPIRY_METHOD)
+        .otherwise("elasticity_optimized")
+    )
+    return df.withColumns({"recommended_price": price, "optimization_method": method})
 
 
 def score_prices(priced: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -115,7 +113,18 @@ def score_prices(priced: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         round_to(ratio("profit_uplift", "current_profit") * F.lit(100.0), 1), F.lit(0.0)
     )
     df = df.withColumn("profit_uplift_pct", F.when(~expiry, pct))
-    return df.select(*RESULT_COLUMNS, *keep)
+    return settled(df.select(*RESULT_COLUMNS, *keep))
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Have every row worked out once.
+
+    Catalyst pushes a filter below a projection by repeating the projected expression in
+    it; for prices that repeats the whole decision per filter, until the code no longer
+    compiles.  It does not push filters through a generator, so the row travels in a
+    one-element array.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
 
 def price_products(lookup: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -175,9 +175,9 @@ def parse_explanation(replies: DataFrame, column: str = "reply") -> DataFrame:
     parsed = replies.withColumn(
         "_j", F.from_json(body, fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     )
-    # from_json also takes arrays for a struct, so the body has to open as an object
+    # from_json also reads an array of objects, so the body has to open as one object
     usable = body.startswith("{") & F.col("_j").isNotNull() & F.col("_j._bad").isNull()
-    raw = F.regexp_replace(F.col(column), r"^\s+|\s+$", "")
+    raw = text.stripped(column)
     fallback = F.col("fallback") if "fallback" in replies.columns else F.lit(None).cast("string")
 
     def filled(name):
