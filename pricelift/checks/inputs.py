@@ -85,9 +85,10 @@ def edge_results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pricing_input(spark: SparkSession, sf: str) -> DataFrame:
-    elastic = lerner(spark, sf)
-    response = elastic.select("product_id", F.col("avg_price_elasticity").alias("price_elasticity"))
-    return batch.pricing_input(td.sales(spark, sf), td.catalog(spark, sf), elastic, response)
+    response = elasticity(spark, sf).select(
+        "product_id", "price_sensitivity_category", F.col("avg_price_elasticity").alias("price_elasticity")
+    )
+    return batch.pricing_input(td.sales(spark, sf), td.catalog(spark, sf), response)
 
 
 def shop_results(spark: SparkSession, sf: str) -> DataFrame:

@@ -49,6 +49,9 @@ def expiry_risk(perishable: ColumnLike, shelf_life: ColumnLike, days: int = PERI
     return F.when((col(perishable) == 1) & (col(shelf_life) < days), 1).otherwise(0)
 
 
+STOCK_CATEGORIES = ("Critical", "Low", "Normal")
+
+
 def stock_category(inventory_ratio: ColumnLike, low: float = 0.2, high: float = 0.7) -> Column:
     r = col(inventory_ratio)
     return F.when(r < low, "Critical").when(r > high, "Low").otherwise("Normal")

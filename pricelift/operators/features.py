@@ -7,6 +7,8 @@ order lines.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,15 +142,32 @@ def business_features(df: DataFrame) -> DataFrame:
     return price_gap(out)
 
 
-def product_lookup(master: DataFrame) -> DataFrame:
+def _mode_of(name: str, levels: Sequence[str]) -> Column:
+    """Mode over known levels from one counter each; smallest level on ties, null if none."""
+    counts = [
+        F.struct(F.count_if(F.col(name) == level).alias("n"), F.lit(-i).alias("rank"), F.lit(level).alias("level"))
+        for i, level in enumerate(sorted(levels))
+    ]
+    top = F.greatest(*counts)
+    return F.when(top["n"] > 0, top["level"])
+
+
+def product_lookup(master: DataFrame, levels: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """One row per product: mean of every number, most frequent of everything else
-    (smallest on ties, nulls ignored).  One aggregate, combined map-side."""
+    (smallest on ties, nulls ignored).  One aggregate, combined map-side.
+
+    A column with declared ``levels`` is counted level by level: that stays in the fast
+    hash aggregate, while a general mode keeps a map of values per product.
+    """
+    known = levels or {}
     aggs = []
     for field in master.schema.fields:
         if field.name == "product_id":
             continue
         if isinstance(field.dataType, T.NumericType):
             aggs.append(stable_mean(field.name).alias(field.name))
+        elif field.name in known:
+            aggs.append(_mode_of(field.name, known[field.name]).alias(field.name))
         else:
             aggs.append(F.mode(field.name, deterministic=True).alias(field.name))
     return master.groupBy("product_id").agg(*aggs)

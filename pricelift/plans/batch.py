@@ -67,31 +67,34 @@ def lookup_with_demand(
     return join_dim(lookup, seasonal, "product_id")
 
 
-def pricing_input(sales: DataFrame, catalog: DataFrame, elastic: DataFrame, optimal: DataFrame) -> DataFrame:
-    """The columns of the wide table that pricing needs, without the rest of it."""
-    shelf = catalog.select("product_id", "shelf_life_days", "is_perishable")
-    category = elastic.select("product_id", "price_sensitivity_category")
-    response = optimal.select("product_id", "price_elasticity")
+def pricing_input(sales: DataFrame, catalog: DataFrame, response: DataFrame) -> DataFrame:
+    """The columns of the wide table that pricing needs, without the rest of it.
+
+    ``response`` holds product_id, price_sensitivity_category and price_elasticity.
+    Sales collapse first; the joins then run on one row per product, and names come from
+    the catalog instead of being looked for in every sale.
+    """
     rows = sales.select(
-        "product_id", "product_name", "department", "base_price", "cost_price", "current_price",
-        "inventory_level", "inventory_ratio", "units_sold",
+        "product_id", "base_price", "cost_price", "current_price", "inventory_level",
+        "inventory_ratio", "units_sold",
+        retail.stock_category("inventory_ratio").alias("stock_urgency_category"),
     )
-    lookup = rows.withColumn("stock_urgency_category", retail.stock_category("inventory_ratio"))
-    # collapse first: the three joins then run on one row per product, not on every sale
-    lookup = features.product_lookup(lookup)
-    for dim in (shelf, category, response):
-        lookup = join_dim(lookup, dim, "product_id")
-    return lookup.withColumn(
-        "expiry_risk_flag", retail.expiry_risk("is_perishable", "shelf_life_days")
-    ).withColumn("baseline_demand", F.col("units_sold").cast("double"))
+    lookup = features.product_lookup(rows, {"stock_urgency_category": retail.STOCK_CATEGORIES})
+    names = catalog.select("product_id", "product_name", "department", "shelf_life_days", "is_perishable")
+    lookup = join_dim(join_dim(lookup, names, "product_id"), response, "product_id")
+    return lookup.withColumns({
+        "expiry_risk_flag": retail.expiry_risk("is_perishable", "shelf_life_days"),
+        "baseline_demand": F.col("units_sold").cast("double"),
+    })
 
 
 def department_gains(sales: DataFrame, catalog: DataFrame) -> DataFrame:
     """Which departments gain most from repricing: sales -> weekly -> elasticity -> price."""
     weekly = features.weekly_features(features.weekly_demand(sales))
-    elastic = elasticity.lerner_price(elasticity.elasticity_table(weekly, catalog))
-    response = elastic.select("product_id", F.col("avg_price_elasticity").alias("price_elasticity"))
-    results = pricing.price_products(pricing_input(sales, catalog, elastic, response))
+    response = elasticity.elasticity_table(weekly, catalog).select(
+        "product_id", "price_sensitivity_category", F.col("avg_price_elasticity").alias("price_elasticity")
+    )
+    results = pricing.price_products(pricing_input(sales, catalog, response))
     return reports.uplift_by(results, "department")
 
 
