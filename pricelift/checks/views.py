@@ -15,7 +15,7 @@ def rnd(expr: str, digits: int) -> str:
 
 def mean(expr: str) -> str:
     """Order-independent mean."""
-    return f"(cast(sum(cast({expr} as decimal(28,8))) as double) / cast(count({expr}) as double))"
+    return f"avg(round_even(cast({expr} as double) * 16777216e0, 0) / 16777216e0)"
 
 
 def units_at(price: str) -> str:

@@ -42,14 +42,20 @@ def clip(value: ColumnLike, low: float | None = None, high: float | None = None)
     return F.when(v.isNotNull(), out)
 
 
+# Grid of the order-independent mean: sums of multiples of 2^-24 are exact in a double
+# while they stay below 2^29.
+MEAN_GRID = float(2**24)
+
+
 def stable_mean(value: ColumnLike) -> Column:
-    """Mean whose bits do not depend on the order in which shuffle blocks arrive.
+    """Mean that does not depend on the order in which shuffle blocks arrive.
 
-    The sum runs on DECIMAL, which is associative; a rerun after a lost executor
-    therefore gives the same price.  Nulls, NaN and infinities are left out.
+    Values are put on a grid of 2^-24 first; sums of grid values are exact, so a rerun
+    after a lost executor gives the same price.  Larger sums round like any double sum.
+    Nulls and NaN are left out.
     """
-    exact = col(value).try_cast("decimal(28,8)")
-    return F.try_divide(F.sum(exact).cast("double"), F.count(exact).cast("double"))
+    v = F.nanvl(col(value).cast("double"), F.lit(None).cast("double"))
+    return F.avg(F.rint(v * F.lit(MEAN_GRID)) / F.lit(MEAN_GRID))
 
 
 def band(value: ColumnLike, edges: Sequence[float], labels: Sequence[str]) -> Column:

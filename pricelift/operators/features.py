@@ -164,7 +164,9 @@ def product_lookup(master: DataFrame, levels: Mapping[str, Sequence[str]] | None
     for field in master.schema.fields:
         if field.name == "product_id":
             continue
-        if isinstance(field.dataType, T.NumericType):
+        if isinstance(field.dataType, T.IntegralType):
+            aggs.append(F.avg(field.name).alias(field.name))
+        elif isinstance(field.dataType, T.NumericType):
             aggs.append(stable_mean(field.name).alias(field.name))
         elif field.name in known:
             aggs.append(_mode_of(field.name, known[field.name]).alias(field.name))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.numeric import finite
+from ..session import ensure_checkpoint_dir
 
 
 def naive_forecast(train: DataFrame, test: DataFrame, target: str = "units_sold") -> DataFrame:
@@ -48,23 +49,31 @@ def worst_products(per_product: DataFrame, threshold: float = 30.0, n: int = 15)
     )
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], cells: int = 256) -> DataFrame:
-    """Exact quantiles (linear interpolation) in one row, columns ``q0``, ``q1``, ...
+def counted_values(df: DataFrame, value: str) -> DataFrame:
+    """Distinct values ``v`` with their counts ``n``, written once.
+
+    The figures below need several passes; the checkpoint (in the cluster's shared folder)
+    keeps the plan behind ``df`` from running once per pass.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    known = df.select(finite(value).alias("v")).filter(F.col("v").isNotNull())
+    return known.groupBy("v").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+
+
+def quantiles_of(values: DataFrame, probs: Sequence[float], cells: int = 256) -> DataFrame:
+    """Exact quantiles (linear interpolation) of counted values, as ``q0``, ``q1``, ...
 
     ``percentile`` would gather every distinct value in one task.  Here a sketch cuts the
     values into about equal cells; the counts of the cells show which few of them hold
     the wanted ranks, and only those are put in order, each in its own task.
     """
-    v = finite(value)
-    known = df.select(v.alias("v")).filter(F.col("v").isNotNull())
     grid = [i / cells for i in range(1, cells)]
-    cuts = known.agg(F.percentile_approx("v", grid, 10000).alias("cuts")).scalar()
-    values = (
-        known.groupBy("v").agg(F.count(F.lit(1)).alias("n")).withColumn("cuts", cuts)
-        .select("v", "n", F.size(F.filter("cuts", lambda c: c < F.col("v"))).alias("cell"))
+    cuts = values.agg(F.percentile_approx("v", grid, 10000).alias("cuts")).scalar()
+    placed_in = values.withColumn("cuts", cuts).select(
+        "v", "n", F.size(F.filter("cuts", lambda c: c < F.col("v"))).alias("cell")
     )
     whole = Window.partitionBy(F.lit(0))  # at most ``cells`` rows
-    per_cell = values.groupBy("cell").agg(F.sum("n").alias("cell_n")).withColumns({
+    per_cell = placed_in.groupBy("cell").agg(F.sum("n").alias("cell_n")).withColumns({
         "before": F.sum("cell_n").over(whole.orderBy("cell")) - F.col("cell_n"),
         "total": F.sum("cell_n").over(whole),
     })
@@ -79,7 +88,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], cells: in
         for rank in (low, high):
             inside = inside | ((rank >= F.col("before")) & (rank < F.col("before") + F.col("cell_n")))
     in_cell = Window.partitionBy("cell").orderBy("v")
-    placed = values.join(per_cell.filter(inside), "cell").withColumn(
+    ranked = placed_in.join(per_cell.filter(inside), "cell").withColumn(
         "start", F.col("before") + F.sum("n").over(in_cell) - F.col("n")
     )
     picks = []
@@ -89,7 +98,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], cells: in
             hit = (rank >= F.col("start")) & (rank < F.col("start") + F.col("n"))
             picks.append(F.max(F.when(hit, F.col("v"))).alias(f"{tag}{i}"))
         picks.append(F.max(at - low).alias(f"w{i}"))
-    row = placed.agg(*picks)
+    row = ranked.agg(*picks)
     return row.select(*[
         (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"w{i}")).alias(f"q{i}")
         for i in range(len(probs))
@@ -98,14 +107,19 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], cells: in
 
 def describe_col(df: DataFrame, value: str, above: float = 30.0) -> DataFrame:
     """Count, mean, deviation, minimum, quartiles, maximum, and the rows above a limit."""
-    quartiles = exact_quantiles(df, value, (0.25, 0.5, 0.75))
-    packed = quartiles.select(F.struct("q0", "q1", "q2").alias("q")).scalar()
-    basic = df.agg(
-        F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"), F.max(value).alias("max"),
-        F.count_if(F.col(value) > above).alias("n_above"),
+    values = counted_values(df, value)
+    quartiles = quantiles_of(values, (0.25, 0.5, 0.75)).select(F.struct("q0", "q1", "q2").alias("q")).scalar()
+    v, n = F.col("v"), F.col("n")
+    rows = F.sum("n").cast("double")
+    centre = values.agg((F.sum(v * n) / rows).alias("m")).scalar()
+    spread = values.withColumn("off", v - centre).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
+        (F.sum(v * n) / rows).alias("mean"),
+        F.when(rows > 1, F.sqrt(F.sum(F.col("off") * F.col("off") * n) / (rows - 1))).alias("std"),
+        F.min("v").alias("min"), F.max("v").alias("max"),
+        F.coalesce(F.sum(F.when(v > above, n)), F.lit(0)).alias("n_above"),
     )
-    return basic.withColumn("_q", packed).select(
+    return spread.withColumn("_q", quartiles).select(
         "count", "mean", "std", "min", F.col("_q.q0").alias("p25"), F.col("_q.q1").alias("p50"),
         F.col("_q.q2").alias("p75"), "max", "n_above",
     )

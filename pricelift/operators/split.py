@@ -31,7 +31,8 @@ def row_digest(keys: Sequence[str]) -> Column:
 def _holding(counts: DataFrame, order: str, rank: int) -> tuple[object, int]:
     """Group that holds the rank-th row of ordered group counts, and the rows before it.
 
-    ``counts`` is small by construction: one row per date, or 4,096 digest cells."""
+    ``counts`` is small by construction: one row per date, 65,536 digest cells,
+    or the keys of one such cell."""
     w = Window.partitionBy(F.lit(0)).orderBy(order)
     running = counts.withColumn("_end", F.sum("n").over(w))
     row = running.filter((F.col("_end") >= rank) & (F.col("_end") - F.col("n") < rank)).first()
@@ -44,8 +45,8 @@ def split_point(
     """Where to cut so that the older part has int(rows x fraction) rows.
 
     Rows are ordered by (date, digest of the key).  Counts per date give the date of the
-    cut; counts per digest prefix inside that date narrow it 4,096-fold twice, and what is
-    left is a handful of keys.  Only counts reach the driver, and no task sorts a whole
+    cut; counts per digest prefix inside that date narrow it 65,536-fold, and only the keys
+    of one prefix are put in order.  Only counts reach the driver, and no task sorts a whole
     date, even one that holds a third of all rows.
     """
     dates = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("n")).filter(F.col(date_col).isNotNull())
@@ -57,7 +58,7 @@ def split_point(
     rank -= before
     inside = df.filter(F.col(date_col) == F.lit(day)).select(row_digest(keys).alias("digest"))
     prefix = ""
-    for width in (3, 6, 32):
+    for width in (4, 32):
         cells = (
             inside.filter(F.col("digest").startswith(prefix))
             .groupBy(F.substring("digest", 1, width).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
