@@ -90,7 +90,6 @@ def main() -> None:
     spark = build_session("bench", f"local[{CPUS}]", **{
         "spark.ui.enabled": "false", "spark.driver.memory": "16g",
         "spark.sql.shuffle.partitions": str(max(8, int(CPUS))), "spark.log.level": "ERROR",
-        "spark.python.sql.dataFrameDebugging.enabled": "false",
     })
     spark.sparkContext.setLogLevel("ERROR")
     work = tempfile.mkdtemp(prefix="run-bench-", dir="/tmp")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from . import inputs as x
 from .base import Check
 from ..operators import features, joins
-from ..plans.master import build_master
+from ..plans.master import build_master, build_master_busy
 from ..operators import clean
 from ..sources import testdata as td
 
@@ -34,21 +34,28 @@ def _requests(spark, sf):
     return joins.point_lookup(asked, results)
 
 
-def _master(spark, sf):
+def _master(spark, sf, build=build_master):
     t = x.derived(spark, sf)
-    return build_master(
+    return build(
         clean.clean_sales(td.sales_full(spark, sf)), clean.clean_catalog(td.catalog_full(spark, sf)),
         clean.clean_elasticity(t.elasticity), t.optimal, clean.clean_forecast(t.forecast),
     )
 
 
+_MASTER_COLUMNS = (
+    "product_id", "date", "year_month", "product_name_opt", "department_elas", "current_price_opt", "aisle",
+    "moving_avg_7day", "demand_volatility", "total_units_sold", "weekend_demand_boost", "festival_demand_multiplier",
+    "price_sensitivity_category", "sensitivity_encoded", "price_elasticity", "predicted_units_avg",
+    "competitor_price_gap", "expiry_risk_flag", "stock_urgency_category",
+)
+
+
 def _master_slim(spark, sf):
-    return _master(spark, sf).select(
-        "product_id", "date", "year_month", "product_name_opt", "department_elas", "current_price_opt", "aisle",
-        "moving_avg_7day", "demand_volatility", "total_units_sold", "weekend_demand_boost", "festival_demand_multiplier",
-        "price_sensitivity_category", "sensitivity_encoded", "price_elasticity", "predicted_units_avg",
-        "competitor_price_gap", "expiry_risk_flag", "stock_urgency_category",
-    )
+    return _master(spark, sf).select(*_MASTER_COLUMNS)
+
+
+def _busy_slim(spark, sf):
+    return _master(spark, sf, build_master_busy).select(*_MASTER_COLUMNS)
 
 
 def _by_name(spark, sf):
@@ -108,7 +115,7 @@ CHECKS = [
         from price_events where event_id % 3 <> 0""", doubles="current_price cost_price", dates="date"),
     Check("distinct_products", lambda s, d: joins.distinct_products(td.sales(s, d)), """
         select product_id, min(product_name) as product_name from sales group by product_id"""),
-    Check("build_master", _master_slim, """
+    *[Check(key, plan, """
         select s.product_id, s.date, strftime(s.date, '%Y-%m') as year_month, o.product_name as product_name_opt,
                l.department as department_elas, o.current_price as current_price_opt, c.aisle,
                avg(s.units_sold) over w as moving_avg_7day, coalesce(stddev_samp(s.units_sold) over w, 0) as demand_volatility,
@@ -135,5 +142,6 @@ CHECKS = [
                    from sales_full group by product_id) b on b.product_id = s.product_id
         window w as (partition by s.product_id order by s.date rows between 6 preceding and current row)""",
         doubles="current_price_opt moving_avg_7day demand_volatility weekend_demand_boost festival_demand_multiplier"
-                " price_elasticity predicted_units_avg competitor_price_gap", dates="date"),
+                " price_elasticity predicted_units_avg competitor_price_gap", dates="date")
+      for key, plan in (("build_master", _master_slim), ("build_master_busy", _busy_slim))],
 ]

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from . import inputs as x
 from .base import Check
-from ..functions import retail
 from ..operators import reports
 
 _GOOD = "edge_results where optimization_method <> 'expiry_discount'"
@@ -36,13 +35,6 @@ def _replies(results):
     return results.select("product_id", reply.alias("reply"), F.lit("fallback text").alias("fallback"))
 
 
-def _scenario(results):
-    """Reads like the header of the results page: labels and counts per recommendation."""
-    return results.groupBy(retail.recommendation_label("recommended_price", "current_price").alias("recommendation")).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
-
-
 CHECKS = [
     Check("kpi_totals", _r(reports.kpi_totals), """
         select coalesce(sum(profit_uplift) filter (where optimization_method <> 'expiry_discount'), 0) as total_uplift,
@@ -68,9 +60,6 @@ CHECKS = [
     Check("method_counts", _r(lambda r: reports.value_counts(r, "optimization_method")), """
         select optimization_method, count(*) as n_rows, count(*) * 100.0::double / sum(count(*)) over () as share_pct
         from edge_results group by optimization_method""", doubles="share_pct"),
-    Check("recommendation_counts", _r(_scenario), """
-        select case when recommended_price > current_price then 'Increase' when recommended_price < current_price then 'Decrease'
-               else 'No Change' end as recommendation, count(*) as n_rows from edge_results group by 1"""),
     Check("urgency_crosstab", _r(lambda r: reports.crosstab(r, "department", "stock_urgency_category", STOCK_LEVELS)), """
         select department, count(*) filter (where stock_urgency_category = 'Critical') as "Critical",
                count(*) filter (where stock_urgency_category = 'Low') as "Low",

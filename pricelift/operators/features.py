@@ -112,6 +112,18 @@ def with_conditional_ratio(
     return df.withColumn(alias, _guarded_ratio(on, off, default))
 
 
+def product_figures(sales: DataFrame) -> DataFrame:
+    """Total units, weekend boost and festival multiplier per product, in one aggregate."""
+    def means(flag: str) -> tuple[Column, Column]:
+        return _conditional(flag, "units_sold", 1), _conditional(flag, "units_sold", 0)
+
+    return sales.groupBy("product_id").agg(
+        F.sum("units_sold").alias("total_units_sold"),
+        _guarded_ratio(*means("is_weekend"), None).alias("weekend_demand_boost"),
+        _guarded_ratio(*means("festival_flag"), 1.0).alias("festival_demand_multiplier"),
+    )
+
+
 def forecast_summary(forecast: DataFrame) -> DataFrame:
     """One row per product, so that the join cannot fan out."""
     return forecast.groupBy("product_id").agg(

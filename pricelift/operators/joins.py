@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def rename_collisions(left: DataFrame, right: DataFrame, on: str, suffix: str) -> DataFrame:
+def rename_collisions(
+    left: DataFrame | Sequence[str], right: DataFrame, on: str, suffix: str
+) -> DataFrame:
     """``right`` with the columns that ``left`` also has suffixed; the key keeps its name."""
-    taken = set(left.columns) - {on}
+    names = left.columns if isinstance(left, DataFrame) else left
+    taken = set(names) - {on}
     return right.select([F.col(c).alias(c + suffix if c in taken else c) for c in right.columns])
 
 

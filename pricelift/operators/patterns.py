@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions import retail
 from ..functions.numeric import round_to
-from .joins import enrich_lines
+from .joins import distinct_products
 
 
 def purchase_patterns(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Order counts, reorder rate, cart position, usual hour and day, loyalty and frequency.
 
-    The join with orders and products only adds columns, so the per-product aggregate
-    combines map-side; hour and day have 24 and 7 values, which bounds their modes.
+    Lines meet their orders by order id, then combine map-side per product; names are
+    added to the one row per product, so a product with a third of all lines never has
+    its lines in one task.  Hour and day have 24 and 7 values, which bounds their modes.
     """
-    merged = enrich_lines(lines, orders, products)
-    stats = merged.groupBy("product_id").agg(
-        F.min("product_name").alias("product_name"),
+    attributes = orders.select("order_id", "order_dow", "order_hour_of_day", "days_since_prior_order")
+    stats = lines.join(attributes, "order_id", "left").groupBy("product_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.count(F.lit(1)).alias("total_units"),
         F.avg("reordered").alias("reorder_rate"),
@@ -27,6 +27,7 @@ def purchase_patterns(lines: DataFrame, orders: DataFrame, products: DataFrame)
         F.mode("order_dow", deterministic=True).alias("peak_day"),
         F.avg("days_since_prior_order").alias("avg_days_between_orders"),
     )
+    stats = stats.join(distinct_products(products), "product_id", "left")
     loyalty = round_to(retail.loyalty_index("reorder_rate", "avg_cart_position"), 1)
     return stats.withColumn("loyalty_index", loyalty).withColumns({
         "purchase_frequency": retail.frequency_band("total_orders"),

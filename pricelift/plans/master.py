@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 
 from ..operators import features
-from ..operators.joins import join_dim
+from ..operators.joins import join_dim, rename_collisions
 
 
 def build_master(
     sales: DataFrame, catalog: DataFrame, elasticity: DataFrame, optimal: DataFrame, forecast: DataFrame,
     optimal_key: str = "product_id",
 ) -> DataFrame:
-    """76 columns per sales row, from cleaned tables.
+    """76 columns per sales row, from cleaned tables unique per product and day.
 
     Sales are exchanged on product_id once: the rolling windows, the product total, the
     weekend and festival ratios and every dimension join reuse that partitioning and its
-    sort.  The dimensions are product grain.  Joining ``optimal`` by product_name is
-    possible but refused when names repeat.
+    sort.  A product has one row per day at most, so no task can be overrun.  Joining
+    ``optimal`` by product_name is possible but refused when names repeat.
     """
     master = features.rolling_features(sales)
     master = features.with_total(master)
@@ -32,3 +34,25 @@ def build_master(
     return features.business_features(master)
 
 
+def build_master_busy(
+    sales: DataFrame, catalog: DataFrame, elasticity: DataFrame, optimal: DataFrame, forecast: DataFrame,
+    order: tuple[str, ...] = ("date", "transaction_id"),
+) -> DataFrame:
+    """The same table from sales with many rows per product and day.
+
+    One product may then hold a third of all rows.  Windows run per product and month with
+    the rows before it, totals and ratios come from a map-side aggregate, and all product
+    tables are joined with each other first: sales meet them in a single join, whose hot
+    partitions AQE splits.
+    """
+    rolled = features.rolling_features_split(sales, order=order)
+    # features.product_figures has a row for every product in sales, so nothing is lost by
+    # joining the other product tables to it
+    parts = [features.product_figures(sales)]
+    taken = [*rolled.columns, *parts[0].columns]
+    for table, suffix in ((catalog, "_cat"), (elasticity, "_elas"), (optimal, "_opt"), (features.forecast_summary(forecast), "")):
+        renamed = rename_collisions(taken, table, "product_id", suffix)
+        taken += renamed.columns
+        parts.append(renamed)
+    product = reduce(lambda left, right: left.join(right, "product_id", "left"), parts)
+    return features.business_features(rolled.join(product, "product_id", "left"))

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 # UTC keeps event windows and ISO weeks the same on every cluster.  AQE sizes the
 # shuffles and splits skewed join partitions at run time.
 SETTINGS = {
+    # the call site of every column would be recorded, some milliseconds each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

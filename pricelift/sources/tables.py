@@ -42,8 +42,14 @@ def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
     fmt: str = "parquet",
 ) -> None:
-    """Write from every task; the number of files follows the data, never one forced file."""
-    writer = df.write.format(fmt).mode(mode)
+    """Write from every task; the number of files follows the data, never one forced file.
+
+    A partitioned write first rebalances by the partition columns: otherwise every task
+    would leave a small file in every partition.  AQE splits a partition that holds much
+    of the data and merges small ones.
+    """
+    spread = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = spread.write.format(fmt).mode(mode)
     if fmt == "csv":
         writer = writer.option("header", "true")
     if partition_by:

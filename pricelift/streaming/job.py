@@ -21,8 +21,9 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one micro-batch into its own partition folder.
 
-    A batch that is run again after a failure replaces what it wrote the first time."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    A batch that is run again after a failure replaces what it wrote the first time.  The
+    rebalance keeps the number of files in step with the size of the batch."""
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:

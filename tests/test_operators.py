@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricelift.operators import clean, elasticity, features, forecast, joins, metrics, patterns, pricing, quality, reports, split
-from pricelift.plans.master import build_master
+from pricelift.plans.master import build_master, build_master_busy
 from pricelift.sources import testdata as td
 
 D = dt.date
@@ -480,6 +480,19 @@ def test_master_exchanges_sales_once(spark, small, tmp_path):
     assert "CartesianProduct" not in executed(master) and "BroadcastNestedLoopJoin" not in executed(master)
 
 
+def test_busy_master_equals_the_plain_one(spark, small):
+    from pricelift.checks import inputs
+    from pricelift.checks.base import comparable
+
+    t = inputs.derived(spark, small)
+    tables = (td.sales_full(spark, small), td.catalog_full(spark, small), clean.clean_elasticity(t.elasticity), t.optimal, t.forecast)
+    plain, busy = build_master(*tables), build_master_busy(*tables)
+    assert set(plain.columns) == set(busy.columns)
+    columns = ["product_id", "date", "moving_avg_7day", "demand_volatility", "total_units_sold", "weekend_demand_boost",
+               "festival_demand_multiplier", "product_name_opt", "department_elas", "predicted_units_avg", "competitor_price_gap"]
+    assert rows(comparable(busy.select(columns)), "product_id", "date") == rows(comparable(plain.select(columns)), "product_id", "date")
+
+
 def test_no_python_and_no_cross_join_in_any_plan(spark, small):
     from pricelift.checks.registry import all_checks
 
