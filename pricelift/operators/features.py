@@ -37,8 +37,17 @@ def rolling_features(sales: DataFrame, rows: int = 7, value: str = "units_sold")
     })
 
 
+CHUNK = "_chunk"
+
+
+def with_chunk(sales: DataFrame, chunk_format: str = "yyyy-MM") -> DataFrame:
+    """Add the stretch of time a row belongs to; rows without a date form the first one."""
+    return sales.withColumn(CHUNK, F.coalesce(F.date_format("date", chunk_format), F.lit("")))
+
+
 def rolling_features_split(
-    sales: DataFrame, rows: int = 7, value: str = "units_sold", order: tuple[str, ...] = ("date",)
+    sales: DataFrame, rows: int = 7, value: str = "units_sold", order: tuple[str, ...] = ("date",),
+    chunk_format: str = "yyyy-MM", keep_chunk: bool = False,
 ) -> DataFrame:
     """``rolling_features`` for input with many rows per product and day.
 
@@ -49,7 +58,7 @@ def rolling_features_split(
     supply enough rows are left out.
     """
     keep = rows - 1
-    chunked = sales.withColumn("_chunk", F.date_format("date", "yyyy-MM"))
+    chunked = with_chunk(sales, chunk_format)
     latest_first = [F.col(c).desc() for c in order]
     in_chunk = Window.partitionBy("product_id", "_chunk").orderBy(*latest_first)
     slots = ["product_id", "_chunk", *order, value]
@@ -75,7 +84,7 @@ def rolling_features_split(
             f"moving_avg_{rows}day": F.avg(value).over(w),
             "demand_volatility": F.coalesce(F.stddev_samp(value).over(w), F.lit(0.0)),
         })
-        .filter(~F.col("_halo")).drop("_chunk", "_halo")
+        .filter(~F.col("_halo")).drop("_halo", *([] if keep_chunk else [CHUNK]))
     )
 
 

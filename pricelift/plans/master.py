@@ -40,19 +40,20 @@ def build_master_busy(
 ) -> DataFrame:
     """The same table from sales with many rows per product and day.
 
-    One product may then hold a third of all rows.  Windows run per product and month with
-    the rows before it, totals and ratios come from a map-side aggregate, and all product
-    tables are joined with each other first: sales meet them in a single join, whose hot
-    partitions AQE splits.
+    One product may then hold a third of all rows.  Sales are exchanged once, on product
+    and month: the windows run there with the rows before the month, and the product
+    tables, joined with each other and laid out per product and month, meet sales under
+    the same partitioning.  Totals and ratios come from a map-side aggregate.
     """
-    rolled = features.rolling_features_split(sales, order=order)
-    # features.product_figures has a row for every product in sales, so nothing is lost by
-    # joining the other product tables to it
+    rolled = features.rolling_features_split(sales, order=order, keep_chunk=True)
     parts = [features.product_figures(sales)]
     taken = [*rolled.columns, *parts[0].columns]
     for table, suffix in ((catalog, "_cat"), (elasticity, "_elas"), (optimal, "_opt"), (features.forecast_summary(forecast), "")):
-        renamed = rename_collisions(taken, table, "product_id", suffix)
-        taken += renamed.columns
-        parts.append(renamed)
+        parts.append(rename_collisions(taken, table, "product_id", suffix))
+        taken += parts[-1].columns
+    # the figures have a row for every product in sales, so left joins lose nothing
     product = reduce(lambda left, right: left.join(right, "product_id", "left"), parts)
-    return features.business_features(rolled.join(product, "product_id", "left"))
+    months = features.with_chunk(sales.select("product_id", "date")).select("product_id", features.CHUNK).distinct()
+    by_month = months.join(product, "product_id", "left")
+    joined = rolled.join(by_month, ["product_id", features.CHUNK], "left").drop(features.CHUNK)
+    return features.business_features(joined)
