@@ -112,7 +112,7 @@ def main() -> None:
     orders = stored("orders", features.days_since_prior(td.orders(spark, SF_DIR)))
     lines = stored("lines", td.order_lines(spark, SF_DIR))
     products = td.products(spark, SF_DIR)
-    raw_events = stored("events", td.event_json(spark, SF_DIR))
+    raw_events = stored("events", td.event_json(spark, SF_DIR).repartition(int(CPUS)))
 
     def master():
         return build_master(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .numeric import ColumnLike, col
 
+# The words an explanation falls back to.
 UNAVAILABLE = "Unavailable"
 RULE_REASONING = "Rule-based summary; no analyst explanation was available."
 NO_REASONING = "No specific reasoning was returned."
