@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelift.llm import bpe, html_text, licenses, packing, quality, sharding
+from pricelift.llm import bpe, html_text, jaccard, licenses, packing, quality, sharding, toxicity
 from pricelift.llm.common import ship, table
 from pricelift.llm.sql import LICENSE_SQL, QUALITY_SQL, SHARDING_SQL
 
@@ -17,10 +17,20 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
@@ -47,7 +57,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op3_license_scan": op3_license_scan,
+        "op4_jaccard": op4_jaccard,
         "op5_html_text": op5_html_text,
         "op6_packing": op6_packing,
         "op8_bpe": op8_bpe,
