@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelift.llm import bpe, html_text, jaccard, licenses, packing, quality, sharding, toxicity
-from pricelift.llm.common import ship, table
-from pricelift.llm.sql import LICENSE_SQL, QUALITY_SQL, SHARDING_SQL
+from pricelift.llm import ann, bpe, html_text, jaccard, licenses, packing, quality, sharding, toxicity, warc
+from pricelift.llm.common import scratch, ship, table
+from pricelift.llm.sql import LICENSE_SQL, QUALITY_SQL, SHARDING_SQL, WARC_SQL
 
 
 def vocabulary(name: str) -> str:
@@ -22,6 +22,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -41,6 +46,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return warc.round_trip(table(spark, sf_dir, "pages"), scratch(spark, "archives"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return bpe.token_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
@@ -58,10 +68,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_ann": op2_ann,
         "op3_license_scan": op3_license_scan,
         "op4_jaccard": op4_jaccard,
         "op5_html_text": op5_html_text,
         "op6_packing": op6_packing,
+        "op7_warc": op7_warc,
         "op8_bpe": op8_bpe,
         "op9_quality": op9_quality,
         "op10_sharding": op10_sharding,
@@ -69,4 +81,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": LICENSE_SQL, "op9_quality": QUALITY_SQL, "op10_sharding": SHARDING_SQL}
+    return {"op3_license_scan": LICENSE_SQL, "op7_warc": WARC_SQL, "op9_quality": QUALITY_SQL, "op10_sharding": SHARDING_SQL}

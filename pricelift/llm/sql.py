@@ -97,3 +97,29 @@ select sized.doc_id, size, text_crc32, 'key' as law, shard,
        grown_shard
 from sized join settled on sized.doc_id is not distinct from settled.doc_id
 """
+
+WARC_SQL = """
+with sized as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
+), marked as (
+  select *, max(page_id) over (partition by payload_digest) as original from sized
+)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 1000 and page_id <> original then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 1000 and page_id <> original then original end as refers_to
+from marked
+"""
+
+#: Not registered: sums of doubles in another order differ in the last places.  The tests compare with a tolerance.
+ANN_SQL = """
+with v as (
+  select vec_id, embedding::double[] as e from embeddings
+  where embedding is not null and vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs as (
+  select q.vec_id as query_id, c.vec_id, list_cosine_similarity(q.e, c.e) as score
+  from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+from pairs qualify rank <= 5
+"""
