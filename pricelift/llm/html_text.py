@@ -34,6 +34,8 @@ ENDS_PARAGRAPH = BLOCK - frozenset("html body td th tr tbody thead tfoot legend
 SMOOTHING = 1.0
 #: Share of the mean smoothed ratio that a line must reach to be content.
 CONTENT_SHARE = 0.5
+#: Share of that threshold that the unsmoothed ratio of the first and the last content line must reach.
+EDGE_SHARE = 0.2
 
 
 class Lines(HTMLParser):
@@ -132,14 +134,19 @@ def content_lines(lines: list[tuple[str, int, int, bool, bool]]) -> list[str]:
         inside = [n for n in inside if lines[n][4]]
     if not inside:
         return []
-    ratios = smooth(np.array([lines[n][1] / max(1, lines[n][2]) for n in inside]))
-    content = ratios >= CONTENT_SHARE * ratios.mean()
+    raw = np.array([lines[n][1] / max(1, lines[n][2]) for n in inside])
+    ratios = smooth(raw)
+    least = CONTENT_SHARE * ratios.mean()
+    content = ratios >= least
     if any(lines[n][4] for n in inside):
         # one article is one region
         content[:] = content.any()
     else:
-        chosen = np.flatnonzero(content)
-        content[chosen[0] : chosen[-1] + 1] = True
+        # smoothing lifts a list of links next to long paragraphs; it cannot begin or end the region
+        chosen = np.flatnonzero(content & (raw >= EDGE_SHARE * least))
+        content[:] = False
+        if len(chosen):
+            content[chosen[0] : chosen[-1] + 1] = True
     return [lines[n][0] for n, keep in zip(inside, content, strict=True) if keep]
 
 

@@ -489,6 +489,8 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     rows = stored(shared_keys(signatures(docs, size, percent)), "shingle-rows")
     documents = rows.filter("k is not null").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "c", "d")
     reps = documents.filter("n_shingles > 0 and doc_id is not null").groupBy("c", "d").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
+    # written, so that the last join exchanges both of its sides and a set with very many copies can be split
+    reps = stored(reps, "sets")
     parts = connected_components(rows.filter("k is null").select("a", "b"), "partitions")
     members = reps.join(parts, F.col("rep") == F.col("node")).select("node", "n", F.col("component").alias("part"))
     tasks = stored(assigned(members, percent), "comparisons")
