@@ -146,7 +146,7 @@ class WarcReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         fs, root = filesystem(self.path)
         out: list[InputPartition] = []
-        for info in sorted(fs.get_file_info(pafs.FileSelector(root, recursive=True)), key=lambda i: i.path):
+        for info in sorted(fs.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True)), key=lambda i: i.path):
             if info.type == pafs.FileType.File and info.path.endswith(".warc.gz"):
                 out += [Stretch(info.path, at, min(info.size, at + self.split)) for at in range(0, info.size, self.split)]
         return out
@@ -170,7 +170,9 @@ class WarcReader(DataSourceReader):
             at += max(1, len(window) - 4096) if len(window) > 4096 else len(window) or 1
         return size
 
-    def read(self, partition: Stretch) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Stretch | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # without archives Spark asks for one empty partition
+            return
         fs, _ = filesystem(self.path)
         names = self.schema.fieldNames()
         payload = "payload" in names and (not self.columns or "payload" in self.columns)
