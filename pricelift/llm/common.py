@@ -54,8 +54,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package, once per application."""
+    """Give the executors' Python workers this package, once per application, and bound their Arrow batches."""
     context = spark.sparkContext
+    # texts may be long: the usual 10,000 of them at a time are too many for a small executor
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     if context.applicationId in _SHIPPED:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

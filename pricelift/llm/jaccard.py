@@ -26,7 +26,7 @@ from pricelift.llm.common import stored
 from pricelift.llm.components import connected_components
 
 #: Keys a task combines at a time.
-KEY_BUFFER = 2_000_000
+KEY_BUFFER = 500_000
 #: Sets and shingles to a cell of a partition; larger partitions are compared cell against cell.
 CELL_SETS = 1024
 CELL_SHINGLES = 2_000_000

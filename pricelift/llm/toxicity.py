@@ -108,7 +108,7 @@ class Restorer:
 
     def __init__(self, model: np.ndarray):
         self.cost = (-model).tolist()
-        self.words = Memo(self._restore)
+        self.words = Memo(self.read)
 
     def _readings(self, text: str, at: int) -> list[tuple[str, float]]:
         char = text[at]
@@ -148,7 +148,8 @@ class Restorer:
             link = link[1]
         return "".join(reversed(out))
 
-    def _restore(self, token: str) -> tuple[str, ...]:
+    def read(self, token: str) -> tuple[str, ...]:
+        """The words behind a token."""
         bare = _EDGE.sub("", token) if not token.isalpha() else token
         # a sign at the edge may stand for a letter; trailing full stops and the like never do
         if bare and token[0] in "@$" and token[1:2].isalpha():
@@ -159,13 +160,17 @@ class Restorer:
             return (bare,)
         return tuple(w for w in re.split(r"[\W\d_]+", self.decode(bare)) if w)
 
-    def restore(self, text: str) -> Iterator[tuple[str, ...]]:
-        """The restored words of every token of a text."""
-        text = text.lower()
+    def apart(self, text: str) -> Iterator[tuple[str, ...]]:
+        """The words behind runs of single characters in a lower-case text."""
         if _APART.search(text):
             for run in _APART.findall(text):
                 if any(c.isalpha() for c in run):
                     yield tuple(w for w in re.split(r"[\W\d_]+", self.decode(run)) if len(w) > 1)
+
+    def restore(self, text: str) -> Iterator[tuple[str, ...]]:
+        """The restored words of every run of single characters, then of every token."""
+        text = text.lower()
+        yield from self.apart(text)
         yield from map(self.words.__getitem__, text.split())
 
 
@@ -189,22 +194,22 @@ class Evidence:
     def __init__(self, language: np.ndarray, weights: dict[str, float]):
         self.restorer = Restorer(language)
         self.weights = weights
-        self.words = Memo(self._weigh)
+        self.tokens = Memo(lambda token: self.weigh(self.restorer.read(token)))
 
-    def _weigh(self, words: tuple[str, ...]) -> float:
-        return max((self.weights.get(f, 0.0) for w in words for f in word_features(w)), default=0.0)
+    def weigh(self, words: tuple[str, ...]) -> tuple:
+        """() for most words, else the words and their weight: what is remembered of a token stays small."""
+        weight = max((self.weights.get(f, 0.0) for w in words for f in word_features(w)), default=0.0)
+        return (words, weight) if weight else ()
 
     def measure(self, text: str | None) -> tuple[float, float, float]:
         if not text:
             return 0.0, 0.0, 0.0
-        weigh, found, hits, total = self.words, {}, 0, 0
-        for words in self.restorer.restore(text):
-            total += 1
-            weight = weigh[words]
-            if weight:
-                hits += 1
-                found[words] = weight
-        return float(np.log1p(sum(found.values()))), float(np.log1p(hits)), min(1.0, 10.0 * hits / max(1, total))
+        text = text.lower()
+        tokens = text.split()
+        hits = [h for h in map(self.tokens.__getitem__, tokens) if h]
+        hits += [h for run in self.restorer.apart(text) if (h := self.weigh(run))]
+        found = dict(hits)
+        return float(np.log1p(sum(found.values()))), float(np.log1p(len(hits))), min(1.0, 10.0 * len(hits) / max(1, len(tokens)))
 
 
 def fold(doc_id: Column) -> Column:
