@@ -26,7 +26,9 @@ from pricelift.llm.common import stored
 from pricelift.llm.components import connected_components
 
 #: Keys a task combines at a time.
-KEY_BUFFER = 500_000
+KEY_BUFFER = 1_000_000
+#: Ranges of keys to a shuffle partition.
+RANGES = 4
 #: Sets and shingles to a cell of a partition; larger partitions are compared cell against cell.
 CELL_SETS = 1024
 CELL_SHINGLES = 2_000_000
@@ -134,44 +136,59 @@ class Slices:
         return each[large] if len(each) - large.sum() < spare else each
 
 
-ROWS = pa.schema([("k", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64())])
-ROWS_DDL = "k long, a long, b long, c long, d long"
+ROWS = pa.schema([("p", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64()), ("keys", pa.binary()), ("nodes", pa.binary())])
+ROWS_DDL = "p int, a long, b long, c long, d long, keys binary, nodes binary"
 
 
-def _rows(k=None, a=None, b=None, c=None, d=None) -> pa.RecordBatch:
-    n = next(len(x) for x in (k, a, b, c, d) if x is not None)
-    arrays = [pa.nulls(n, pa.int64()) if x is None else pa.array(x, pa.int64()) for x in (k, a, b, c, d)]
-    return pa.RecordBatch.from_arrays(arrays, schema=ROWS)
+def _rows(p=None, a=None, b=None, c=None, d=None, keys=None, nodes=None) -> pa.RecordBatch:
+    columns = (p, a, b, c, d, keys, nodes)
+    n = next(len(x) for x in columns if x is not None)
+    return pa.RecordBatch.from_arrays([pa.nulls(n, f.type) if x is None else pa.array(x, f.type) for x, f in zip(columns, ROWS, strict=True)], schema=ROWS)
 
 
-def _pieces(batch: pa.RecordBatch, rows: int = 100_000) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def planes(values: np.ndarray) -> bytes:
+    """64-bit integers byte plane by byte plane: high bytes that hardly change then compress to nothing."""
+    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def _combined(keys: list[np.ndarray], nodes: list[int]) -> Iterator[pa.RecordBatch]:
-    """A row for each key with its smallest node, and an edge from each other node of the key to that one."""
-    key = np.concatenate(keys).view(np.int64)
-    node = np.repeat(np.array(nodes, np.int64), [len(k) for k in keys])
-    order = np.lexsort((node, key))
-    yield from _edges_and_firsts(key[order], node[order])[0]
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
 
 
-def _edges_and_firsts(key: np.ndarray, node: np.ndarray, with_keys: bool = True):
-    """Batches for keys and nodes in order, and the first node of the last key."""
+def _firsts(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys with their smallest nodes, and edges from the other nodes of a key to that one."""
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
     new = np.concatenate([[True], key[1:] != key[:-1]])
     first = node[np.flatnonzero(new)[np.cumsum(new) - 1]]
     other = node != first
-    edges = np.unique(np.stack([node[other], first[other]], axis=1), axis=0)
-    batches = list(_pieces(_rows(a=edges[:, 0], b=edges[:, 1]))) if len(edges) else []
-    if with_keys:
-        batches += _pieces(_rows(k=key[new], a=node[new]))
-    return batches, first[-1]
+    return key[new], node[new], np.unique(np.stack([node[other], first[other]], axis=1), axis=0)
 
 
-def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Rows of three kinds: documents (k, a = doc_id, b = set size, c and d = digest of the set), keys (k, a = node),
-    edges between nodes of one task that share a key (a, b).  Only distinct keys of a task leave it."""
+def _edge_rows(edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(edges), 100_000):
+        part = edges[at : at + 100_000]
+        # edges are dealt out evenly, they need no partition of their own
+        yield _rows(p=(part[:, 0] & 1023).astype(np.int32), a=part[:, 0], b=part[:, 1])
+
+
+def _combined(keys: list[np.ndarray], nodes: list[int], parts: int) -> Iterator[pa.RecordBatch]:
+    """Distinct keys of a task, a packed block for each of the ranges of keys, and edges inside the task."""
+    key = np.concatenate(keys)
+    node = np.repeat(np.array(nodes, np.int64), [len(k) for k in keys])
+    key, node, edges = _firsts(key, node)
+    yield from _edge_rows(edges)
+    limits = np.searchsorted(key, np.array([(i << 64) // parts for i in range(1, parts)], dtype=np.uint64))
+    for part, (low, high) in enumerate(itertools.pairwise([0, *limits.tolist(), len(key)])):
+        if high > low:
+            steps = np.diff(key[low:high], prepend=np.uint64(0))
+            yield _rows(p=[part], keys=[planes(steps)], nodes=[planes(np.ascontiguousarray(node[low:high]))])
+
+
+def signatures(docs: DataFrame, size: int, percent: int, parts: int) -> DataFrame:
+    """Rows of three kinds: documents (a = doc_id, b = set size, c and d = digest of the set), blocks of keys with their
+    nodes, and edges (a, b) between nodes of one task that share a key.  Only distinct keys of a task leave it, in
+    ``parts`` ranges of keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices = Slices(percent)
@@ -189,14 +206,14 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     keys.append(own)
                     nodes.append(doc_id)
                     waiting += len(own)
+                if waiting >= KEY_BUFFER:
+                    yield from _combined(keys, nodes, parts)
+                    keys, nodes, waiting = [], [], 0
             if ids:
                 halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                yield _rows(k=halves[:, 0] + np.arange(len(ids)), a=ids, b=sizes, c=halves[:, 0], d=halves[:, 1])
-            if waiting >= KEY_BUFFER:
-                yield from _combined(keys, nodes)
-                keys, nodes, waiting = [], [], 0
+                yield _rows(p=(np.arange(len(ids)) & 1023).astype(np.int32), a=ids, b=sizes, c=halves[:, 0], d=halves[:, 1])
         if keys:
-            yield from _combined(keys, nodes)
+            yield from _combined(keys, nodes, parts)
 
     return _texts(docs).mapInArrow(run, ROWS_DDL)
 
@@ -206,29 +223,36 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """Documents and edges of ``signatures``, with edges for keys that several tasks hold."""
+    """Documents (a, b, c, d) and edges (a, b) of ``signatures``, with edges for keys that several tasks hold.
+
+    A key comes from a task once, so no key has more entries than there are tasks.  Of a range of
+    keys all blocks are held at once; the ranges are many times as many as the partitions.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, last_first = None, None
+        here: int | None = None
+        keys: list[np.ndarray] = []
+        nodes: list[np.ndarray] = []
+
+        def edges() -> Iterator[pa.RecordBatch]:
+            if len(keys) > 1:
+                yield from _edge_rows(_firsts(np.concatenate(keys), np.concatenate(nodes))[2])
+
         for batch in batches:
-            k, b = batch.column(0), batch.column(2)
-            is_key = np.asarray(pa.compute.and_(k.is_valid(), b.is_null()).to_numpy(zero_copy_only=False))
-            rest = batch.filter(pa.array(~is_key))
+            block = np.asarray(batch.column("keys").is_valid().to_numpy(zero_copy_only=False))
+            rest = batch.filter(pa.array(~block))
             if rest.num_rows:
                 yield rest
-            chosen = batch.filter(pa.array(is_key))
-            if not chosen.num_rows:
-                continue
-            key, node = chosen.column(0).to_numpy(), chosen.column(1).to_numpy()
-            if last_key == key[0]:  # goes on with the key of the batch before
-                key, node = np.concatenate([[last_key], key]), np.concatenate([[last_first], node])
-            found, last_first = _edges_and_firsts(key, node, with_keys=False)
-            last_key = key[-1]
-            yield from found
+            blocks = batch.filter(pa.array(block))
+            for part, steps, own in zip(*(blocks.column(c) for c in ("p", "keys", "nodes")), strict=True):
+                if part.as_py() != here:
+                    yield from edges()
+                    here, keys, nodes = part.as_py(), [], []
+                keys.append(np.cumsum(from_planes(steps.as_py()), dtype=np.uint64))
+                nodes.append(from_planes(own.as_py()).view(np.int64))
+        yield from edges()
 
-    # a key comes from a task once, so no key has more rows than there are tasks; the other rows go anywhere
-    to = F.coalesce("k", F.xxhash64("a"))
-    return rows.repartition(to).sortWithinPartitions("k", "a").mapInArrow(run, ROWS_DDL)
+    return rows.repartition("p").sortWithinPartitions("p").mapInArrow(run, ROWS_DDL).drop("p", "keys", "nodes")
 
 
 class Tree:
@@ -486,12 +510,13 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     a doc_id are told apart by their texts: each is in the component of its own text.  An empty table gives no
     rows; columns beyond doc_id and text are not read.
     """
-    rows = stored(shared_keys(signatures(docs, size, percent)), "shingle-rows")
-    documents = rows.filter("k is not null").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "c", "d")
+    parts = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = stored(shared_keys(signatures(docs, size, percent, parts)), "shingle-rows")
+    documents = rows.filter("c is not null").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "c", "d")
     reps = documents.filter("n_shingles > 0 and doc_id is not null").groupBy("c", "d").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
     # written, so that the last join exchanges both of its sides and a set with very many copies can be split
     reps = stored(reps, "sets")
-    parts = connected_components(rows.filter("k is null").select("a", "b"), "partitions")
+    parts = connected_components(rows.filter("c is null").select("a", "b"), "partitions")
     members = reps.join(parts, F.col("rep") == F.col("node")).select("node", "n", F.col("component").alias("part"))
     tasks = stored(assigned(members, percent), "comparisons")
     texts = _texts(docs).join(tasks, F.col("doc_id") == F.col("node")).select("doc_id", "text", "tasks")
