@@ -86,7 +86,7 @@ CHECKS = [
                h.v as peak_hour, d.v as peak_day, {rnd("gap", 3)} as avg_days_between_orders,
                {rnd("(rr * cast(0.6 as double) + least(1.0, greatest(0.0, 1 - cp / 20.0)) * cast(0.4 as double)) * 100", 1)} as loyalty_index,
                case when total_orders <= 5 then 'Rare' when total_orders <= 20 then 'Occasional' when total_orders <= 50 then 'Frequent'
-                    when total_orders <= 10000 then 'Very Frequent' end as purchase_frequency
+                    when total_orders > 50 then 'Very Frequent' end as purchase_frequency
         from stats s join hours h on h.product_id = s.product_id and h.rn = 1 join days d on d.product_id = s.product_id and d.rn = 1""",
         doubles="reorder_rate avg_cart_position avg_days_between_orders loyalty_index"),
     Check("rolling_7", lambda s, d: features.rolling_features(td.sales(s, d)).select(

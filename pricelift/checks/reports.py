@@ -89,13 +89,11 @@ CHECKS = [
         doubles="price_change_pct profit_uplift current_price recommended_price bubble_size"),
     Check("rule_explanation", _r(reports.rule_explanation), """
         select product_id,
-               case when profit_uplift is null
-                 then printf('Price %s by %.1f%% to $%.2f so that stock sells before it expires.', w, abs(price_change_pct), recommended_price)
-                 else printf('Price %s by %.1f%% to maximize weekly profit. Expected profit uplift of $%.2f.', w, abs(price_change_pct), profit_uplift)
-               end as explanation,
+               printf('New price $%.2f (%+.1f%%): ', recommended_price, price_change_pct)
+                 || case when profit_uplift is null then 'clears stock ahead of its expiry date.' else printf('adds an estimated $%.2f a week.', profit_uplift) end as explanation,
                'Unavailable' as confidence_label, cast(null as integer) as confidence_pct,
                'Rule-based summary; no analyst explanation was available.' as reasoning
-        from (select *, case when price_change_pct < 0 then 'reduced' else 'increased' end as w from edge_results)"""),
+        from edge_results"""),
     Check("explanation_prompt", _r(reports.explanation_prompt), """
         select product_id,
           'Explain this retail price to a manager. Answer only with JSON holding explanation, confidence_label (High, Medium or Low), confidence_pct (0-100) and reasoning.'

@@ -248,7 +248,7 @@ CHECKS = [
         from order_lines""", doubles="loyalty_index"),
     Check("frequency_band", _orders_per_product, """
         select product_id, case when n > 0 and n <= 5 then 'Rare' when n > 5 and n <= 20 then 'Occasional'
-               when n > 20 and n <= 50 then 'Frequent' when n > 50 and n <= 10000 then 'Very Frequent' end as purchase_frequency
+               when n > 20 and n <= 50 then 'Frequent' when n > 50 then 'Very Frequent' end as purchase_frequency
         from (select product_id, count(*) as n from order_lines group by product_id)"""),
     Check("inventory_health", _edge(inventory_health=lambda: retail.inventory_health("inventory_ratio")), """
         select product_id, case when inventory_ratio > -100 and inventory_ratio <= 0.3 then 'Critical'

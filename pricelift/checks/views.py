@@ -15,7 +15,9 @@ def rnd(expr: str, digits: int) -> str:
 
 def mean(expr: str) -> str:
     """Order-independent mean."""
-    return f"avg(round_even(cast({expr} as double) * 16777216e0, 0) / 16777216e0)"
+    coarse = f"(round_even(cast({expr} as double) * 16777216e0, 0) / 16777216e0)"
+    rest = f"(round_even((cast({expr} as double) - {coarse}) * 4611686018427387904e0, 0) / 4611686018427387904e0)"
+    return f"(avg({coarse}) + avg({rest}))"
 
 
 def units_at(price: str) -> str:

@@ -42,24 +42,26 @@ def clip(value: ColumnLike, low: float | None = None, high: float | None = None)
     return F.when(v.isNotNull(), out)
 
 
-# Grid of the order-independent mean: sums of multiples of 2^-24 are exact in a double
-# while they stay below 2^29.
-MEAN_GRID = float(2**24)
+# Grids of the order-independent mean.  Sums of multiples of 2^-24 are exact in a double while they
+# stay below 2^29; what that grid leaves of a value is summed on a grid of 2^-62.
+MEAN_GRID, FINE_GRID = float(2**24), float(2**62)
 
 
 def stable_mean(value: ColumnLike) -> Column:
     """Mean that does not depend on the order in which shuffle blocks arrive.
 
-    Values are put on a grid of 2^-24 first; sums of grid values are exact, so a rerun
-    after a lost executor gives the same price.  Larger sums round like any double sum.
-    Nulls and NaN are left out.
+    A value is split into its part on a grid of 2^-24 and the rest on a finer one; sums of either are exact, so a
+    rerun after a lost executor gives the same price, and small values keep their digits.  Larger sums
+    round like any double sum.  Nulls and NaN are left out.
     """
     v = F.nanvl(col(value).cast("double"), F.lit(None).cast("double"))
-    return F.avg(F.rint(v * F.lit(MEAN_GRID)) / F.lit(MEAN_GRID))
+    coarse = F.rint(v * F.lit(MEAN_GRID)) / F.lit(MEAN_GRID)
+    return F.avg(coarse) + F.avg(F.rint((v - coarse) * F.lit(FINE_GRID)) / F.lit(FINE_GRID))
 
 
 def band(value: ColumnLike, edges: Sequence[float], labels: Sequence[str]) -> Column:
-    """Right-closed intervals (edge, next edge] to labels; outside them null."""
+    """Right-closed intervals (edge, next edge] to labels; outside them null.  An infinite last edge
+    leaves the last interval open."""
     if len(edges) != len(labels) + 1:
         raise ValueError("band needs one more edge than labels")
     v = col(value)

@@ -100,7 +100,7 @@ def loyalty_index(reorder_rate: ColumnLike, cart_position: ColumnLike) -> Column
 
 
 def frequency_band(orders: ColumnLike) -> Column:
-    return band(orders, (0, 5, 20, 50, 10000), ("Rare", "Occasional", "Frequent", "Very Frequent"))
+    return band(orders, (0, 5, 20, 50, float("inf")), ("Rare", "Occasional", "Frequent", "Very Frequent"))
 
 
 def inventory_health(inventory_ratio: ColumnLike) -> Column:

@@ -20,19 +20,14 @@ def money_text(value: ColumnLike) -> Column:
 
 
 def rule_sentence(change_pct: ColumnLike, uplift: ColumnLike, price: ColumnLike) -> Column:
-    """One sentence on the price move; products without a comparable uplift get their own."""
-    change = F.coalesce(col(change_pct), F.lit(0.0))
-    direction = F.when(change < 0, "reduced").otherwise("increased")
-    moved = F.format_string("%.1f", F.abs(change))
-    with_uplift = F.concat(
-        F.lit("Price "), direction, F.lit(" by "), moved,
-        F.lit("% to maximize weekly profit. Expected profit uplift of $"), money_text(uplift), F.lit("."),
-    )
-    without = F.concat(
-        F.lit("Price "), direction, F.lit(" by "), moved,
-        F.lit("% to $"), money_text(price), F.lit(" so that stock sells before it expires."),
+    """What to do with the price and why, in one line: new price, signed change, and the aim.
+
+    A row without an uplift is an expiry markdown, whose aim is to clear stock."""
+    move = F.format_string("%+.1f%%", F.coalesce(col(change_pct), F.lit(0.0)))
+    aim = F.when(col(uplift).isNull(), F.lit("clears stock ahead of its expiry date")).otherwise(
+        F.concat(F.lit("adds an estimated $"), money_text(uplift), F.lit(" a week"))
     )
-    return F.when(col(uplift).isNull(), without).otherwise(with_uplift)
+    return F.concat(F.lit("New price $"), money_text(price), F.lit(" ("), move, F.lit("): "), aim, F.lit("."))
 
 
 def prompt_text(
@@ -63,7 +58,11 @@ def stripped(text: ColumnLike) -> Column:
     return F.regexp_replace(col(text), r"^\s+|\s+$", "")
 
 
-def without_fences(text: ColumnLike) -> Column:
-    """Drop one leading and one trailing code fence around a reply."""
-    opened = F.regexp_replace(stripped(text), r"^```(json)?", "")
-    return stripped(F.regexp_replace(stripped(opened), r"```$", ""))
+def json_object(text: ColumnLike) -> Column:
+    """The text from the first ``{`` to the last ``}`` of a reply; null where there is no such stretch.
+
+    An array is no object: a reply whose first bracket is ``[`` gives null."""
+    reply = col(text)
+    first, last = F.instr(reply, "{"), F.length(reply) - F.instr(F.reverse(reply), "}") + 1
+    array = F.instr(reply, "[")
+    return F.when((first > 0) & (last > first) & ((array == 0) | (array > first)), F.substr(reply, first, last - first + 1))

@@ -29,8 +29,11 @@ def calendar_features(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def rolling_features(sales: DataFrame, rows: int = 7, value: str = "units_sold") -> DataFrame:
-    """Mean and sample deviation over the current and the previous rows of the product."""
-    w = Window.partitionBy("product_id").orderBy("date").rowsBetween(1 - rows, 0)
+    """Mean and sample deviation over the current and the previous rows of the product.
+
+    Rows of one day, and rows without a date, follow each other by transaction, so a rerun gives the same."""
+    order = [c for c in ("date", "transaction_id") if c in sales.columns]
+    w = Window.partitionBy("product_id").orderBy(*order).rowsBetween(1 - rows, 0)
     return sales.withColumns({
         f"moving_avg_{rows}day": F.avg(value).over(w),
         "demand_volatility": F.coalesce(F.stddev_samp(value).over(w), F.lit(0.0)),
@@ -175,13 +178,14 @@ def _mode_of(name: str, levels: Sequence[str]) -> Column:
 
 def product_lookup(master: DataFrame, levels: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """One row per product: mean of every number, most frequent of everything else
-    (smallest on ties, nulls ignored).  One aggregate, combined map-side.
+    (smallest on ties, nulls ignored).
 
-    A column with declared ``levels`` is counted level by level: that stays in the fast
-    hash aggregate, while a general mode keeps a map of values per product.
+    Numbers, and columns with declared ``levels``, which are counted level by level, take one hash aggregate.  Of
+    the others each value is counted per product and column, as rows that combine map-side, and the
+    most frequent ones join at one row per product.
     """
     known = levels or {}
-    aggs = []
+    aggs, counted = [], []
     for field in master.schema.fields:
         if field.name == "product_id":
             continue
@@ -192,8 +196,23 @@ def product_lookup(master: DataFrame, levels: Mapping[str, Sequence[str]] | None
         elif field.name in known:
             aggs.append(_mode_of(field.name, known[field.name]).alias(field.name))
         else:
-            aggs.append(F.mode(field.name, deterministic=True).alias(field.name))
-    return master.groupBy("product_id").agg(*aggs)
+            counted.append(field)
+    figures = master.groupBy("product_id").agg(*(aggs or [F.count(F.lit(1)).alias("_rows")]))
+    if counted:
+        figures = figures.join(_most_frequent(master, counted), F.col("product_id").eqNullSafe(F.col("_product")), "left").drop("_product")
+    return figures.select("product_id", *[f.name for f in master.schema.fields if f.name != "product_id"])
+
+
+def _most_frequent(master: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """(_product, the mode of each field).  Values travel as text, and are ordered by their own type."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f.name).cast("string").alias("v")) for i, f in enumerate(fields)])
+    values = master.select(F.col("product_id").alias("_product"), F.explode(pairs).alias("p")).select("_product", "p.i", "p.v")
+    counts = values.filter(F.col("v").isNotNull()).groupBy("_product", "i", "v").agg(F.count(F.lit(1)).alias("n"))
+    modes = [
+        F.min_by(F.when(F.col("i") == i, F.col("v").cast(f.dataType)), F.when(F.col("i") == i, F.struct(-F.col("n"), F.col("v").cast(f.dataType)))).alias(f.name)
+        for i, f in enumerate(fields)
+    ]
+    return counts.groupBy("_product").agg(*modes)
 
 
 def weekly_demand(sales: DataFrame) -> DataFrame:
@@ -302,12 +321,14 @@ def days_since_prior(orders: DataFrame) -> DataFrame:
 
     Orders are reduced to user x day before the window, so even a user with a third of
     all orders has at most one window row per day.  Later orders of a day have gap 0.
+    Orders without a user or a date stay, without a gap: no order is known to come before them.
     """
-    by_day = orders.groupBy("user_id", "order_date").agg(F.min("order_id").alias("_first"))
+    dated = orders.filter(F.col("user_id").isNotNull() & F.col("order_date").isNotNull())
+    by_day = dated.groupBy("user_id", "order_date").agg(F.min("order_id").alias("_first"))
     w = Window.partitionBy("user_id").orderBy("order_date")
     gaps = by_day.withColumn("_gap", F.date_diff("order_date", F.lag("order_date").over(w)))
-    return orders.join(gaps, ["user_id", "order_date"]).select(
+    return orders.join(gaps, ["user_id", "order_date"], "left").select(
         *orders.columns,
-        F.when(F.col("order_id") == F.col("_first"), F.col("_gap")).otherwise(F.lit(0))
+        F.when(F.col("order_id") == F.col("_first"), F.col("_gap")).when(F.col("_first").isNotNull(), F.lit(0))
         .alias("days_since_prior_order"),
     )

@@ -113,18 +113,28 @@ def score_prices(priced: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         round_to(ratio("profit_uplift", "current_profit") * F.lit(100.0), 1), F.lit(0.0)
     )
     df = df.withColumn("profit_uplift_pct", F.when(~expiry, pct))
-    return settled(df.select(*RESULT_COLUMNS, *keep))
+    out = df.select(*RESULT_COLUMNS, *keep)
+    return settled(out, [c for c in out.columns if c not in COMPUTED])
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """Have every row worked out once.
+#: Result columns that pricing works out, or that stand on its decisions.
+COMPUTED = frozenset((
+    "recommended_price", "optimization_method", "predicted_demand", "predicted_profit", "current_profit",
+    "price_change_pct", "spoilage_savings_estimate", "profit_uplift", "profit_uplift_pct",
+))
+
+
+def settled(df: DataFrame, plain: list[str]) -> DataFrame:
+    """Have the computed columns worked out once.
 
     Catalyst pushes a filter below a projection by repeating the projected expression in
     it; for prices that repeats the whole decision per filter, until the code no longer
-    compiles.  It does not push filters through a generator, so the row travels in a
-    one-element array.
+    compiles.  It does not push filters through the columns of a generator, so computed columns travel in a
+    one-element array; ``plain`` columns stay outside, and filters on them reach the scan.
     """
-    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+    computed = [c for c in df.columns if c not in plain]
+    packed = df.select(*plain, F.inline(F.array(F.struct(*[F.col(c) for c in computed]))))
+    return packed.select(*df.columns)
 
 
 def price_products(lookup: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

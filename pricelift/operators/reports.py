@@ -166,17 +166,16 @@ def explanation_prompt(results: DataFrame) -> DataFrame:
 def parse_explanation(replies: DataFrame, column: str = "reply") -> DataFrame:
     """Read explanation replies.
 
-    Code fences are removed; fields missing from the JSON get their default; a reply that
-    is no JSON object is shown as it came.  A null reply falls back to ``explanation`` of
+    The JSON object may stand in other text, such as code fences; fields missing from it get their default; a
+    reply without one is shown as it came.  A null reply falls back to ``explanation`` of
     ``rule_explanation`` when the input carries it as ``fallback``.
     """
-    body = text.without_fences(column)
+    body = text.json_object(column)
     fields = "explanation string, confidence_label string, confidence_pct string, reasoning string, _bad string"
     parsed = replies.withColumn(
         "_j", F.from_json(body, fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     )
-    # from_json also reads an array of objects, so the body has to open as one object
-    usable = body.startswith("{") & F.col("_j").isNotNull() & F.col("_j._bad").isNull()
+    usable = body.isNotNull() & F.col("_j").isNotNull() & F.col("_j._bad").isNull()
     raw = text.stripped(column)
     fallback = F.col("fallback") if "fallback" in replies.columns else F.lit(None).cast("string")
 

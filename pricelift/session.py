@@ -37,11 +37,17 @@ def pin_session(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    ``spark.checkpoint.dir`` wins.  Only when it is unset (tests on one machine) is
-    a folder of our own used.
+    ``spark.checkpoint.dir`` wins, then the folder the application already has.  A local master without either
+    gets a temporary one; any other master is refused, as its machines share no folder we know of.
     """
+    context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    folder = shared or tempfile.mkdtemp(prefix="pricelift-ckpt-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if shared:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(shared)
+        return shared
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-ckpt-"))
+    return context.getCheckpointDir()

@@ -15,10 +15,11 @@ VALUE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 def stream_source(spark: SparkSession, fmt: str = "kafka", path: str | None = None, **options: str) -> DataFrame:
     """Streaming rows with a ``value`` column.  Kafka starts at the latest offset unless told
-    otherwise; file formats take a folder."""
+    otherwise, and stops when events have aged out of the topic; ``failOnDataLoss="false"`` goes
+    on without them.  File formats take a folder."""
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
-        reader = reader.options(**{"startingOffsets": "latest", "failOnDataLoss": "false"})
+        reader = reader.options(**{"startingOffsets": "latest", "failOnDataLoss": "true"})
     else:
         reader = reader.schema(VALUE_SCHEMA)
     reader = reader.options(**options)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -11,26 +12,59 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .events import flat_window
-from .scoring import TRAINING_INPUTS, score_windows, training_rows
+from .scoring import TRAINING_INPUTS, closed_windows, score_windows, training_rows
 from ..operators.pricing import RESULT_COLUMNS
 
-# RocksDB keeps window state off the JVM heap, so the number of products may grow.
+# RocksDB keeps window state off the JVM heap, so the number of products may grow; ``start_pricing`` sets it.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write one micro-batch into its own partition folder.
+#: Run of batches that are written without a checkpoint of their own.
+NO_RUN = "run0"
 
-    A batch that is run again after a failure replaces what it wrote the first time.  The
-    rebalance keeps the number of files in step with the size of the batch."""
-    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+def write_batch(df: DataFrame, path: str, batch_id: int, run: str = NO_RUN) -> None:
+    """Write one micro-batch into its own folder of its run.
+
+    A batch that is run again after a failure replaces what it wrote the first time, and
+    nothing that another run wrote.  The rebalance keeps the number of files in step with the size of the batch."""
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """All written batches with their ``batch_id``."""
+    """All written batches with their ``run`` and ``batch_id``; later runs have larger names."""
     return spark.read.parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path and the path, as Hadoop objects."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run that a checkpoint folder belongs to.
+
+    It is the name of an empty file there, made at the first start.  With a new checkpoint batch numbers begin at 0
+    again; a run of its own keeps them from replacing what was written before."""
+    fs, folder = _hadoop(spark, f"{checkpoint}/pricing")
+    if fs.exists(folder):
+        names = sorted(s.getPath().getName() for s in fs.listStatus(folder))
+        if names:
+            return names[0]
+    run = f"run{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}x{uuid.uuid4().hex[:8]}"
+    fs, target = _hadoop(spark, f"{checkpoint}/pricing/{run}")
+    fs.create(target).close()
+    return run
+
+
+def compact_batches(log: DataFrame, out: str, since: str | None, until: str) -> None:
+    """Write the final rows of the windows that ended in (since, until] below their date, in few files.
+
+    ``log`` holds ``date``; ``out`` gains rows, and readers of one date open that date only."""
+    closed_windows(log, since, until).hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(out)
+
+
 def publish_lookup(lookup: DataFrame, path: str, version: int, model: PipelineModel | None = None) -> None:
     """Write a lookup (and its model) as a new version; running readers keep the old one."""
     if model is not None:
@@ -97,7 +131,7 @@ class StreamPaths:
     checkpoint: str
 
 
-def make_batch_writer(lookups: LookupSource, paths: StreamPaths) -> Callable[[DataFrame, int], None]:
+def make_batch_writer(lookups: LookupSource, paths: StreamPaths, run: str = NO_RUN) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch``: window rows in; features, results and log out."""
 
     def write(windows: DataFrame, batch_id: int) -> None:
@@ -106,11 +140,11 @@ def make_batch_writer(lookups: LookupSource, paths: StreamPaths) -> Callable[[Da
             if flat.isEmpty():
                 return
             lookup, model = lookups.current()
-            write_batch(flat, paths.features, batch_id)
+            write_batch(flat, paths.features, batch_id, run)
             scored = score_windows(flat, lookup, model, keep=TRAINING_INPUTS).persist()
             try:
-                write_batch(scored.select("window_start", "window_end", *RESULT_COLUMNS, "is_new_product"), paths.results, batch_id)
-                write_batch(training_rows(scored), paths.training_log, batch_id)
+                write_batch(scored.select("window_start", "window_end", *RESULT_COLUMNS, "is_new_product"), paths.results, batch_id, run)
+                write_batch(training_rows(scored), paths.training_log, batch_id, run)
             finally:
                 scored.unpersist()
         finally:
@@ -122,11 +156,13 @@ def make_batch_writer(lookups: LookupSource, paths: StreamPaths) -> Callable[[Da
 def start_pricing(
     windows: DataFrame, lookups: LookupSource, paths: StreamPaths, trigger_seconds: int | None = 10
 ) -> StreamingQuery:
-    """Start the pricing stream in update mode.  ``trigger_seconds=None`` works off what is
+    """Start the pricing stream in update mode, with its state in RocksDB.  ``trigger_seconds=None`` works off what is
     there and stops."""
+    spark = windows.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     writer = (
         windows.writeStream.outputMode("update")
-        .foreachBatch(make_batch_writer(lookups, paths))
+        .foreachBatch(make_batch_writer(lookups, paths, run_of(spark, paths.checkpoint)))
         .option("checkpointLocation", paths.checkpoint)
     )
     if trigger_seconds is None:

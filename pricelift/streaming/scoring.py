@@ -92,12 +92,13 @@ def training_rows(scored: DataFrame) -> DataFrame:
 
 
 def latest_revision(rows: DataFrame, key: tuple[str, ...] = WINDOW_KEY) -> DataFrame:
-    """One row per window and product: the revision from the newest batch.
+    """One row per window and product: the revision from the newest batch of the newest run.
 
     An aggregate, not a window function, so revisions are dropped before the shuffle.
     """
     packed = F.struct(*[F.col(c) for c in rows.columns if c not in key])
-    newest = rows.groupBy(*key).agg(F.max_by(packed, "batch_id").alias("_row"))
+    revision = F.struct(*[c for c in ("run", "batch_id") if c in rows.columns])
+    newest = rows.groupBy(*key).agg(F.max_by(packed, revision).alias("_row"))
     return newest.select(*key, "_row.*")
 
 
@@ -111,4 +112,4 @@ def closed_windows(log: DataFrame, since: str | None, until: str) -> DataFrame:
     ready = end <= F.lit(until).cast("timestamp")
     if since is not None:
         ready = ready & (end > F.lit(since).cast("timestamp"))
-    return latest_revision(log.filter(ready)).drop("window_start", "window_end", "batch_id")
+    return latest_revision(log.filter(ready)).drop("window_start", "window_end", "batch_id", "run")

@@ -40,7 +40,7 @@ def test_clip_keeps_null(spark):
 
 @pytest.mark.parametrize("orders,label", [
     (0, None), (1, "Rare"), (5, "Rare"), (6, "Occasional"), (20, "Occasional"), (21, "Frequent"), (50, "Frequent"),
-    (51, "Very Frequent"), (10000, "Very Frequent"), (10001, None), (None, None),
+    (51, "Very Frequent"), (10000, "Very Frequent"), (10**12, "Very Frequent"), (None, None),
 ])
 def test_frequency_band(spark, orders, label):
     assert one(spark, retail.frequency_band(lit(orders, "long"))) == label
@@ -123,5 +123,15 @@ def test_best_price_beats_a_fine_grid(spark, cost, base, e):
 
 def test_rule_sentence_for_expiry_rows(spark):
     usual = one(spark, text.rule_sentence(lit(-5.25), lit(12.5), lit(9.0)))
-    assert usual.startswith("Price reduced by 5.") and usual.endswith("uplift of $12.50.")
-    assert "before it expires" in one(spark, text.rule_sentence(lit(-5.0), lit(None), lit(9.0)))
+    assert usual == "New price $9.00 (-5.3%): adds an estimated $12.50 a week." or usual == "New price $9.00 (-5.2%): adds an estimated $12.50 a week."
+    assert "expiry" in one(spark, text.rule_sentence(lit(-5.0), lit(None), lit(9.0)))
+
+
+def test_json_object_in_a_reply(spark):
+    for reply, body in {"```json\n{\"a\": {}}\n```": '{"a": {}}', "Sure: {x} ok": "{x}", "none": None, "[{}]": None, "}{": None}.items():
+        assert one(spark, text.json_object(lit(reply, "string"))) == body
+
+
+def test_small_means_keep_their_digits(spark):
+    df = spark.createDataFrame([(1e-9,), (3e-9,), (None,)], "v double")
+    assert df.agg(numeric.stable_mean("v")).first()[0] == pytest.approx(2e-9, rel=1e-8)

@@ -152,6 +152,37 @@ def test_product_lookup_modes(spark):
     assert rows(features.product_lookup(df, {"tag": ("b", "a")}), "product_id") == expected
 
 
+def test_days_since_prior_keeps_orders_without_user_or_date(spark):
+    df = spark.createDataFrame([(1, 7, D(2024, 1, 1)), (2, 7, D(2024, 1, 4)), (3, None, D(2024, 1, 4)), (4, 7, None)], "order_id long, user_id long, order_date date")
+    got = {r.order_id: r.days_since_prior_order for r in features.days_since_prior(df).collect()}
+    assert got == {1: None, 2: 3, 3: None, 4: None}
+
+
+def test_rolling_ties_go_by_transaction(spark):
+    data = [(1, None, t, float(t * t)) for t in range(20)]
+    runs = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(data)
+        df = spark.createDataFrame(data, "product_id long, date date, transaction_id long, units_sold double").repartition(3)
+        runs.add(tuple(rows(features.rolling_features(df).select("transaction_id", "moving_avg_7day"), "transaction_id")))
+    assert len(runs) == 1
+
+
+def test_patterns_do_not_keep_maps(spark):
+    lines = spark.createDataFrame([(1, 1, 1, 1)], "order_id long, product_id long, reordered int, add_to_cart_order int")
+    orders = spark.createDataFrame([(1, 1, 8, 3)], "order_id long, order_dow int, order_hour_of_day int, days_since_prior_order int")
+    products = spark.createDataFrame([(1, "tea")], "product_id long, product_name string")
+    plan = patterns.purchase_patterns(lines, orders, products)._jdf.queryExecution().executedPlan().toString()
+    assert "mode(" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_filters_on_plain_result_columns_reach_the_scan(spark, small, tmp_path):
+    td.lookup_edge(spark, small).write.parquet(str(tmp_path / "lookup"))
+    results = pricing.price_products(spark.read.parquet(str(tmp_path / "lookup")))
+    plan = results.filter("product_id = 7")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(product_id,7)" in plan
+
+
 def test_product_lookup_mean_does_not_depend_on_order(spark):
     rng = random.Random(1)
     prices = [rng.random() * 1000 for _ in range(3000)]

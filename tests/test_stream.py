@@ -89,6 +89,20 @@ def test_restart_goes_on_from_the_checkpoint(spark, setup):
     assert [r.window_units for r in latest.collect()] == [5]
 
 
+def test_a_lost_checkpoint_keeps_history(spark, setup):
+    tmp, paths, source, run_all, _ = setup
+    put(tmp / "in", "a.json", [event(1, 0, 2)])
+    run_all()
+    before = job.read_batches(spark, paths.features).count()
+    (tmp / "checkpoint").rename(tmp / "lost")
+    put(tmp / "in", "b.json", [event(2, 30, 3)])
+    run_all()
+    rows = job.read_batches(spark, paths.features)
+    assert rows.select("run").distinct().count() == 2 and rows.count() >= 2 * before
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == job.STATE_STORE
+    assert {r.product_id: r.window_units for r in scoring.latest_revision(rows).collect()} == {1: 2, 2: 3}
+
+
 def test_a_repeated_batch_replaces_itself(spark, setup):
     tmp, paths, source, _, _ = setup
     rows = spark.createDataFrame([(json.dumps(event(1, 0, 2)),)], "value string")

@@ -77,7 +77,10 @@ def test_derived_tables_have_the_published_columns(spark, raw):
 
 
 def test_pipeline_from_raw_tables_to_results(spark, raw, tmp_path):
-    master = batch.clean_and_merge(spark, raw, str(tmp_path / "master"))
+    with pytest.raises(quality.ValidationFailed):  # prices of the test tables exceed the retail range
+        batch.clean_and_merge(spark, raw, str(tmp_path / "gated"))
+    rules = tuple(r for r in quality.MASTER_RULES if r.name not in ("price_in_range", "sensitivity_known"))
+    master = batch.clean_and_merge(spark, raw, str(tmp_path / "master"), rules)
     assert len(master.columns) == 76
     kept, held = str(tmp_path / "kept"), str(tmp_path / "held")
     batch.hold_out(spark, master, kept, held)
@@ -89,14 +92,20 @@ def test_pipeline_from_raw_tables_to_results(spark, raw, tmp_path):
     history = spark.read.parquet(kept)
     with pytest.raises(quality.ValidationFailed):  # prices of the test tables exceed the retail range
         batch.retrain_and_price(history, str(tmp_path / "m"), str(tmp_path / "r"), dt.date(2001, 11, 5), max_trees=3)
-    rules = tuple(r for r in quality.MASTER_RULES if r.name not in ("price_in_range", "sensitivity_known"))
     results = batch.retrain_and_price(history, str(tmp_path / "m"), str(tmp_path / "r"), dt.date(2001, 11, 5), 3, rules)
     assert results.count() == history.select("product_id").distinct().count()
     assert results.filter("recommended_price is null").count() == 0
-    log = spark.createDataFrame([(1, dt.date(2001, 12, 1), 3, 5.0)], "product_id long, date date, units_sold long, current_price double")
-    folded = batch.nightly_fold(spark, kept, log, str(tmp_path / "folded"))
-    assert folded.count() == history.count() + 1
-    assert folded.filter("year_month = '2001-12'").count() >= 1
+    day = dt.datetime(2001, 12, 1)
+    windows = [(1, day, day + dt.timedelta(seconds=10 * n), day.date(), 3 + n, 5.0, 0) for n in (1, 2)]
+    log = spark.createDataFrame(windows, "product_id long, window_start timestamp, window_end timestamp, date date, units_sold long, current_price double, batch_id long")
+    once = batch.nightly_fold(spark, kept, log, str(tmp_path / "folded"), day + dt.timedelta(seconds=10))
+    again = batch.nightly_fold(spark, kept, log, str(tmp_path / "again"), day + dt.timedelta(seconds=10))
+    assert once.count() == again.count() == history.count() + 1
+    assert once.filter("year_month = '2001-12'").count() >= 1
+    later = batch.nightly_fold(spark, str(tmp_path / "folded"), log, str(tmp_path / "later"), day + dt.timedelta(seconds=30))
+    assert later.count() == history.count() + 2
+    with pytest.raises(ValueError, match="itself"):
+        batch.nightly_fold(spark, kept, log, kept + "/", day)
 
 
 def test_trees_beat_a_constant_on_a_known_signal(spark, tmp_path):
