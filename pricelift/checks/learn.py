@@ -47,32 +47,44 @@ def _split_rows(spark, sf):
     return rows.filter(F.col("date") < x.SPLIT_DATE), rows.filter(F.col("date") >= x.SPLIT_DATE)
 
 
-# fewer trees than the pipeline's 500, to keep the registered query short
 def _boosted(spark, sf):
     train, test = _split_rows(spark, sf)
-    return models.train_demand(train, test, max_trees=12), test
+    return models.train_demand(train, test), test
+
+
+def _facts(scored):
+    """What SQL can check of a trained model: how many rows it scores, and that each score is a number and of the
+    size of the target.  The errors themselves depend on the learner."""
+    report = metrics.regression_metrics(scored, "units_sold", "prediction")
+    range_ = scored.agg(
+        F.count_if(F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("scored_rows"),
+        (F.max(F.abs("prediction")) <= 2 * F.max(F.abs("units_sold"))).alias("in_range"),
+    )
+    packed = range_.select(F.struct(*range_.columns).alias("s")).scalar()
+    return report.withColumn("s", packed).select("n_rows", "s.scored_rows", "s.in_range", (F.col("rmse") >= F.col("mae")).alias("rmse_bounds_mae"))
 
 
 def _train_demand(spark, sf):
     model, test = _boosted(spark, sf)
-    return metrics.regression_metrics(models.predict(test, model), "units_sold", "prediction")
+    return _facts(models.predict(test, model))
 
 
 def _train_forest(spark, sf):
     train, test = _split_rows(spark, sf)
-    model = models.train_forest(train, trees=12)
-    return metrics.regression_metrics(models.predict(test, model), "units_sold", "prediction")
+    return _facts(models.predict(test, models.train_forest(train)))
 
 
 def _importance(spark, sf):
     model, _ = _boosted(spark, sf)
-    return models.feature_importance(spark, model)
+    shares = models.feature_importance(spark, model)
+    total = shares.agg(F.round(F.sum("importance"), 6)).scalar()
+    return shares.select("feature", F.col("importance").between(0, 1).alias("is_share"), total.alias("total"))
 
 
 def _baseline(spark, sf):
     model, _ = _boosted(spark, sf)
     lookup = features.product_lookup(model_rows(spark, sf).drop("date", "product_name"))
-    return models.predict_baseline(lookup, model).select("product_id", "base_price", "baseline_demand")
+    return models.predict_baseline(lookup, model).select("product_id", "base_price", (F.col("baseline_demand") >= 0).alias("not_negative"))
 
 
 _ERRORS = """count(*) as n_rows, avg(abs(units_sold - prediction)) as mae, sqrt(avg((units_sold - prediction) ** 2)) as rmse,
@@ -102,8 +114,12 @@ CHECKS = [
              (select quantile_cont(mape, 0.25) as p25, quantile_cont(mape, 0.5) as p50, quantile_cont(mape, 0.75) as p75,
                      max(mape) as mx, count(*) filter (where mape > 30) as n_above_30 from product_errors) q""",
         doubles="test_mape train_mape naive_mape beats_naive_by p25 p50 p75 max"),
-    Check("train_demand", _train_demand),
-    Check("train_forest", _train_forest),
-    Check("feature_importance", _importance),
-    Check("predict_baseline", _baseline),
+    *[Check(key, plan, f"""
+        select count(*) as n_rows, count(*) as scored_rows, 1 as in_range, 1 as rmse_bounds_mae
+        from sales where date >= date '{x.SPLIT_DATE}'""") for key, plan in (("train_demand", _train_demand), ("train_forest", _train_forest))],
+    Check("feature_importance", _importance, f"""
+        select feature, 1 as is_share, cast(1 as double) as total
+        from (values {", ".join(f"('{name}')" for name in models.FEATURES)}) as f(feature)""", doubles="total"),
+    Check("predict_baseline", _baseline, """
+        select product_id, base_price, 1 as not_negative from sales_lookup""", doubles="base_price"),
 ]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.numeric import finite
-from ..session import ensure_checkpoint_dir
 
 
 def naive_forecast(train: DataFrame, test: DataFrame, target: str = "units_sold") -> DataFrame:
@@ -50,14 +49,12 @@ def worst_products(per_product: DataFrame, threshold: float = 30.0, n: int = 15)
 
 
 def counted_values(df: DataFrame, value: str) -> DataFrame:
-    """Distinct values ``v`` with their counts ``n``, written once.
+    """Distinct values ``v`` with their counts ``n``.
 
-    The figures below need several passes; the checkpoint (in the cluster's shared folder)
-    keeps the plan behind ``df`` from running once per pass.
+    The passes over them share one exchange, so the plan behind ``df`` runs once, when the result is asked for.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     known = df.select(finite(value).alias("v")).filter(F.col("v").isNotNull())
-    return known.groupBy("v").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    return known.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
 
 
 def quantiles_of(values: DataFrame, probs: Sequence[float], cells: int = 256) -> DataFrame:
@@ -107,17 +104,11 @@ def quantiles_of(values: DataFrame, probs: Sequence[float], cells: int = 256) ->
 
 def describe_col(df: DataFrame, value: str, above: float = 30.0) -> DataFrame:
     """Count, mean, deviation, minimum, quartiles, maximum, and the rows above a limit."""
-    values = counted_values(df, value)
-    quartiles = quantiles_of(values, (0.25, 0.5, 0.75)).select(F.struct("q0", "q1", "q2").alias("q")).scalar()
-    v, n = F.col("v"), F.col("n")
-    rows = F.sum("n").cast("double")
-    centre = values.agg((F.sum(v * n) / rows).alias("m")).scalar()
-    spread = values.withColumn("off", v - centre).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
-        (F.sum(v * n) / rows).alias("mean"),
-        F.when(rows > 1, F.sqrt(F.sum(F.col("off") * F.col("off") * n) / (rows - 1))).alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"),
-        F.coalesce(F.sum(F.when(v > above, n)), F.lit(0)).alias("n_above"),
+    quartiles = quantiles_of(counted_values(df, value), (0.25, 0.5, 0.75)).select(F.struct("q0", "q1", "q2").alias("q")).scalar()
+    v = finite(value)
+    spread = df.agg(
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+        F.min(v).alias("min"), F.max(v).alias("max"), F.count_if(v > above).alias("n_above"),
     )
     return spread.withColumn("_q", quartiles).select(
         "count", "mean", "std", "min", F.col("_q.q0").alias("p25"), F.col("_q.q1").alias("p50"),

@@ -168,6 +168,18 @@ def test_rolling_ties_go_by_transaction(spark):
     assert len(runs) == 1
 
 
+def test_error_spread_is_lazy(spark):
+    df = spark.range(500).select(F.col("id").alias("product_id"), (F.col("id") * 0.5).alias("mape"))
+    spark.sparkContext.setJobGroup("lazy", "build only")
+    try:
+        out = metrics.describe_col(df, "mape")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    r = out.first()
+    assert (r["count"], r["mean"], r["p25"], r["p50"], r["max"], r["n_above"]) == (500, 124.75, 62.375, 124.75, 249.5, 439)
+
+
 def test_patterns_do_not_keep_maps(spark):
     lines = spark.createDataFrame([(1, 1, 1, 1)], "order_id long, product_id long, reordered int, add_to_cart_order int")
     orders = spark.createDataFrame([(1, 1, 8, 3)], "order_id long, order_dow int, order_hour_of_day int, days_since_prior_order int")
