@@ -6,7 +6,9 @@
 2. In a partition, sets are the leaves of a signature tree: each node holds the OR of the bitmaps below
    and the range of set sizes.  A dual traversal from the roots drops node pairs whose largest possible
    overlap cannot reach the threshold, and node pairs already known to be one component.
-3. Pairs that reach the leaves are compared exactly; those that link are edges of the components.
+3. Large partitions are traversed with bitmaps alone first, cell against cell, which splits them into finer
+   ones; then, with the sets, pairs that reach the leaves are compared exactly, and those that link are
+   edges of the components.
 """
 
 from __future__ import annotations
@@ -186,8 +188,8 @@ def _combined(keys: list[np.ndarray], nodes: list[int], parts: int) -> Iterator[
 
 
 def signatures(docs: DataFrame, size: int, percent: int, parts: int) -> DataFrame:
-    """Rows of three kinds: documents (a = doc_id, b = set size, c and d = digest of the set), blocks of keys with their
-    nodes, and edges (a, b) between nodes of one task that share a key.  Only distinct keys of a task leave it, in
+    """Rows of three kinds: documents (a = doc_id, b = set size, c and d = digest of the set, nodes = its bitmap), blocks of
+    keys with their nodes, and edges (a, b) between nodes of one task that share a key.  Only distinct keys of a task leave it, in
     ``parts`` ranges of keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,10 +198,11 @@ def signatures(docs: DataFrame, size: int, percent: int, parts: int) -> DataFram
         nodes: list[int] = []
         waiting = 0
         for batch in batches:
-            ids, sizes, digests = batch.column(0).to_pylist(), [], []
+            ids, sizes, digests, marks = batch.column(0).to_pylist(), [], [], []
             for doc_id, text in zip(ids, batch.column(1), strict=True):
                 hashes = shingle_set(text.as_py(), size)
                 sizes.append(len(hashes))
+                marks.append(bitmap(hashes, width(len(hashes))).tobytes())
                 digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                 if doc_id is not None and len(hashes):
                     own = np.unique(slices.keys(hashes))
@@ -211,7 +214,7 @@ def signatures(docs: DataFrame, size: int, percent: int, parts: int) -> DataFram
                     keys, nodes, waiting = [], [], 0
             if ids:
                 halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                yield _rows(p=(np.arange(len(ids)) & 1023).astype(np.int32), a=ids, b=sizes, c=halves[:, 0], d=halves[:, 1])
+                yield _rows(p=(np.arange(len(ids)) & 1023).astype(np.int32), a=ids, b=sizes, c=halves[:, 0], d=halves[:, 1], nodes=marks)
         if keys:
             yield from _combined(keys, nodes, parts)
 
@@ -223,7 +226,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """Documents (a, b, c, d) and edges (a, b) of ``signatures``, with edges for keys that several tasks hold.
+    """Documents (a, b, c, d, nodes) and edges (a, b) of ``signatures``, with edges for keys that several tasks hold.
 
     A key comes from a task once, so no key has more entries than there are tasks.  Of a range of
     keys all blocks are held at once; the ranges are many times as many as the partitions.
@@ -252,22 +255,35 @@ def shared_keys(rows: DataFrame) -> DataFrame:
                 nodes.append(from_planes(own.as_py()).view(np.int64))
         yield from edges()
 
-    return rows.repartition("p").sortWithinPartitions("p").mapInArrow(run, ROWS_DDL).drop("p", "keys", "nodes")
+    return rows.repartition("p").sortWithinPartitions("p").mapInArrow(run, ROWS_DDL).drop("p", "keys")
+
+
+def width(n: int) -> int:
+    """Bits of the bitmap of a set: two to four times its size, within bounds."""
+    return 1 << min(14, max(8, int(2 * n).bit_length()))
+
+
+def bitmap(hashes: np.ndarray, bits: int) -> np.ndarray:
+    marks = np.zeros(bits, bool)
+    marks[(mix(hashes) >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)] = True
+    return np.packbits(marks).view(np.uint64)
+
+
+def folded(words: np.ndarray, bits: int) -> np.ndarray:
+    """A bitmap with fewer bits: neighbouring bits fall together, as their hashes do."""
+    marks = np.unpackbits(words.view(np.uint8)).reshape(bits, -1)
+    return np.packbits(marks.any(axis=1)).view(np.uint64)
 
 
 class Tree:
-    """Bitmaps of sets with the OR-combined nodes above them; level 0 is the sets."""
-
-    def __init__(self, sets: list[np.ndarray], bits: int):
-        sizes = np.array([len(s) for s in sets], np.int64)
-        # near copies share their smallest hash more often than not: they become neighbours
-        self.order = np.lexsort((sizes, np.array([s[0] for s in sets])))
-        marks = np.zeros((len(sets), bits), bool)
-        shift = np.uint64(64 - bits.bit_length() + 1)
-        for row, n in enumerate(self.order):
-            marks[row, (mix(sets[n]) >> shift).astype(np.int64)] = True
-        words = np.packbits(marks, axis=1).view(np.uint64)
-        small = sizes[self.order]
+    """Bitmaps of sets with the OR-combined nodes above them; level 0 is the sets.
+
+    ``order`` sorts the sets; neighbours should be alike, so that the nodes above them stay sparse.
+    """
+
+    def __init__(self, words: np.ndarray, sizes: np.ndarray, alike: np.ndarray):
+        self.order = np.lexsort((sizes, alike))
+        words, small = words[self.order], sizes[self.order]
         slack = small - np.bitwise_count(words).sum(axis=1, dtype=np.int64)
         self.levels = [(words, small, small, slack)]
         while len(self.levels[-1][0]) > 1:
@@ -334,12 +350,32 @@ def linked_pairs(sets: list[np.ndarray], first: int | None, percent: int) -> tup
     """
     if len(sets) < 2:
         return [], 0
-    forest, edges, compared = Forest(len(sets)), [], 0
-    lengths = np.array([len(s) for s in sets])
-    bits = 1 << min(14, max(8, int(2 * lengths.max()).bit_length()))
-    split = len(sets) if first is None else first
-    left = Tree(sets[:split], bits)
-    right = left if first is None else Tree(sets[split:], bits)
+    bits = width(max(map(len, sets)))
+
+    def linked(x: int, y: int) -> bool:
+        a, b = sets[x], sets[y]
+        return bool(links(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b), percent))
+
+    # near copies share their smallest hash more often than not: they become neighbours
+    words = np.array([bitmap(s, bits) for s in sets])
+    return traversed(words, np.array([len(s) for s in sets]), np.array([s[0] for s in sets]), first, percent, linked)
+
+
+def possible_pairs(words: list[np.ndarray], sizes: list[int], first: int | None, percent: int) -> list[tuple[int, int]]:
+    """Edges that span the components of pairs that may link, as far as bitmaps tell; as ``linked_pairs``."""
+    if len(words) < 2:
+        return []
+    bits = 64 * min(map(len, words))
+    matrix = np.array([w if 64 * len(w) == bits else folded(w, bits) for w in words])
+    return traversed(matrix, np.array(sizes), matrix[:, 0], first, percent, None)[0]
+
+
+def traversed(words, lengths, alike, first: int | None, percent: int, linked) -> tuple[list[tuple[int, int]], int]:
+    """The dual traversal; ``linked`` decides on pairs that reach the leaves, None takes them all."""
+    forest, edges, compared = Forest(len(words)), [], 0
+    split = len(words) if first is None else first
+    left = Tree(words[:split], lengths[:split], alike[:split])
+    right = left if first is None else Tree(words[split:], lengths[split:], alike[split:])
     base = 0 if first is None else split
     depth = max(len(left.levels), len(right.levels))
 
@@ -349,15 +385,14 @@ def linked_pairs(sets: list[np.ndarray], first: int | None, percent: int) -> tup
             if forest.find(one) == forest.find(two):
                 continue
             compared += 1
-            a, b = sets[one], sets[two]
-            if links(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b), percent):
+            if linked is None or linked(one, two):
                 forest.join(one, two)
                 edges.append((one, two))
 
     if first is None:
-        x, y = left.order[:-1], left.order[1:]
-        close = 100 * np.minimum(lengths[x], lengths[y]) >= percent * np.maximum(lengths[x], lengths[y])
-        compare(x[close], y[close])
+        i = np.arange(split - 1)
+        i = i[possible(left, 0, left, 0, i, i + 1, percent)]
+        compare(left.order[i], left.order[i + 1])
 
     labels = forest.labels()
     same_l = left.same(labels[:split])
@@ -381,7 +416,8 @@ def linked_pairs(sets: list[np.ndarray], first: int | None, percent: int) -> tup
         compare(x[:4096], y[:4096])
         x, y = x[4096:], y[4096:]
         labels = forest.labels()
-        x, y = x[labels[x] != labels[y]], y[labels[x] != labels[y]]
+        apart = labels[x] != labels[y]
+        x, y = x[apart], y[apart]
     return edges, compared
 
 
@@ -399,7 +435,7 @@ def crossed(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return i[there], j[there]
 
 
-MEMBERS = pa.schema([("task", pa.string()), ("side", pa.int32()), ("node", pa.int64()), ("hashes", pa.binary())])
+MEMBERS = pa.schema([("task", pa.string()), ("side", pa.int32()), ("node", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
 
 
 def member_sets(members: DataFrame, size: int) -> DataFrame:
@@ -411,32 +447,37 @@ def member_sets(members: DataFrame, size: int) -> DataFrame:
                 part = batch.slice(at, 256)
                 rows = []
                 for node, text, tasks in zip(*(part.column(c).to_pylist() for c in range(3)), strict=True):
-                    hashes = shingle_set(text, size).tobytes()
-                    rows += [(t["task"], t["side"], node, hashes) for t in tasks]
+                    hashes = shingle_set(text, size)
+                    data = hashes.tobytes()
+                    rows += [(t["task"], t["side"], node, len(hashes), data) for t in tasks]
                 for k in range(0, len(rows), 256):
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k : k + 256], strict=True), MEMBERS, strict=True)], schema=MEMBERS)
 
-    return members.mapInArrow(run, "task string, side int, node long, hashes binary")
+    return members.mapInArrow(run, "task string, side int, node long, n long, data binary")
 
 
-def task_edges(members: DataFrame, percent: int) -> DataFrame:
-    """Edges inside each task: its rows come together, one task after the other."""
+def task_edges(members: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """Edges inside each task; its rows (task, side, node, n, data) come together, one task after the other.
+
+    ``data`` holds the hashes of a set if ``exact``, else its bitmap.
+    """
 
-    def solve(nodes: list[int], sides: list[int], sets: list[bytes]) -> list[tuple[int, int]]:
+    def solve(nodes: list[int], sides: list[int], sizes: list[int], data: list[bytes]) -> list[tuple[int, int]]:
         seen: dict[tuple[int, bytes], int] = {}
-        for n, key in enumerate(zip(sides, sets, strict=True)):
-            seen.setdefault(key, n)
+        for n in range(len(nodes)):
+            # equal sets are one; equal bitmaps need not be equal sets
+            seen.setdefault((sides[n], data[n] if exact else nodes[n]), n)
         chosen = sorted(seen.values(), key=lambda n: sides[n])
         first = sum(1 for n in chosen if sides[n] == 0)
-        edges = [(nodes[n], nodes[seen[sides[n], sets[n]]]) for n in range(len(nodes))]
-        if 0 < first <= len(chosen):
-            arrays = [np.frombuffer(sets[n], np.uint64) for n in chosen]
-            found, _ = linked_pairs(arrays, first if first < len(chosen) else None, percent)
+        edges = [(nodes[n], nodes[seen[sides[n], data[n]]]) for n in range(len(nodes))] if exact else []
+        if first:
+            arrays, split = [np.frombuffer(data[n], np.uint64) for n in chosen], first if first < len(chosen) else None
+            found = linked_pairs(arrays, split, percent)[0] if exact else possible_pairs(arrays, [sizes[n] for n in chosen], split, percent)
             edges += [(nodes[chosen[x]], nodes[chosen[y]]) for x, y in found]
         return [e for e in edges if e[0] != e[1]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, held = None, ([], [], [])
+        task, held = None, ([], [], [], [])
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
         def edges() -> Iterator[pa.RecordBatch]:
@@ -445,20 +486,20 @@ def task_edges(members: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=schema)
 
         for batch in batches:
-            for name, side, node, hashes in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+            for name, *row in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
                 if name != task:
                     yield from edges()
-                    task, held = name, ([], [], [])
-                held[0].append(node)
-                held[1].append(side)
-                held[2].append(hashes)
+                    task, held = name, ([], [], [], [])
+                for column, value in zip(held, row, strict=True):
+                    column.append(value)
         yield from edges()
 
-    return members.repartition("task").sortWithinPartitions("task", "side", "node").mapInArrow(run, "a long, b long")
+    rows = members.select("task", "node", "side", "n", "data")
+    return rows.repartition("task").sortWithinPartitions("task", "side", "node").mapInArrow(run, "a long, b long")
 
 
 def assigned(members: DataFrame, percent: int) -> DataFrame:
-    """(node, tasks) for members (node, n, part): which comparisons of cells each takes part in.
+    """Members (node, n, part, ...) with ``tasks``, the comparisons of cells each takes part in, and ``whole``.
 
     A partition that fits one cell is one task.  A larger one is cut by the level of set sizes and, on
     a level, by a hash into cells; cells of one level and of neighbouring levels are compared pairwise.
@@ -472,6 +513,7 @@ def assigned(members: DataFrame, percent: int) -> DataFrame:
     def cuts(sets, shingles):
         return F.greatest(F.ceil(sets / CELL_SETS), F.ceil(shingles / CELL_SHINGLES))
 
+    columns = members.columns
     members = members.withColumn("level", level_of("n"))
     levels = members.groupBy("part", "level").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
     parts = levels.groupBy("part").agg(
@@ -499,7 +541,7 @@ def assigned(members: DataFrame, percent: int) -> DataFrame:
     level = F.col("level")
     spread = F.concat(cells(level, 0), cells(level + 1, 1), cells(level - 1, -1))
     single = F.array(F.struct(F.col("part").cast("string").alias("task"), F.lit(0).alias("side")))
-    return placed.select("node", F.when(whole, single).otherwise(spread).alias("tasks"))
+    return placed.select(*columns, whole.alias("whole"), F.when(whole, single).otherwise(spread).alias("tasks"))
 
 
 def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
@@ -512,15 +554,22 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     """
     parts = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = stored(shared_keys(signatures(docs, size, percent, parts)), "shingle-rows")
-    documents = rows.filter("c is not null").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "c", "d")
-    reps = documents.filter("n_shingles > 0 and doc_id is not null").groupBy("c", "d").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
+    documents = rows.filter("c is not null").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "c", "d", F.col("nodes").alias("bits"))
+    reps = documents.filter("n_shingles > 0 and doc_id is not null").groupBy("c", "d").agg(
+        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("bits").alias("bits"))
     # written, so that the last join exchanges both of its sides and a set with very many copies can be split
     reps = stored(reps, "sets")
     parts = connected_components(rows.filter("c is null").select("a", "b"), "partitions")
-    members = reps.join(parts, F.col("rep") == F.col("node")).select("node", "n", F.col("component").alias("part"))
-    tasks = stored(assigned(members, percent), "comparisons")
+    members = reps.join(parts, F.col("rep") == F.col("node")).select("node", "n", "bits", F.col("component").alias("part"))
+    cells = stored(assigned(members, percent), "cells")
+    # partitions of more than one cell are looked at by bitmaps alone first: passages that many texts share join
+    # unrelated ones, and what a bitmap already rules out needs no set to be sent
+    large = cells.filter("not whole").select("node", "n", F.col("bits").alias("data"), F.explode("tasks").alias("t")).select("t.task", "t.side", "node", "n", "data")
+    finer = connected_components(stored(task_edges(large, percent, False), "candidates"), "finer")
+    again = cells.filter("not whole").select("node", "n").join(finer, "node").select("node", "n", F.col("component").alias("part"))
+    tasks = stored(assigned(cells.filter("whole").select("node", "n", "part").unionByName(again), percent).select("node", "tasks"), "comparisons")
     texts = _texts(docs).join(tasks, F.col("doc_id") == F.col("node")).select("doc_id", "text", "tasks")
-    edges = stored(task_edges(member_sets(texts, size), percent), "links")
+    edges = stored(task_edges(member_sets(texts, size), percent, True), "links")
     found = connected_components(edges, "components").withColumnRenamed("node", "rep")
     of_set = reps.join(found, "rep", "left").select("c", "d", F.coalesce("component", "rep").alias("of_set"))
     joined = documents.join(of_set, ["c", "d"], "left")
