@@ -78,8 +78,8 @@ class Lines(HTMLParser):
         for name, value in attrs:
             if name in ("class", "id", "role") and value and not named and tag not in ("html", "body", "article", "main"):
                 words = value.lower().replace("-", " ").replace("_", " ").split()
-                named = not AROUND_WORDS.isdisjoint(words)
-            elif name == "hidden" or (name == "aria-hidden" and value == "true"):
+                named = not AROUND_WORDS.isdisjoint(words) or ("header" in words and not main)
+            elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and "display:none" in value.lower().replace(" ", "")):
                 silent = True
         # inside a block, what does not belong to the article is left out of its line
         silent = silent or tag in SILENT or (named and tag not in BLOCK)

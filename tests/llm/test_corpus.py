@@ -264,6 +264,8 @@ def test_main_text():
     assert html_text.main_text(page) == "Head & line\nOne bold text. Second\nCafé <x> end"
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<nav>x</nav>") == ""
     assert html_text.main_text("just text") == "just text"
+    framed = '<div class="site-header">Site</div><div id="main"><div style="display: none">x</div><article><div class="article-header"><h1>H</h1></div><p>B</article></div>'
+    assert html_text.main_text(framed) == "H\nB"
     plain = "<div>" + "".join(f"<a href=x>l{n}</a> " for n in range(9)) + "</div><p>" + "long text here " * 20 + "</p><p>short.</p><p>" + "more text here " * 20 + "</p><div><a>x</a><a>y</a></div>"
     assert html_text.main_text(plain).split("\n")[1] == "short." and "l0" not in html_text.main_text(plain)
 
