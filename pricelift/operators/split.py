@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import ensure_checkpoint_dir
+
 HOLDOUT_FRACTION = 0.15
 TRAIN_FRACTION = 0.70 / 0.85
 
@@ -44,28 +46,26 @@ def split_point(
 ) -> SplitPoint:
     """Where to cut so that the older part has int(rows x fraction) rows.
 
-    Rows are ordered by (date, digest of the key).  Counts per date give the date of the
-    cut; counts per digest prefix inside that date narrow it 65,536-fold, and only the keys
-    of one prefix are put in order.  Only counts reach the driver, and no task sorts a whole
-    date, even one that holds a third of all rows.
+    Rows are ordered by (date, digest of the key).  One pass counts them per date and digest prefix (65,536 prefixes
+    a date at most); that small table, written to the cluster's shared folder, gives the date and the prefix of the cut, and a
+    second pass looks at the keys of this one prefix only.  No task sorts a whole date, even one that holds a third of all rows.
     """
-    dates = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("n")).filter(F.col(date_col).isNotNull())
+    ensure_checkpoint_dir(df.sparkSession)
+    digest = row_digest(keys)
+    counts = (
+        df.filter(F.col(date_col).isNotNull()).groupBy(F.col(date_col).alias("_day"), F.substring(digest, 1, 4).alias("cell"))
+        .agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    )
+    dates = counts.groupBy("_day").agg(F.sum("n").alias("n"))
     total = dates.agg(F.sum("n")).first()[0] or 0
     rank = int(total * fraction)
     if rank <= 0:
         return SplitPoint(None, None)
-    day, before = _holding(dates, date_col, rank)
+    day, before = _holding(dates, "_day", rank)
     rank -= before
-    inside = df.filter(F.col(date_col) == F.lit(day)).select(row_digest(keys).alias("digest"))
-    prefix = ""
-    for width in (4, 32):
-        cells = (
-            inside.filter(F.col("digest").startswith(prefix))
-            .groupBy(F.substring("digest", 1, width).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-        )
-        prefix, before = _holding(cells, "cell", rank)
-        rank -= before
-    return SplitPoint(day, prefix)
+    prefix, before = _holding(counts.filter(F.col("_day") == F.lit(day)), "cell", rank)
+    inside = df.filter((F.col(date_col) == F.lit(day)) & digest.startswith(prefix)).groupBy(digest.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    return SplitPoint(day, _holding(inside, "cell", rank - before)[0])
 
 
 def split_at(
