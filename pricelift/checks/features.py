@@ -42,6 +42,10 @@ def _split(spark, sf):
 
 
 _WEEK = ("product_id", "year", "week")
+_WEEKLY_DOUBLES = (
+    "weekly_revenue", "weekly_profit", "avg_price", "min_price", "max_price", "avg_discount_pct", "avg_inventory",
+    "avg_inventory_ratio", "ma4_weekly_sales", "price_change_pct", "demand_change_pct",
+)
 _ROLLING_SQL = """
         select product_id, date, avg(units_sold) over w as moving_avg_7day,
                coalesce(stddev_samp(units_sold) over w, 0) as demand_volatility
@@ -106,14 +110,12 @@ CHECKS = [
         doubles="price_change_pct demand_change_pct"),
     Check("elasticity_weekly", lambda s, d: features.elasticity_weekly(features.pct_changes(x.weekly(s, d))).select(*_WEEK, "price_elasticity_est"), """
         select product_id, year, week, elasticity_3 as price_elasticity_est from weekly_elastic""", doubles="price_elasticity_est"),
-    Check("weekly_features", lambda s, d: features.weekly_features(x.weekly(s, d)).select(
-        *_WEEK, "weekly_units_sold", "weekly_revenue", "avg_price", "ma4_weekly_sales", "price_change_pct",
-        "price_elasticity_est", "revenue_per_unit", "low_stock_flag"), f"""
-        select product_id, year, week, weekly_units_sold, {rnd("weekly_revenue", 2)} as weekly_revenue, {rnd("avg_price", 2)} as avg_price,
-               {rnd("ma4_weekly_sales", 2)} as ma4_weekly_sales, {rnd("price_change_pct", 2)} as price_change_pct,
+    Check("weekly_features", lambda s, d: features.weekly_features(x.weekly(s, d)), f"""
+        select product_id, product_name, department, year, week, weekly_units_sold, festival_days, weekend_days, transaction_days,
+               lag1_weekly_sales, lag2_weekly_sales, {", ".join(f"{rnd(c, 2)} as {c}" for c in _WEEKLY_DOUBLES)},
                {rnd("elasticity_3", 2)} as price_elasticity_est, {rnd("weekly_revenue / nullif(weekly_units_sold, 0)", 2)} as revenue_per_unit,
                case when avg_inventory_ratio < 0.3 then 1 else 0 end as low_stock_flag
-        from weekly_elastic""", doubles="weekly_revenue avg_price ma4_weekly_sales price_change_pct price_elasticity_est revenue_per_unit"),
+        from weekly_elastic""", doubles=" ".join((*_WEEKLY_DOUBLES, "price_elasticity_est", "revenue_per_unit"))),
     Check("recent_trend", lambda s, d: features.recent_stats(td.sales(s, d)), "select * from recent_trend_v",
           doubles="avg_daily std_daily last7 prior7 trend"),
     Check("chrono_split", _split, """

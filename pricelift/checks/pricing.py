@@ -78,8 +78,8 @@ CHECKS = [
           doubles="predicted_units predicted_units_lower predicted_units_upper recommended_price predicted_revenue", dates="forecast_date"),
     Check("train_seasonal", lambda s, d: fc.seasonal_index(td.sales(s, d)), "select * from seasonal_indices",
           doubles="mean_units seasonal_index"),
-    Check("seasonal_forecast", lambda s, d: x.seasonal_forecast(s, d), "select product_id, ds, yhat from seasonal_days",
-          doubles="yhat", dates="ds"),
+    Check("seasonal_forecast", lambda s, d: x.seasonal_forecast(s, d), "select product_id, ds, yhat, yhat_lower, yhat_upper from seasonal_days",
+          doubles="yhat yhat_lower yhat_upper", dates="ds"),
     Check("seasonal_factor", lambda s, d: fc.seasonal_factor(x.seasonal_forecast(s, d)), """
         select product_id, case when m > 0 then least(2.0, greatest(0.5, f / m)) else 1 end as seasonal_factor
         from (select product_id, arg_min(yhat, ds) as f, avg(yhat) as m from seasonal_days group by product_id)""",

@@ -334,22 +334,41 @@ from (
         where r.recent_rows >= 10))
 """
 VIEWS["seasonal_levels"] = """
-select product_id, case when grouping(wd) = 0 then 'weekday' when grouping(mo) = 0 then 'month' else 'all' end as kind,
-       coalesce(wd, mo) as bucket, cast(sum(units_sold) as double) / count(*) as mean_units
-from (select product_id, units_sold, cast(isodow(date) - 1 as integer) as wd, cast(month(date) as integer) as mo from sales)
-group by grouping sets ((product_id), (product_id, wd), (product_id, mo))
+select product_id, case when grouping(wd) = 0 then 'weekday' when grouping(mo) = 0 then 'month' when grouping(f) = 0 then 'festival' else 'all' end as kind,
+       coalesce(wd, mo, f) as bucket, cast(sum(u) as double) / count(*) as every, cast(sum(u) filter (where f = 0) as double) / count(*) filter (where f = 0) as usual,
+       cast(count(*) as double) as n, cast(sum(x) as double) as sx, cast(sum(u) as double) as sy, cast(sum(x * x) as double) as sxx,
+       cast(sum(x * u) as double) as sxy, cast(sum(u * u) as double) as syy
+from (select product_id, units_sold as u, festival_flag as f, date_diff('day', date '2000-01-01', date) as x,
+             cast(isodow(date) - 1 as integer) as wd, cast(month(date) as integer) as mo from sales where date is not null)
+group by grouping sets ((product_id), (product_id, wd), (product_id, mo), (product_id, f))
+"""
+VIEWS["seasonal_rows"] = """
+select product_id, kind, bucket, usual as mean_units from seasonal_levels where kind in ('weekday', 'month') and usual is not null
+union all select product_id, kind, bucket, every from seasonal_levels where kind = 'festival' and bucket = 1
+union all select product_id, 'all', null, coalesce(usual, every) from seasonal_levels where kind = 'all'
+union all select product_id, 'trend', null, coalesce((n * sxy - sx * sy) / nullif(n * sxx - sx * sx, 0), 0) from seasonal_levels where kind = 'all'
+union all select product_id, 'centre', null, sx / n from seasonal_levels where kind = 'all'
+union all select product_id, 'spread', null, case when n > 1 then sqrt(greatest(0, (syy - sy * sy / n) / (n - 1))) end from seasonal_levels where kind = 'all'
 """
 VIEWS["seasonal_indices"] = """
-select l.*, l.mean_units / nullif(a.mean_units, 0) as seasonal_index
-from seasonal_levels l join seasonal_levels a on a.product_id = l.product_id and a.kind = 'all'
+select l.*, case when l.kind not in ('trend', 'centre', 'spread') then l.mean_units / nullif(a.mean_units, 0) end as seasonal_index
+from seasonal_rows l join seasonal_rows a on a.product_id = l.product_id and a.kind = 'all'
 """
 VIEWS["seasonal_days"] = """
-select a.product_id, g.ds, a.mean_units * coalesce(w.seasonal_index, 1) * coalesce(m.seasonal_index, 1) as yhat
-from seasonal_indices a
-join (select cast(d as date) as ds from range(timestamp '2001-10-10', timestamp '2001-11-09', interval 1 day) t(d)) g on true
-left join seasonal_indices w on w.product_id = a.product_id and w.kind = 'weekday' and w.bucket = isodow(g.ds) - 1
-left join seasonal_indices m on m.product_id = a.product_id and m.kind = 'month' and m.bucket = month(g.ds)
-where a.kind = 'all'
+select product_id, ds, yhat, greatest(0, yhat - half) as yhat_lower, yhat + half as yhat_upper from (
+  select a.product_id, g.ds, cast(1.2816 as double) * coalesce(s.mean_units, 0) as half,
+         greatest(0, (a.mean_units + t.mean_units * (date_diff('day', date '2000-01-01', g.ds) - c.mean_units))
+                  * coalesce(w.seasonal_index, 1) * coalesce(m.seasonal_index, 1)
+                  * case when month(g.ds) in (10, 12) and day(g.ds) >= 20 then coalesce(f.seasonal_index, 1) else 1 end) as yhat
+  from seasonal_indices a
+  join (select cast(d as date) as ds from range(timestamp '2001-10-10', timestamp '2001-11-09', interval 1 day) t(d)) g on true
+  join seasonal_indices t on t.product_id = a.product_id and t.kind = 'trend'
+  join seasonal_indices c on c.product_id = a.product_id and c.kind = 'centre'
+  join seasonal_indices s on s.product_id = a.product_id and s.kind = 'spread'
+  left join seasonal_indices f on f.product_id = a.product_id and f.kind = 'festival'
+  left join seasonal_indices w on w.product_id = a.product_id and w.kind = 'weekday' and w.bucket = isodow(g.ds) - 1
+  left join seasonal_indices m on m.product_id = a.product_id and m.kind = 'month' and m.bucket = month(g.ds)
+  where a.kind = 'all')
 """
 # training rows lie before the date, test rows after it
 VIEWS["predictions"] = """

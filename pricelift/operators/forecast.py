@@ -50,45 +50,85 @@ def forecast_project(
     )
 
 
+#: Day the trend counts from, and the half width of the band in deviations (80 % of a normal distribution).
+TREND_ORIGIN = dt.date(2000, 1, 1)
+BAND_DEVIATIONS = 1.2816
+
+
 def seasonal_index(sales: DataFrame) -> DataFrame:
-    """Weekday and month indices per product: mean of the bucket over mean of all.
+    """Weekday, month and festival indices, trend and spread per product, as rows (kind, bucket, mean_units, seasonal_index).
 
-    Units are first summed to product x weekday x month (84 rows at most), then rolled
-    up with grouping sets: every product is "trained" in the same two aggregates.
+    ``all`` is the mean of regular days (of all days, if a product has none); weekday and month indices are means of
+    regular days over it, so festival sales do not leak into October and December; the ``festival`` index is the mean of
+    festival days over it.  ``trend`` is the least-squares slope in units a day, ``centre`` the mean day it turns about, and ``spread``
+    the deviation of units.  Units are first summed to product x weekday x month x festival (168 rows
+    at most), then rolled up with grouping sets: every product is "trained" in the same two aggregates.
     """
-    cells = sales.groupBy(
-        "product_id", F.weekday("date").alias("weekday"), F.month("date").alias("month")
-    ).agg(F.sum("units_sold").alias("units"), F.count("units_sold").alias("rows"))
-    p, w, m = F.col("product_id"), F.col("weekday"), F.col("month")
-    levels = cells.groupingSets([[p], [p, w], [p, m]], p, w, m).agg(
-        (F.sum("units") / F.sum("rows")).alias("mean_units"),
-        F.grouping("weekday").alias("_no_weekday"), F.grouping("month").alias("_no_month"),
+    x, u = F.datediff("date", F.lit(TREND_ORIGIN)).cast("long"), F.col("units_sold")
+    cells = sales.filter(F.col("date").isNotNull() & u.isNotNull()).groupBy(
+        "product_id", F.weekday("date").alias("weekday"), F.month("date").alias("month"), F.col("festival_flag").alias("festival")
+    ).agg(
+        F.sum(u).alias("units"), F.count(u).alias("rows"), F.sum(x).alias("sx"), F.sum(x * x).alias("sxx"),
+        F.sum(x * u).alias("sxy"), F.sum(u * u).alias("syy"),
+    )
+    p, w, m, f = (F.col(c) for c in ("product_id", "weekday", "month", "festival"))
+    regular = F.coalesce(f, F.lit(0)) == 0
+    sums = ("units", "rows", "sx", "sxx", "sxy", "syy")
+    levels = cells.withColumns({"reg_units": F.when(regular, F.col("units")), "reg_rows": F.when(regular, F.col("rows"))}).groupingSets(
+        [[p], [p, w], [p, m], [p, f]], p, w, m, f
+    ).agg(
+        *[F.sum(c).cast("double").alias(c) for c in (*sums, "reg_units", "reg_rows")],
+        *[F.grouping(c).alias(f"_no_{c}") for c in ("weekday", "month", "festival")],
     )
-    kind = (
-        F.when(F.col("_no_weekday") == 0, "weekday").when(F.col("_no_month") == 0, "month").otherwise("all")
+    kind = F.when(F.col("_no_weekday") == 0, "weekday").when(F.col("_no_month") == 0, "month").when(F.col("_no_festival") == 0, "festival").otherwise("all")
+    every, usual = F.try_divide("units", "rows"), F.try_divide("reg_units", "reg_rows")
+    n, sx, sy, sxx, sxy, syy = (F.col(c) for c in ("rows", "sx", "units", "sxx", "sxy", "syy"))
+    slope = F.coalesce(F.try_divide(n * sxy - sx * sy, n * sxx - sx * sx), F.lit(0.0))
+    spread = F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), (syy - sy * sy / n) / (n - 1))))
+
+    def row(name: Column, bucket: Column, value: Column) -> Column:
+        return F.struct(name.alias("kind"), bucket.alias("bucket"), value.alias("mean_units"))
+
+    none = F.lit(None).cast("int")
+    of_all = [row(F.lit(k), none, v) for k, v in (("all", F.coalesce(usual, every)), ("trend", slope), ("centre", sx / n), ("spread", spread))]
+    rows = (
+        F.when(F.col("kind") == "all", F.array(*of_all))
+        .when((F.col("kind") == "festival") & (f == 1), F.array(row(F.lit("festival"), F.lit(1), every)))
+        .when(F.col("kind").isin("weekday", "month") & usual.isNotNull(), F.array(row(F.col("kind"), F.coalesce("weekday", "month"), usual)))
     )
-    tagged = levels.select("product_id", kind.alias("kind"), F.coalesce("weekday", "month").alias("bucket"), "mean_units")
+    tagged = levels.withColumn("kind", kind).select("product_id", F.inline(rows))
     overall = F.max(F.when(F.col("kind") == "all", F.col("mean_units"))).over(Window.partitionBy("product_id"))
-    return tagged.withColumn("seasonal_index", F.try_divide(F.col("mean_units"), overall))
+    index = F.when(~F.col("kind").isin("trend", "centre", "spread"), F.try_divide(F.col("mean_units"), overall))
+    return tagged.withColumn("seasonal_index", index)
 
 
 def seasonal_forecast(index: DataFrame, start: dt.date, days: int = 30) -> DataFrame:
-    """Expected units per product and day: level x weekday index x month index.
+    """Expected units per product and day with their band: (level and trend) x weekday x month x festival index.
 
     The indices of one product are gathered into two maps (7 and 12 entries at most)."""
     entry = F.struct("bucket", "seasonal_index")
+
+    def value(kind: str, column: str = "mean_units") -> Column:
+        return F.max(F.when(F.col("kind") == kind, F.col(column)))
+
     maps = index.groupBy("product_id").agg(
-        F.max(F.when(F.col("kind") == "all", F.col("mean_units"))).alias("level"),
+        value("all").alias("level"), value("trend").alias("_slope"), value("centre").alias("_centre"), value("spread").alias("_sd"),
+        value("festival", "seasonal_index").alias("_f"),
         F.map_from_entries(F.collect_list(F.when(F.col("kind") == "weekday", entry))).alias("_w"),
         F.map_from_entries(F.collect_list(F.when(F.col("kind") == "month", entry))).alias("_m"),
     )
     df = maps.withColumn("ds", F.explode(F.sequence(F.lit(start), F.lit(start + dt.timedelta(days=days - 1)))))
-    yhat = (
-        F.col("level")
+    trended = F.col("level") + F.col("_slope") * (F.datediff("ds", F.lit(TREND_ORIGIN)) - F.col("_centre"))
+    yhat = F.greatest(F.lit(0.0), (
+        trended
         * F.coalesce(F.try_element_at("_w", F.weekday("ds")), F.lit(1.0))
         * F.coalesce(F.try_element_at("_m", F.month("ds")), F.lit(1.0))
+        * F.when(cal.festival("ds") == 1, F.coalesce("_f", F.lit(1.0))).otherwise(F.lit(1.0))
+    ))
+    half = F.lit(BAND_DEVIATIONS) * F.coalesce("_sd", F.lit(0.0))
+    return df.select(
+        "product_id", "ds", yhat.alias("yhat"), F.greatest(F.lit(0.0), yhat - half).alias("yhat_lower"), (yhat + half).alias("yhat_upper")
     )
-    return df.select("product_id", "ds", yhat.alias("yhat"))
 
 
 def seasonal_factor(forecast: DataFrame) -> DataFrame:

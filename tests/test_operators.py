@@ -388,6 +388,18 @@ def test_forecast_skips_short_history_and_floors_at_zero(spark):
     assert all(r.festival_flag == 0 for r in got)  # December is no festival month of the forecast
 
 
+def test_seasonal_model_finds_festival_and_trend(spark):
+    days = [D(2023, 1, 1) + dt.timedelta(days=n) for n in range(730)]
+    data = [(1, d, int(d.month in (10, 12) and d.day >= 20), 100 + n // 10 + (300 if d.month in (10, 12) and d.day >= 20 else 0)) for n, d in enumerate(days)]
+    df = spark.createDataFrame(data, "product_id long, date date, festival_flag int, units_sold long")
+    index = {(r.kind, r.bucket): r for r in forecast.seasonal_index(df).collect()}
+    assert index["festival", 1].seasonal_index > 2.5 and index["month", 10].seasonal_index < 1.3
+    assert index["trend", None].mean_units == pytest.approx(0.1, abs=0.1)
+    got = {r.ds: r for r in forecast.seasonal_forecast(forecast.seasonal_index(df), D(2025, 10, 10)).collect()}
+    assert got[D(2025, 10, 25)].yhat > 2 * got[D(2025, 10, 18)].yhat
+    assert all(r.yhat_lower <= r.yhat <= r.yhat_upper for r in got.values())
+
+
 def test_seasonal_factor_limits(spark):
     df = spark.createDataFrame(
         [(1, D(2024, 1, 1), 9.0), (1, D(2024, 1, 2), 1.0), (1, D(2024, 1, 3), 1.0), (2, D(2024, 1, 1), 0.0), (3, D(2024, 1, 1), 1.0), (3, D(2024, 1, 2), 9.0)],
