@@ -40,10 +40,11 @@ def build_master_busy(
 ) -> DataFrame:
     """The same table from sales with many rows per product and day.
 
-    One product may then hold a third of all rows.  Sales are exchanged once, on product
+    One product may then hold a third of all rows.  Whole rows of sales are exchanged once, on product
     and month: the windows run there with the rows before the month, and the product
     tables, joined with each other and laid out per product and month, meet sales under
-    the same partitioning.  Totals and ratios come from a map-side aggregate.
+    the same partitioning.  Tails, totals and months are read from sales apart, a few columns each, and combine
+    map-side.
     """
     rolled = features.rolling_features_split(sales, order=order, keep_chunk=True)
     parts = [features.product_figures(sales)]
