@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelift.llm.common import Memo
+from pricelift.llm.common import MEMO, Memo
 
 #: Characters of the language model: 0 ends a word, 1-26 are a-z, then Latin-1 letters, other letters, digits, signs.
 SIZE = 64
@@ -194,7 +194,7 @@ class Evidence:
     def __init__(self, language: np.ndarray, weights: dict[str, float]):
         self.restorer = Restorer(language)
         self.weights = weights
-        self.tokens = Memo(lambda token: self.weigh(self.restorer.read(token)))
+        self.tokens = Memo(lambda token: self.weigh(self.restorer.read(token)), MEMO // 2)
 
     def weigh(self, words: tuple[str, ...]) -> tuple:
         """() for most words, else the words and their weight: what is remembered of a token stays small."""
