@@ -56,11 +56,6 @@ def four_ratio_joins(sales):
     return out
 
 
-def one_ratio_aggregate(sales):
-    flags = {f"{c}{v}": F.avg(F.when(F.col(c) == v, F.col("units_sold"))) for c in ("is_weekend", "festival_flag") for v in (1, 0)}
-    return sales.groupBy("product_id").agg(*[c.alias(n) for n, c in flags.items()])
-
-
 def seven_scans(master):
     for rule in quality.MASTER_RULES:
         column = next((c for c in rule.columns if c in master.columns), None)
@@ -71,7 +66,9 @@ def seven_scans(master):
 def global_rank_split(sales):
     w = Window.orderBy("date", "product_id")
     ranked = sales.withColumn("rn", F.row_number().over(w))
-    run(ranked.filter(F.col("rn") <= int(sales.count() * 0.85)))
+    cut = int(sales.count() * 0.85)
+    run(ranked.filter(F.col("rn") <= cut))
+    run(ranked.filter(F.col("rn") > cut))
 
 
 def solver_loop(lookup):
@@ -124,8 +121,8 @@ def main() -> None:
     keys = ("product_id", "transaction_id")
 
     def split_twice():
-        older, newer = split.chrono_split(sales, 0.85, keys)
-        run(older)
+        for part in split.chrono_split(sales, 0.85, keys):
+            run(part)
 
     def windows():
         return events.flat_window(events.tumbling_demand(events.parse_events(raw_events), "10 seconds"))
@@ -151,7 +148,7 @@ def main() -> None:
         "train_seasonal": lambda: run(forecast.seasonal_index(sales)),
         "purchase_patterns": lambda: run(patterns.purchase_patterns(joins.orders_in_set(lines, orders), orders, products)),
         "days_since_prior": lambda: run(features.days_since_prior(td.orders(spark, SF_DIR))),
-        "conditional_ratios": lambda: run(one_ratio_aggregate(sales)),
+        "conditional_ratios": lambda: run(features.product_figures(sales)),
         "validate_master": lambda: run(quality.validate(wide)),
         "chrono_split": split_twice,
         "kpi_totals": lambda: run(reports.kpi_totals(results)),
