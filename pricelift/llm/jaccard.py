@@ -28,7 +28,7 @@ from pricelift.llm.common import stored
 from pricelift.llm.components import connected_components
 
 #: Keys a task combines at a time.
-KEY_BUFFER = 1_000_000
+KEY_BUFFER = 400_000
 #: Ranges of keys to a shuffle partition.
 RANGES = 4
 #: Sets and shingles to a cell of a partition; larger partitions are compared cell against cell.
