@@ -36,29 +36,39 @@ SMOOTHING = 1.0
 CONTENT_SHARE = 0.5
 #: Share of that threshold that the unsmoothed ratio of the first and the last content line must reach.
 EDGE_SHARE = 0.2
+#: In an article, a line with less text per tag outside links than this, and than the edge share, is low.
+ARTICLE_LEAST = 1.0
+#: Low lines in a row that an article may hold, such as a linked headline; a longer run is a list of links.
+LOW_RUN = 2
+#: Text outside articles counts if it is this many times the text of the articles: a page of teasers.
+ARTICLE_PRIOR = 2
+
+
+Line = tuple[str, int, int, bool, int, int]
 
 
 class Lines(HTMLParser):
     """The page as lines, one to a block: text, text and tag counts, and where it stands.
 
-    A line is (text, characters, tags, around, main): ``around`` if an enclosing element is not part
-    of an article, ``main`` if one is an article.
+    A line is (text, characters, tags, around, main, linked): ``around`` if an enclosing element is not part
+    of an article, ``main`` the number of the outermost article or 0, ``linked`` the characters in links.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
-        self.open: list[tuple[str, bool, bool, bool]] = []  # tag, silent, around, main
+        self.lines: list[Line] = []
+        self.open: list[tuple[str, bool, bool, int, bool]] = []  # tag, silent, around, main, linked
         self.parts: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = self.articles = 0
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         self.parts.clear()
-        silent, around, main = self.open[-1][1:] if self.open else (False, False, False)
+        silent, around, main, _ = self.open[-1][1:] if self.open else (False, False, 0, False)
         if text and not silent:
-            self.lines.append((text, len(text), self.tags, around, main))
+            self.lines.append((text, len(text), self.tags, around, main, self.linked))
             self.tags = 0
+        self.linked = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in ENDS_PARAGRAPH or tag == "p":
@@ -72,7 +82,7 @@ class Lines(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
-        silent, around, main = self.open[-1][1:] if self.open else (False, False, False)
+        silent, around, main, linked = self.open[-1][1:] if self.open else (False, False, 0, False)
         # the header of an article that holds its headline belongs to it
         named = tag in AROUND and not (tag == "header" and main)
         for name, value in attrs:
@@ -83,7 +93,12 @@ class Lines(HTMLParser):
                 silent = True
         # inside a block, what does not belong to the article is left out of its line
         silent = silent or tag in SILENT or (named and tag not in BLOCK)
-        self.open.append((tag, silent, around or named, main or tag in ("article", "main")))
+        if not main and tag in ("article", "main"):
+            self.articles += 1
+            main = self.articles
+        # a link that is never closed does not reach into the blocks behind it
+        linked = tag not in BLOCK and (linked or (tag == "a" and any(name == "href" for name, _ in attrs)))
+        self.open.append((tag, silent, around or named, main, linked))
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
@@ -111,6 +126,8 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not (self.open and self.open[-1][1]):
             self.parts.append(data)
+            if self.open and self.open[-1][4]:
+                self.linked += len(" ".join(data.split()))
 
 
 def smooth(values: np.ndarray, sigma: float = SMOOTHING) -> np.ndarray:
@@ -121,33 +138,75 @@ def smooth(values: np.ndarray, sigma: float = SMOOTHING) -> np.ndarray:
     return np.convolve(values, kernel)[reach : reach + len(values)] / weight
 
 
-def content_lines(lines: list[tuple[str, int, int, bool, bool]]) -> list[str]:
-    """Texts of the lines of the content cluster, in page order.
+def runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begin and end of every run of true flags."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
+    yield from zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)
 
-    Text-to-tag ratios are smoothed over neighbouring lines and cut at a share of their mean; lines
-    that stand in an element around the article never count, and where the page names an article
-    only the runs of lines inside it that hold a line of the cluster are taken, each whole: a
-    short paragraph between long ones belongs to them.
+
+def article_lines(lines: list[Line], least: float) -> np.ndarray:
+    """Which lines of one article are content: all but long runs of lines without text outside links.
+
+    The article speaks for its lines, so short paragraphs and items stay; an article without a line of
+    the cluster has none.
     """
-    inside = [n for n, line in enumerate(lines) if not line[3]]
-    if any(lines[n][4] for n in inside):
-        inside = [n for n in inside if lines[n][4]]
-    if not inside:
-        return []
-    raw = np.array([lines[n][1] / max(1, lines[n][2]) for n in inside])
+    raw = text_to_tag(lines)
+    if not (smooth(raw) >= least).any():
+        return np.zeros(len(lines), bool)
+    unlinked = np.array([max(0, line[1] - line[5]) / max(1, line[2]) for line in lines])
+    keep = np.ones(len(lines), bool)
+    for begin, end in runs(unlinked < min(ARTICLE_LEAST, EDGE_SHARE * least)):
+        if end - begin > LOW_RUN:
+            keep[begin:end] = False
+    return keep
+
+
+def other_lines(lines: list[Line]) -> np.ndarray:
+    """Which lines that no article names are content: from the first to the last line of the cluster."""
+    raw = text_to_tag(lines)
     ratios = smooth(raw)
     least = CONTENT_SHARE * ratios.mean()
-    content = ratios >= least
-    if any(lines[n][4] for n in inside):
-        # one article is one region
-        content[:] = content.any()
-    else:
-        # smoothing lifts a list of links next to long paragraphs; it cannot begin or end the region
-        chosen = np.flatnonzero(content & (raw >= EDGE_SHARE * least))
-        content[:] = False
-        if len(chosen):
-            content[chosen[0] : chosen[-1] + 1] = True
-    return [lines[n][0] for n, keep in zip(inside, content, strict=True) if keep]
+    # smoothing lifts a list of links next to long paragraphs; it cannot begin or end the region
+    chosen = np.flatnonzero((ratios >= least) & (raw >= EDGE_SHARE * least))
+    keep = np.zeros(len(lines), bool)
+    if len(chosen):
+        keep[chosen[0] : chosen[-1] + 1] = True
+    return keep
+
+
+def text_to_tag(lines: list[Line]) -> np.ndarray:
+    return np.array([line[1] / max(1, line[2]) for line in lines])
+
+
+def content_lines(lines: list[Line]) -> list[str]:
+    """Texts of the lines of the content cluster, in page order.
+
+    Text-to-tag ratios are smoothed over neighbouring lines of an article, or of what stands outside articles,
+    and cut at a share of their mean; lines that stand in an element around the article never count.  Naming
+    an article is a prior: inside it only runs of lines without text outside links are cut, and lines
+    outside count only where their cluster holds several times its text.
+    """
+    regions: dict[int, list[int]] = {}
+    for n, line in enumerate(lines):
+        if not line[3]:
+            regions.setdefault(line[4], []).append(n)
+
+    def chosen(region: int, keep: np.ndarray) -> list[int]:
+        return [n for n, yes in zip(regions[region], keep, strict=True) if yes]
+
+    def articles(of: list[int]) -> list[int]:
+        """Content of articles under the threshold that these regions give."""
+        ratios = [smooth(text_to_tag([lines[n] for n in regions[region]])) for region in of]
+        least = CONTENT_SHARE * np.concatenate(ratios).mean()
+        return [n for region in of if region for n in chosen(region, article_lines([lines[n] for n in regions[region]], least))]
+
+    named = [region for region in regions if region]
+    found = articles(named) if named else []
+    if 0 in regions:
+        others = chosen(0, other_lines([lines[n] for n in regions[0]]))
+        if sum(lines[n][1] for n in others) > ARTICLE_PRIOR * sum(lines[n][1] for n in found):
+            found = others + (articles(list(regions)) if named else [])
+    return [lines[n][0] for n in sorted(found)]
 
 
 def main_text(html: str | None) -> str:

@@ -270,6 +270,29 @@ def test_main_text():
     assert html_text.main_text(plain).split("\n")[1] == "short." and "l0" not in html_text.main_text(plain)
 
 
+def test_main_text_cuts_inside_an_article():
+    story = [f"<p>{'long story text ' * 15}{n}.</p>" for n in range(6)]
+    links = "<ul>" + "".join(f"<li><a href=/{n}>elsewhere {n}</a></li>" for n in range(7)) + "</ul>"
+    items = "<ul><li>Eggs</li><li>Milk</li><li>Flour</li><li>Salt</li></ul>"
+    head = "<h1><a href=/self>Head</a></h1>"
+    for tag in ("article", "main"):
+        got = html_text.main_text(f"<{tag}>{head}{story[0]}{links}{story[1]}{items}<p>Yes.</p>{links}</{tag}>")
+        assert "elsewhere" not in got
+        lines = got.split("\n")
+        assert lines[0] == "Head" and lines[1].endswith("0.") and lines[2].endswith("1.") and lines[3:] == ["Eggs", "Milk", "Flour", "Salt", "Yes."]
+    # a short article among long ones keeps its text
+    assert "brief" in html_text.main_text(f"<article>{''.join(story)}</article><article><h2>Next</h2><p>{'a brief post ' * 12}</p></article>")
+
+
+def test_main_text_next_to_a_teaser():
+    story = "".join(f"<p>{'long story text ' * 15}{n}.</p>" for n in range(6))
+    teaser = "<article><h3><a href=/x>Other</a></h3><p>Short teaser.</p></article>"
+    got = html_text.main_text(f"<div><h1>Head</h1>{story}</div>{teaser}")
+    assert all(f"{n}." in got for n in range(6)) and "teaser" not in got
+    # a notice outside does not outweigh an article
+    assert "notice" not in html_text.main_text(f"<p>{'a notice ' * 20}</p><article>{story}</article>")
+
+
 def test_pages(spark):
     for r in queries.op5_html_text(spark, TINY).join(table(spark, TINY, "pages").select("page_id", "html"), "page_id").collect():
         inside = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
