@@ -1,7 +1,7 @@
 """Toxicity of noisy text: restore it through a noisy channel, then score the restored words.
 
-A token that looks disguised (signs or digits among letters, a character three times in a row, single
-characters set apart by spaces) becomes a lattice: at every place the letters it may stand for, itself, or
+A token that may be disguised (signs or digits among or around letters, a doubled character) and a run of
+fragments of at most three characters become a lattice: at every place the letters it may stand for, itself, or
 nothing, each at a cost.  Viterbi decoding under a character trigram model of the corpus picks the
 reading.  Any other token has one path only, itself.  Evidence of restored words is learned from labels.
 """
@@ -32,6 +32,8 @@ STANDS_FOR = {
 }
 #: Costs of the channel in nats: a letter written as a sign, a sign put between letters, a letter repeated, a space put in.
 WRITTEN, PUT_IN, REPEATED, SPACED = 1.5, 1.5, 1.0, 0.5
+#: A sign put before or behind a word: dearer, as what is kept there splits off anyway.
+PUT_AROUND = 3.0
 
 #: Rows the classifier is fitted on, and word features it keeps: bounds of what comes to the driver.
 LABELLED_ROWS = 20_000
@@ -41,9 +43,24 @@ LEAST_TEXTS, LEAST_WEIGHT = 5, 3.0
 
 FOLDS = 5
 
-_EDGE = re.compile(r"^\W+|\W+$")
-_TRIPLE = re.compile(r"(.)\1\1")
-_APART = re.compile(r"(?<!\S)\S(?:\s\S){2,}[^\w\s]*(?!\S)")
+#: Marks a space that was put in, in what is read.
+JOINED = "\x1f"
+
+_SIGNS = "".join(re.escape(sign) for sign in STANDS_FOR if not sign.isdigit())
+#: Signs at an edge that stand for no letter.
+_EDGE = re.compile(rf"^[^\w{_SIGNS}]+|[^\w{_SIGNS}]+$")
+_DOUBLE = re.compile(r"(.)\1")
+_APART = re.compile(r"(?<!\S)\S{1,3}(?:\s+\S{1,3})+[^\w\s]*(?!\S)")
+
+
+def at_edge(text: str, at: int) -> bool:
+    """Whether only signs stand between this place and a space, or an end of the text."""
+    before, behind = at - 1, at + 1
+    while before >= 0 and not text[before].isalnum() and not text[before].isspace():
+        before -= 1
+    while behind < len(text) and not text[behind].isalnum() and not text[behind].isspace():
+        behind += 1
+    return before < 0 or behind == len(text) or text[before].isspace() or text[behind].isspace()
 
 
 def symbol(char: str) -> int:
@@ -109,6 +126,7 @@ class Restorer:
     def __init__(self, model: np.ndarray):
         self.cost = (-model).tolist()
         self.words = Memo(self.read)
+        self.runs = Memo(self.join, MEMO // 4)
 
     def _readings(self, text: str, at: int) -> list[tuple[str, float]]:
         char = text[at]
@@ -120,20 +138,23 @@ class Restorer:
         if not char.isalpha():
             out += [(letter, WRITTEN) for letter in STANDS_FOR.get(char, "")]
             if not char.isdigit():
-                out.append(("", PUT_IN))
+                out.append(("", PUT_AROUND if at_edge(text, at) else PUT_IN))
         return out
 
     def decode(self, text: str) -> str:
-        """The cheapest path through the lattice of a token or a run of single characters."""
+        """The cheapest path through the lattice of a token or a run of fragments; JOINED where a space is left out."""
         # state: the last two symbols -> (cost, link to what was read)
         states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for at in range(len(text)):
             reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            for char, price in self._readings(text, at):
+            own = text[at]
+            # most characters of most tokens stand for themselves only
+            alone = own.isalpha() and not (at and own == text[at - 1])
+            for char, price in ((own, 0.0),) if alone else self._readings(text, at):
                 to = 0 if char in ("", " ") else symbol(char)
                 for (one, two), (cost, link) in states.items():
                     if char == "":
-                        state, total, new = (one, two), cost + price, link
+                        state, total, new = (one, two), cost + price, (JOINED, link) if text[at].isspace() else link
                     elif char == " ":
                         state, total, new = (0, 0), cost + price + self.cost[one][two][0], (" ", link)
                     else:
@@ -151,26 +172,48 @@ class Restorer:
     def read(self, token: str) -> tuple[str, ...]:
         """The words behind a token."""
         bare = _EDGE.sub("", token) if not token.isalpha() else token
-        # a sign at the edge may stand for a letter; trailing full stops and the like never do
-        if bare and token[0] in "@$" and token[1:2].isalpha():
-            bare = token[0] + bare
         if not any(c.isalpha() for c in bare):
             return ()
-        if (bare.isalpha() or bare.replace("'", "").replace("-", "").isalpha() and "-" not in bare) and not _TRIPLE.search(bare):
+        if (bare.isalpha() or bare.replace("'", "").replace("-", "").isalpha() and "-" not in bare) and not _DOUBLE.search(bare):
             return (bare,)
         return tuple(w for w in re.split(r"[\W\d_]+", self.decode(bare)) if w)
 
-    def apart(self, text: str) -> Iterator[tuple[str, ...]]:
-        """The words behind runs of single characters in a lower-case text."""
-        if _APART.search(text):
-            for run in _APART.findall(text):
-                if any(c.isalpha() for c in run):
-                    yield tuple(w for w in re.split(r"[\W\d_]+", self.decode(run)) if len(w) > 1)
+    def join(self, run: str) -> tuple[str, ...]:
+        """The words of a run that stand across its spaces; the others are those of its tokens."""
+        run = _EDGE.sub("", run)
+        if not any(c.isalpha() for c in run):
+            return ()
+        parts = run.split(" ")
+        if "".join(parts).isalpha() and min(map(len, parts)) > 1 and not _DOUBLE.search(run):
+            return self.join_plain(parts)
+        read = re.split(rf"[^\w{JOINED}]+|[\d_]+", self.decode(run))
+        return tuple(w.replace(JOINED, "") for w in (part.strip(JOINED) for part in read) if JOINED in w)
+
+    def join_plain(self, parts: list[str]) -> tuple[str, ...]:
+        """What decoding finds in fragments with one path each: from its second letter on, a fragment does not depend on the space before it."""
+        cost, joined = self.cost, [parts[0]]
+        out = []
+        for part in parts[1:]:
+            one, two, three, four = symbol(joined[-1][-2]), symbol(joined[-1][-1]), symbol(part[0]), symbol(part[1])
+            if SPACED + cost[one][two][three] + cost[two][three][four] < cost[one][two][0] + cost[0][0][three] + cost[0][three][four]:
+                joined.append(part)
+                continue
+            if len(joined) > 1:
+                out.append("".join(joined))
+            joined = [part]
+        if len(joined) > 1:
+            out.append("".join(joined))
+        return tuple(out)
+
+    def apart(self, text: str) -> Iterator[str]:
+        """The runs of fragments of at most three characters, with one space between them."""
+        for run in _APART.findall(text):
+            yield " ".join(run.split())
 
     def restore(self, text: str) -> Iterator[tuple[str, ...]]:
-        """The restored words of every run of single characters, then of every token."""
+        """The restored words across the spaces of every run of fragments, then of every token."""
         text = text.lower()
-        yield from self.apart(text)
+        yield from filter(None, map(self.runs.__getitem__, self.apart(text)))
         yield from map(self.words.__getitem__, text.split())
 
 
@@ -195,6 +238,7 @@ class Evidence:
         self.restorer = Restorer(language)
         self.weights = weights
         self.tokens = Memo(lambda token: self.weigh(self.restorer.read(token)), MEMO // 2)
+        self.runs = Memo(lambda run: self.weigh(self.restorer.join(run)), MEMO // 4)
 
     def weigh(self, words: tuple[str, ...]) -> tuple:
         """() for most words, else the words and their weight: what is remembered of a token stays small."""
@@ -207,7 +251,7 @@ class Evidence:
         text = text.lower()
         tokens = text.split()
         hits = [h for h in map(self.tokens.__getitem__, tokens) if h]
-        hits += [h for run in self.restorer.apart(text) if (h := self.weigh(run))]
+        hits += [h for run in self.restorer.apart(text) if (h := self.runs[run])]
         found = dict(hits)
         return float(np.log1p(sum(found.values()))), float(np.log1p(len(hits))), min(1.0, 10.0 * len(hits) / max(1, len(tokens)))
 

@@ -77,6 +77,33 @@ def test_toxicity_restores(spark):
     assert ("idiot",) in list(read.restore("you are an i d i o t"))[:1] + list(read.restore("an i d i o t!"))
 
 
+def test_toxicity_restores_edges_doubles_and_fragments(spark):
+    text = "you are an idiot and a stupid moron in the trash with a loser and a clown"
+    read = toxicity.Restorer(toxicity.language_model(spark.createDataFrame([(text,)] * 50, "text string")))
+    noisy = {
+        "!diot": "idiot", "|oser": "loser", "(lown": "clown", "<lown": "clown", "+rash": "trash", "idio+": "idiot", "idio+.": "idiot", "\"!diot\"": "idiot",
+        "iddiot": "idiot", "looser": "loser", "mooron": "moron", "idiot!": "idiot", "idiot!!": "idiot", "(idiot)": "idiot", "idiot***": "idiot",
+    }
+    assert {n: read.words[n] for n in noisy} == {n: (plain,) for n, plain in noisy.items()}
+    for text in ("an i d i o t", "an i  d\ti\n o  t!", "stupid id iot", "id iot!", "stupid idi ot trash"):
+        assert any("idiot" in words for words in read.restore(text)), text
+    assert list(read.restore("you are an idiot")) == [("you",), ("are",), ("an",), ("idiot",)]
+    english = toxicity.Restorer(toxicity.language_model(spark.createDataFrame([("trass grass glass trash",)] * 50, "text string")))
+    assert english.words["tra$$"] == ("trass",)
+
+
+def test_toxicity_short_way_joins_as_decoding():
+    rng = np.random.default_rng(4)
+    read = toxicity.Restorer(np.log(rng.dirichlet(np.full(64, 0.3), (64, 64))).astype(np.float32))
+    seen = set()
+    for _ in range(500):
+        parts = ["".join(rng.choice(list("abcdé"), rng.integers(2, 4), replace=False)) for _ in range(rng.integers(2, 6))]
+        split = re.split(" ", read.decode(" ".join(parts)))
+        assert read.join(" ".join(parts)) == tuple(w.replace(toxicity.JOINED, "") for w in split if toxicity.JOINED in w)
+        seen.add(len(split) < len(parts))
+    assert seen == {False, True}
+
+
 def test_toxicity_viterbi_is_the_cheapest_path():
     rng = np.random.default_rng(2)
     read = toxicity.Restorer(np.log(rng.dirichlet(np.ones(64), (64, 64))).astype(np.float32))
