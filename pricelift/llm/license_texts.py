@@ -1,5 +1,7 @@
 """Published licence texts and notices the scan knows: fixed values."""
 
+from pricelift.llm.license_full_texts import FULL_TEXTS
+
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
 in the Software without restriction, including without limitation the rights
@@ -102,3 +104,9 @@ KNOWN = {
     "GPL-3.0 (notice)": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0 (notice)": "Licensed under CC BY-NC 4.0.",
 }
+
+#: Where a text goes on with how to apply it, the licence alone counts as well.
+_END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+
+KNOWN |= FULL_TEXTS
+KNOWN |= {f"{name} (terms)": body[: body.index(_END_OF_TERMS)] + _END_OF_TERMS for name, body in FULL_TEXTS.items() if _END_OF_TERMS in body}

@@ -18,8 +18,34 @@ SPELLINGS = (
     (r"\bhttps\b", "http"),
 )
 
+#: Words behind "copyright" in the prose of licences; any other word there names an owner.  Fixed values.
+PROSE = tuple(
+    "act and are as can claim claims disclaimer disclaimers for grant holder holders if in infringement interest interests is law laws"
+    " license licensed licenses licence licences licensing like line lines may must notice notices of on or owner owners ownership"
+    " permission permissions policy protection registration right rights shall statement statements status subsists that to treaties"
+    " treaty under which will with".split()
+)
+
+
+def other_word(words: tuple[str, ...]) -> str:
+    """A pattern of a word that is none of ``words``, without lookahead, which not every engine has."""
+    ways = ["[a-zß-ÿ]+"] if not words else []
+    if words:
+        first = sorted({w[0] for w in words if w})
+        ways.append(f"[^{''.join(first)}\x00-\x60\x7B-\xBF]")
+        for letter in first:
+            rest = tuple(w[1:] for w in words if w[:1] == letter)
+            deeper = other_word(tuple(r for r in rest if r)) if any(rest) else "[a-zß-ÿ]+"
+            # the letters so far are a word of their own unless one of the words ends here
+            ways.append(f"{letter}(?:{deeper})" + ("" if "" in rest else "|" + letter + r"(?:[^a-zß-ÿ]|$)"))
+    return "|".join(ways)
+
+
 #: Lines that only name the owner of the rights.
-COPYRIGHT_LINES = r"(?m)^[^a-z0-9\n]*(?:copyright[ \t]*(?:\(c\)|©|[0-9]|<|\[|\{)|\(c\)|©|all rights reserved)[^\n]*$"
+COPYRIGHT_LINES = (
+    r"(?m)^[^a-z0-9\n]*(?:copyright[ \t]*(?:\(c\)|©|[0-9]|<|\[|\{)|copyright(?:[ \t]*:[ \t]*|[ \t]+)(?:" + other_word(PROSE)
+    + r")|\(c\)[ \t]*(?:[^a-zß-ÿ \t\n]|$|" + other_word(("you", *PROSE)) + r")|©|all rights reserved)[^\n]*$"
+)
 
 #: Whatever is not a letter, a digit or beyond Latin-1 punctuation separates words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\xBF\x{2000}-\x{206F}]+"

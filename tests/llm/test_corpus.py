@@ -189,6 +189,22 @@ def test_licence_variants(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_licence_full_texts_and_owners(spark):
+    known = licenses.KNOWN
+    mit = "MIT License\n\nCopyright {}\n\n" + known["MIT (grant)"]
+    owners = ["The X Authors", "Jane Doe", "holdens ltd", "an owner", "by Some One", "H. Olders", "notary public", "(c) 2019 Y", "2020 Z"]
+    full = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"]
+    wrapped = {name: " ".join(known[name].split()) for name in ("MPL-2.0", "CC0-1.0")}
+    rows = [(n, mit.format(o)) for n, o in enumerate(owners)] + [(100 + n, known[name]) for n, name in enumerate(full)]
+    rows += [(200 + n, body) for n, body in enumerate(wrapped.values())] + [(300, known["Apache-2.0 (terms)"])]
+    got = {r.doc_id: r.license for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[n] for n in range(len(owners))] == ["MIT"] * len(owners)
+    assert [got[100 + n] for n in range(len(full))] == full
+    assert [got[200 + n] for n in range(len(wrapped))] == list(wrapped) and got[300] == "Apache-2.0 (terms)"
+    for line in ("copyright notice and this", "copyright holders be liable", "copyright law: that is", "copyrighted by x", "copyright-like laws"):
+        assert not re.search(licenses.COPYRIGHT_LINES, line), line
+
+
 # ------------------------------------------------------------------ 4 Jaccard join
 
 def shingles(text, size):
