@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelift.llm import ann, bpe, html_text, jaccard, licenses, packing, quality, sharding, toxicity, warc
+from pricelift.llm import ann, bpe, factorisation, html_text, jaccard, licenses, merkle, packing, periodic, quality, sharding, toxicity, warc
 from pricelift.llm.common import scratch, ship, table
-from pricelift.llm.sql import LICENSE_SQL, QUALITY_SQL, SHARDING_SQL, WARC_SQL
+from pricelift.llm.sql import LICENSE_SQL, MERKLE_SQL, QUALITY_SQL, SHARDING_SQL, WARC_SQL
 
 
 def vocabulary(name: str) -> str:
@@ -65,6 +65,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return merkle.manifest_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return factorisation.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    found = periodic.find_runs(table(spark, sf_dir, "documents"), edit=periodic.planted_tail)
+    return periodic.run_digests(found)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -77,8 +93,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe": op8_bpe,
         "op9_quality": op9_quality,
         "op10_sharding": op10_sharding,
+        "op11_merkle": op11_merkle,
+        "op12_quality_classifier": op12_quality_classifier,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": LICENSE_SQL, "op7_warc": WARC_SQL, "op9_quality": QUALITY_SQL, "op10_sharding": SHARDING_SQL}
+    return {"op3_license_scan": LICENSE_SQL, "op7_warc": WARC_SQL, "op9_quality": QUALITY_SQL, "op10_sharding": SHARDING_SQL, "op11_merkle": MERKLE_SQL}

@@ -98,6 +98,67 @@ select sized.doc_id, size, text_crc32, 'key' as law, shard,
 from sized join settled on sized.doc_id is not distinct from settled.doc_id
 """
 
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}))::varchar || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id::varchar', 'source', 'lang', f'({n_chars})::varchar', 'text')))})"
+
+
+MERKLE_SQL = f"""
+with recursive crc_table as (
+  select list(c order by i) as t from (
+    select i, list_reduce(list_prepend(i, range(8)), lambda c, x: xor(c >> 1, (c & 1) * 3988292384)) as c from (select unnest(range(256)) as i))
+), leaves as (
+  select doc_id, coalesce('+' || lang, '') as tree, {_leaf('n_chars')} as leaf, {_leaf('n_chars + 1')} as changed,
+         xor(list_reduce(
+           list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(doc_id::varchar)), '..'), lambda x: ('0x' || x)::bigint)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 7 = 0 as touched
+  from documents, crc_table
+), placed as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos from leaves
+), nodes as (
+  select tree, 0 as level, pos, leaf as d from placed
+  union all
+  select tree, level + 1, pos // 2, sha256(string_agg(d, '' order by pos))
+  from (select *, count(*) over (partition by tree) as n from nodes) where n > 1 group by tree, level, pos // 2
+), heights as (
+  select tree, max(level) as h from nodes group by tree
+), subroots as (
+  select tree, d as subroot, row_number() over (order by tree) - 1 as pos from nodes join heights using (tree) where level = h
+), upper as (
+  select 0 as level, pos, subroot as d from subroots
+  union all
+  select level + 1, pos // 2, sha256(string_agg(d, '' order by pos)) from (select *, count(*) over () as n from upper) where n > 1 group by level, pos // 2
+), top as (
+  select level as h, d as root from upper where level = (select max(level) from upper)
+), beside as (
+  select p.tree, p.pos, l.level, case when s.d is null then '-' when s.pos % 2 = 0 then 'L' || s.d else 'R' || s.d end as step
+  from (select tree, pos, h from placed join heights using (tree)) p, unnest(range(h)) as l(level)
+  left join nodes s on s.tree = p.tree and s.level = l.level and s.pos = xor(p.pos >> l.level::int, 1)
+), beside_upper as (
+  select r.tree, l.level, case when s.d is null then '-' when s.pos % 2 = 0 then 'L' || s.d else 'R' || s.d end as step
+  from (select tree, pos, h from subroots, top) r, unnest(range(h)) as l(level)
+  left join upper s on s.level = l.level and s.pos = xor(r.pos >> l.level::int, 1)
+), ways as (
+  select tree, pos, list(step order by level) as steps from beside group by tree, pos
+), upper_ways as (
+  select tree, list(step order by level) as steps from beside_upper group by tree
+), joined as (
+  select doc_id, leaf, subroot, root, case when touched then changed else leaf end as claimed, coalesce(w.steps, []) || coalesce(u.steps, []) as steps
+  from placed join subroots using (tree) cross join top left join ways w on w.tree = placed.tree and w.pos = placed.pos
+  left join upper_ways u on u.tree = placed.tree
+), folded as (
+  select *, list_reduce(list_prepend(claimed, steps), lambda a, s: case
+    when s = '-' then sha256(a) when s[1] = 'L' then sha256(s[2:] || a) else sha256(a || s[2:]) end) as folded_root from joined
+)
+select doc_id, leaf, subroot, root,
+       sha256(array_to_string(list_transform(list_filter(steps, lambda s: s <> '-'), lambda s: s[2:]), '')) as proof_sha256,
+       folded_root, folded_root = root as verified
+from folded
+"""
+
 WARC_SQL = """
 with sized as (
   select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
