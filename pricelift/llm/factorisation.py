@@ -132,7 +132,7 @@ def fitted(rows: list[tuple[np.ndarray, np.ndarray, list[float]]], labels: np.nd
     size = BUCKETS + len(STATISTICS) * (BINS + 1)
     rng = np.random.default_rng(seed)
     share = (labels.sum() + 1) / (len(labels) + 2)
-    start = Machine(bin_edges(statistics), float(np.log(share / (1 - share))), np.zeros(size), rng.normal(0, 0.02, (size, RANK)))
+    start = Machine(bin_edges(statistics), float(np.log(share / (1 - share))), np.zeros(size), rng.normal(0, 0.02 if rows else 0.0, (size, RANK)))
     bins = start.bins(statistics)
     # one array: bias, weight and vector of every feature, the bias as that of a feature all rows have
     theta = np.zeros((size + 1, RANK + 1), np.float32)
