@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -19,6 +20,11 @@ DOCS_PER_GROUP = 20_000
 
 _LOADED: dict[str, "ByteEncoder"] = {}
 
+#: White space of the pre-tokenising pattern, and runs of it that its engine is not trusted with: it keeps a
+#: step back for each character of a run, and gives up at a million.
+BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_LONG_RUN = re.compile(f"[{BLANKS}]{{4096,}}")
+
 
 def byte_characters() -> dict[str, int]:
     """The printable stand-in of every byte in byte-level vocabulary files, by rule."""
@@ -44,8 +50,26 @@ class ByteEncoder:
             raise ValueError(f"{path}: ids do not follow the order of merges")
         self.encoder = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
+        self.special = tuple(special)
+
+    def _ordinary(self, text: str) -> bytes:
+        return self.encoder.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes() if text else b""
+
     def encode(self, text: str) -> bytes:
-        return self.encoder.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+        """Ids of the whole text.
+
+        A long run of white space is one piece up to its last character, which goes to what follows; it is the
+        whole run at the end of the text and before a special token.  Such pieces are cut out here.
+        """
+        out, at = [], 0
+        for run in _LONG_RUN.finditer(text):
+            stop = run.end()
+            if stop < len(text) and not text.startswith(self.special, stop):
+                stop -= 1
+            piece = np.array(self.encoder._encode_single_piece(text[run.start() : stop]), dtype="<u4")
+            out += (self._ordinary(text[at : run.start()]), piece.tobytes())
+            at = stop
+        return b"".join([*out, self._ordinary(text[at:])])
 
 
 def byte_encoder(path: str) -> ByteEncoder:
