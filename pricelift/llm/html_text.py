@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -58,6 +59,7 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.open: list[tuple[str, bool, bool, int, bool]] = []  # tag, silent, around, main, linked
+        self.held: Counter[str] = Counter()  # open elements by tag
         self.parts: list[str] = []
         self.tags = self.linked = self.articles = 0
 
@@ -99,6 +101,13 @@ class Lines(HTMLParser):
         # a link that is never closed does not reach into the blocks behind it
         linked = tag not in BLOCK and (linked or (tag == "a" and any(name == "href" for name, _ in attrs)))
         self.open.append((tag, silent, around or named, main, linked))
+        self.held[tag] += 1
+
+    def leave(self, at: int) -> None:
+        """Close the element at this place and all inside it."""
+        for element in self.open[at:]:
+            self.held[element[0]] -= 1
+        del self.open[at:]
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
@@ -107,18 +116,23 @@ class Lines(HTMLParser):
             return
         if tag in BLOCK:
             self.end_line()
+        # an end without a beginning closes nothing; looking for one would take the depth of the page each time
+        if not self.held[tag]:
+            return
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
-                del self.open[at:]
+                self.leave(at)
                 return
 
     def close_open(self, tag: str, until: frozenset[str]) -> None:
         """End an element whose end tag may be left out."""
+        if not self.held[tag]:
+            return
         for at in range(len(self.open) - 1, -1, -1):
             name = self.open[at][0]
             if name == tag:
                 self.end_line()
-                del self.open[at:]
+                self.leave(at)
                 return
             if name in until:
                 return
