@@ -46,21 +46,33 @@ FOLDS = 5
 #: Marks a space that was put in, in what is read.
 JOINED = "\x1f"
 
-_SIGNS = "".join(re.escape(sign) for sign in STANDS_FOR if not sign.isdigit())
-#: Signs at an edge that stand for no letter.
-_EDGE = re.compile(rf"^[^\w{_SIGNS}]+|[^\w{_SIGNS}]+$")
 _DOUBLE = re.compile(r"(.)\1")
 _APART = re.compile(r"(?<!\S)\S{1,3}(?:\s+\S{1,3})+[^\w\s]*(?!\S)")
+#: What ends a word in restored text.
+_ENDS = re.compile(r"[\W\d_]")
 
 
-def at_edge(text: str, at: int) -> bool:
-    """Whether only signs stand between this place and a space, or an end of the text."""
-    before, behind = at - 1, at + 1
-    while before >= 0 and not text[before].isalnum() and not text[before].isspace():
-        before -= 1
-    while behind < len(text) and not text[behind].isalnum() and not text[behind].isspace():
-        behind += 1
-    return before < 0 or behind == len(text) or text[before].isspace() or text[behind].isspace()
+def bared(text: str) -> str:
+    """The text without the signs at its edges that stand for no letter."""
+    start, stop = 0, len(text)
+    while start < stop and not (text[start].isalnum() or text[start] == "_" or text[start] in STANDS_FOR):
+        start += 1
+    while stop > start and not (text[stop - 1].isalnum() or text[stop - 1] == "_" or text[stop - 1] in STANDS_FOR):
+        stop -= 1
+    return text[start:stop]
+
+
+def at_edges(text: str) -> list[bool]:
+    """For every place, whether only signs stand between it and a space, or an end of the text."""
+    out, edge = [], True
+    for char in text:
+        out.append(edge)
+        edge = char.isspace() or edge and not char.isalnum()
+    edge = True
+    for at in range(len(text) - 1, -1, -1):
+        out[at] = out[at] or edge
+        edge = text[at].isspace() or edge and not text[at].isalnum()
+    return out
 
 
 def symbol(char: str) -> int:
@@ -128,7 +140,7 @@ class Restorer:
         self.words = Memo(self.read)
         self.runs = Memo(self.join, MEMO // 4)
 
-    def _readings(self, text: str, at: int) -> list[tuple[str, float]]:
+    def _readings(self, text: str, at: int, edges: list[bool]) -> list[tuple[str, float]]:
         char = text[at]
         if char.isspace():
             return [(" ", 0.0), ("", SPACED)]
@@ -138,19 +150,20 @@ class Restorer:
         if not char.isalpha():
             out += [(letter, WRITTEN) for letter in STANDS_FOR.get(char, "")]
             if not char.isdigit():
-                out.append(("", PUT_AROUND if at_edge(text, at) else PUT_IN))
+                out.append(("", PUT_AROUND if edges[at] else PUT_IN))
         return out
 
     def decode(self, text: str) -> str:
         """The cheapest path through the lattice of a token or a run of fragments; JOINED where a space is left out."""
         # state: the last two symbols -> (cost, link to what was read)
         states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        edges = at_edges(text)
         for at in range(len(text)):
             reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             own = text[at]
             # most characters of most tokens stand for themselves only
             alone = own.isalpha() and not (at and own == text[at - 1])
-            for char, price in ((own, 0.0),) if alone else self._readings(text, at):
+            for char, price in ((own, 0.0),) if alone else self._readings(text, at, edges):
                 to = 0 if char in ("", " ") else symbol(char)
                 for (one, two), (cost, link) in states.items():
                     if char == "":
@@ -169,18 +182,25 @@ class Restorer:
             link = link[1]
         return "".join(reversed(out))
 
+    def plain(self, token: str) -> tuple[str, str]:
+        """A token without its edges, and the one word it reads as; no word where the lattice has to tell."""
+        bare = bared(token) if not token.isalpha() else token
+        word = (bare.isalpha() or bare.replace("'", "").replace("-", "").isalpha() and "-" not in bare) and not _DOUBLE.search(bare)
+        return bare, bare if word else ""
+
     def read(self, token: str) -> tuple[str, ...]:
         """The words behind a token."""
-        bare = _EDGE.sub("", token) if not token.isalpha() else token
-        if not any(c.isalpha() for c in bare):
-            return ()
-        if (bare.isalpha() or bare.replace("'", "").replace("-", "").isalpha() and "-" not in bare) and not _DOUBLE.search(bare):
-            return (bare,)
+        bare, word = self.plain(token)
+        if word:
+            return (word,)
+        return self.decoded(bare) if any(c.isalpha() for c in bare) else ()
+
+    def decoded(self, bare: str) -> tuple[str, ...]:
         return tuple(w for w in re.split(r"[\W\d_]+", self.decode(bare)) if w)
 
     def join(self, run: str) -> tuple[str, ...]:
         """The words of a run that stand across its spaces; the others are those of its tokens."""
-        run = _EDGE.sub("", run)
+        run = bared(run)
         if not any(c.isalpha() for c in run):
             return ()
         parts = run.split(" ")
@@ -231,14 +251,66 @@ class Model:
     coefficients: tuple[float, ...]
 
 
+class Spelling:
+    """Whether a lattice can spell a feature: a trie of all features, walked along every path at once.
+
+    A token whose lattice spells none has no evidence whatever path is cheapest, so it need not be decoded.
+    """
+
+    def __init__(self, features: dict[str, float]):
+        self.root: dict = {}
+        for feature in features:
+            node = self.root
+            for char in feature.removesuffix("-"):
+                node = node.setdefault(char, {})
+            node[""] = True
+
+    def can(self, text: str) -> bool:
+        nodes, at, size, last = [self.root], 0, len(text), ""
+        while at < size:
+            char = text[at]
+            letter = not _ENDS.match(char)
+            reached = []
+            if letter:
+                reached = [n[char] for n in nodes if char in n]
+            else:
+                # a kept sign or space ends a word, so another may begin
+                reached.append(self.root)
+                for stand in STANDS_FOR.get(char, ""):
+                    reached += [n[stand] for n in nodes if stand in n]
+            if any("" in n for n in reached):
+                return True
+            if char == last or not (char.isalpha() or char.isdigit()):
+                # left out: what was reached before stays
+                reached += nodes
+            known = {id(n): n for n in reached}
+            same = char == last and len(known) == len(nodes)
+            nodes, last = list(known.values()), char
+            at += 1
+            if same or not nodes:
+                # nothing changes in the rest of a run of one character, nor before the next sign where no path is left
+                while at < size and (text[at] == char if nodes else not _ENDS.match(text[at])):
+                    at += 1
+                if not nodes:
+                    last = text[at - 1]
+        return False
+
+
 class Evidence:
     """Toxic evidence of texts: the sum over distinct words, the number of hits and their share."""
 
     def __init__(self, language: np.ndarray, weights: dict[str, float]):
         self.restorer = Restorer(language)
         self.weights = weights
-        self.tokens = Memo(lambda token: self.weigh(self.restorer.read(token)), MEMO // 2)
-        self.runs = Memo(lambda run: self.weigh(self.restorer.join(run)), MEMO // 4)
+        self.spelling = Spelling(weights)
+        self.tokens = Memo(self.of_token, MEMO // 2)
+        self.runs = Memo(lambda run: self.weigh(self.restorer.join(run)) if self.spelling.can(run) else (), MEMO // 4)
+
+    def of_token(self, token: str) -> tuple:
+        bare, word = self.restorer.plain(token)
+        if word:
+            return self.weigh((word,))
+        return self.weigh(self.restorer.decoded(bare)) if self.spelling.can(bare) else ()
 
     def weigh(self, words: tuple[str, ...]) -> tuple:
         """() for most words, else the words and their weight: what is remembered of a token stays small."""
@@ -262,13 +334,21 @@ def fold(doc_id: Column) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` labelled documents outside fold 0, the same in every run; (text, toxic, fold)."""
+    """About ``rows`` labelled documents outside fold 0 at most, the same in every run; (text, toxic, fold).
+
+    Of several labels of an id the largest holds.  Where ids repeat, so that more documents than that are
+    labelled, documents are chosen by a hash of id and text, and equal ones count once.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    known = known.filter(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != 0)).dropDuplicates(["doc_id"])
+    known = known.filter(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # the limit bounds the side that is broadcast
-    return texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", fold(F.col("doc_id")).alias("fold"))
+    picked = texts.join(F.broadcast(chosen), "doc_id")
+    found = texts.select("doc_id").join(F.broadcast(chosen), "doc_id").count()
+    if found > rows:
+        picked = picked.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int((1 << 30) * rows / found)).dropDuplicates(["doc_id", "text"])
+    return picked.select("text", "toxic", fold(F.col("doc_id")).alias("fold"))
 
 
 def feature_weights(sample: DataFrame, language: np.ndarray) -> dict[str, float]:
@@ -337,7 +417,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Mode
             yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(c, pa.float64()) for c in columns)], names=["toxic", "total", "hits", "share"])
 
     rest = sample.filter("fold = 4").select("text", "toxic").mapInArrow(run, "toxic int, total double, hits double, share double")
-    seen = np.array([tuple(r) for r in rest.orderBy("toxic", "total", "hits", "share").collect()], dtype=float).reshape(-1, 4)
+    # as many rows as the sample has; their order must not change the sums of the fit
+    seen = np.array(sorted(tuple(r) for r in rest.collect()), dtype=float).reshape(-1, 4)
     # two pseudo-rows keep a table with one label, or none, solvable
     x = np.vstack([seen[:, 1:], [[0.0, 0.0, 0.0], [3.0, 3.0, 1.0]]])
     y = np.concatenate([seen[:, 0], [0.0, 1.0]])

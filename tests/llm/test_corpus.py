@@ -109,7 +109,7 @@ def test_toxicity_viterbi_is_the_cheapest_path():
     read = toxicity.Restorer(np.log(rng.dirichlet(np.ones(64), (64, 64))).astype(np.float32))
     for token in ("a1b", "0o0", "s.s", "aa4", "$1"):
         best = math.inf, ""
-        for path in itertools.product(*[read._readings(token, n) for n in range(len(token))]):
+        for path in itertools.product(*[read._readings(token, n, toxicity.at_edges(token)) for n in range(len(token))]):
             cost, state = 0.0, (0, 0)
             for char, price in path:
                 cost += price

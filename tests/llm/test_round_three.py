@@ -3,13 +3,14 @@
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricelift.llm import factorisation, merkle, periodic, queries
+from pricelift.llm import factorisation, html_text, merkle, packing, periodic, queries, toxicity
 from pricelift.llm.common import ship, table
 
 TINY = "/root/testdata/sf0.001"
@@ -286,3 +287,80 @@ def test_collapse_keeps_the_first_period_of_every_run():
     runs = periodic.runs_of(words)
     assert [tuple(r) for r in runs.tolist()] == [(1, 12, 2), (14, 12, 1)]
     assert periodic.collapse(words, runs) == b"p a b q c r".split()
+
+
+# ------------------------------------------------------------------ texts that earlier operators could not take
+
+FEATURES = {"idiot": 5.0, "idio-": 4.0, "trash": 5.0, "clow-": 4.0, "loser": 3.5, "scum": 6.0}
+
+
+def test_toxic_spelling_finds_what_decoding_finds():
+    rng = np.random.default_rng(8)
+    evidence = toxicity.Evidence(np.log(rng.dirichlet(np.full(64, 0.4), (64, 64))).astype(np.float32), FEATURES)
+    draw, words = random.Random(8), [f.removesuffix("-") for f in FEATURES]
+    hits = 0
+    for _ in range(4000):
+        out = []
+        for char in draw.choice(words) + draw.choice(["", "s", "ing"]):
+            stands = [k for k, v in toxicity.STANDS_FOR.items() if char in v]
+            chance = draw.random()
+            out.append(draw.choice(stands) if chance < 0.3 and stands else char * draw.randrange(1, 4) if chance < 0.4 else char + draw.choice(".-_*=\u00bd\u00b2 ") if chance < 0.5 else char)
+        text = draw.choice(["", "the ", "!!", "a b "]) + "".join(out) + draw.choice(["", "!", "***", " on", " x y"])
+        for token in text.split():
+            assert evidence.of_token(token) == evidence.weigh(evidence.restorer.read(token)), token
+        for run in evidence.restorer.apart(text):
+            assert evidence.runs[run] == evidence.weigh(evidence.restorer.join(run)), run
+        hits += evidence.measure(text)[1] > 0
+    assert 300 < hits < 4000
+
+
+def test_toxic_evidence_of_long_runs_takes_little_time():
+    rng = np.random.default_rng(8)
+    evidence = toxicity.Evidence(np.log(rng.dirichlet(np.full(64, 0.4), (64, 64))).astype(np.float32), FEATURES)
+    for text in ("a" + "=" * 1_000_000 + "b", "a" + "*" * 1_000_000 + "b", "=" * 1_000_000, "*" * 1_000_000 + " b", "a" * 1_000_000):
+        start = time.time()
+        assert evidence.measure(text) == (0.0, 0.0, 0.0)
+        assert time.time() - start < 2
+    # what is decoded after all is read in time in proportion to its length
+    took = []
+    for size in (5_000, 20_000):
+        start = time.time()
+        evidence.restorer.decode("a" + "=" * size + "b")
+        took.append(time.time() - start)
+    assert took[1] < 12 * took[0] + 0.05
+
+
+def test_toxic_sample_is_bounded_and_has_one_label_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {n}") for n in range(3000)] + [(n, "other") for n in range(2, 30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), *((n, 0) for n in range(2, 30))], "doc_id long, toxic int")
+    whole = toxicity.labelled_sample(docs, labels, 10_000)
+    assert whole.filter("text like 'text%'").select("toxic").distinct().collect() == [(1,)]
+    assert 300 < toxicity.labelled_sample(docs, labels, 500).count() < 700
+
+
+@pytest.mark.parametrize("body", [" " * 1_000_000, "\n" * 1_000_000, "\t" * 1_000_000, " \n" * 500_000], ids=["blanks", "lines", "tabs", "both"])
+def test_long_white_space_is_packed(body):
+    from tokenizers import Tokenizer
+
+    path = queries.vocabulary("byte_bpe_50k.json")
+    peer, own = Tokenizer.from_file(path), packing.byte_encoder(path)
+    ids = lambda text: np.frombuffer(own.encode(text), "<u4").tolist()
+    for text in (f"a{body[:9000]}b", f"a{body[:9000]}", f"{body[:8999]}\u3000<|endoftext|>{body[:6000]}b c", f"x {body[:5000]}\x1c{body[:5000]}\u2003y"):
+        assert ids(text) == peer.encode(text, add_special_tokens=False).ids
+    for text in (f"a{body}b", body):
+        assert own.encoder.decode(ids(text)) == text
+
+
+def test_long_white_space_is_packed_by_spark(spark):
+    docs = spark.createDataFrame([(1, " " * 1_000_000), (2, "a" + "\n" * 1_000_000 + "b"), (3, "c")], "doc_id long, text string")
+    pieces = packing.pack_documents(docs, queries.vocabulary("byte_bpe_50k.json")).collect()
+    assert {r.doc_id for r in pieces} == {1, 2, 3} and all(r.length <= 1024 for r in pieces)
+
+
+def test_html_with_deep_and_unmatched_tags(spark):
+    story = "<article><p>" + "a long story of words " * 20 + "</p></article>"
+    bodies = ["<b>" * 100_000 + "</i>" * 100_000, "<div>" * 30_000 + "</span>" * 30_000, "<li>" * 50_000, "</p>" * 100_000]
+    start = time.time()
+    pages = spark.createDataFrame([(n, "u", body + story) for n, body in enumerate(bodies)], "page_id long, url string, html string")
+    got = html_text.extract_pages(pages).collect()
+    assert len(got) == 4 and all("a long story of words" in r.text for r in got) and time.time() - start < 30
