@@ -8,7 +8,7 @@ from . import inputs as x
 from .base import Check
 from .views import rnd
 from ..functions import retail
-from ..operators import clean, features, patterns, reports, split
+from ..operators import features, patterns, ranks, reports, split
 from ..operators.joins import orders_in_set
 from ..sources import testdata as td
 
@@ -54,7 +54,7 @@ _ROLLING_SQL = """
 CHECKS = [
     Check("weekly_demand", lambda s, d: x.weekly(s, d), "select * from weekly",
           doubles="weekly_revenue weekly_profit avg_price min_price max_price avg_discount_pct avg_inventory avg_inventory_ratio"),
-    Check("dept_median", lambda s, d: clean.median_by(td.catalog(s, d), "department", "base_price", "median_price"), """
+    Check("dept_median", lambda s, d: ranks.lower_median_by(td.catalog(s, d), "department", "base_price", "median_price"), """
         select department, quantile_disc(base_price, 0.5) as median_price from catalog group by department""", doubles="median_price"),
     Check("forecast_summary", lambda s, d: features.forecast_summary(x.forecast(s, d)), """
         select product_id, avg(predicted_units) as predicted_units_avg, avg(predicted_revenue) as predicted_revenue_avg,

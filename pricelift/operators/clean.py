@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import retail
 from ..functions.numeric import finite
+from .ranks import lower_median_by
 
 UNKNOWN = "Unknown"
 
@@ -40,17 +41,12 @@ def clean_sales(df: DataFrame) -> DataFrame:
     )
 
 
-def median_by(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
-    """Lower median per key from a mergeable sketch, so a hot key stays cheap."""
-    return df.groupBy(key).agg(F.percentile_approx(value, 0.5, 10000).alias(alias))
-
-
 def clean_elasticity(df: DataFrame, price_col: str = "current_base_price") -> DataFrame:
     """Infinite optimal prices become the department's median price, infinite
     sensitivities 0; the category gets its ordinal."""
     out = df
     if "recommended_optimal_price" in df.columns:
-        medians = median_by(df, "department", price_col, "_median_price")
+        medians = lower_median_by(df, "department", price_col, "_median_price")
         price = F.col("recommended_optimal_price")
         infinite = price.isin(float("inf"), float("-inf"))
         out = (
