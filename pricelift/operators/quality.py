@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -38,25 +38,44 @@ class ValidationFailed(ValueError):
     """Raised by the gate with every failed rule in its message."""
 
 
+def _tested(columns: Sequence[str], rule: Rule) -> str | None:
+    """The column a rule looks at, if the table has one."""
+    return next((c for c in rule.columns if c in columns), None)
+
+
+def rule_counts(columns: Sequence[str], rules: Sequence[Rule] = MASTER_RULES) -> list[Column]:
+    """Aggregates: n_rows, and r0, r1, ... the failing rows of every rule whose column is there."""
+    counts = [F.count(F.lit(1)).alias("n_rows")]
+    for i, rule in enumerate(rules):
+        found = _tested(columns, rule)
+        if found is not None:
+            counts.append(F.count(F.when(F.expr(rule.violated.format(c=f"`{found}`")), 1)).alias(f"r{i}"))
+    return counts
+
+
+REPORT = "rule string, checked_column string, status string, failing_rows long"
+
+
+def report_of(spark: SparkSession, counts: Mapping[str, int], columns: Sequence[str], rules: Sequence[Rule] = MASTER_RULES) -> DataFrame:
+    """The report on counts that were taken before."""
+    rows = []
+    for i, rule in enumerate(rules):
+        found, failing = _tested(columns, rule), counts.get(f"r{i}")
+        status = ("failed" if rule.required else "skipped") if found is None else "failed" if failing else "passed"
+        rows.append((rule.name, found, status, failing))
+    return spark.createDataFrame(rows, REPORT)
+
+
 def validate(df: DataFrame, rules: Sequence[Rule] = MASTER_RULES) -> DataFrame:
     """Report (rule, column, status, failing_rows), one row per rule, from one aggregate."""
-    present = {r.name: next((c for c in r.columns if c in df.columns), None) for r in rules}
-    sums = []
-    for i, rule in enumerate(rules):
-        found = present[rule.name]
-        if found is None:
-            sums.append(F.lit(None).cast("long").alias(f"r{i}"))
-        else:
-            test = F.expr(rule.violated.format(c=f"`{found}`"))
-            sums.append(F.count(F.when(test, 1)).alias(f"r{i}"))
-    counts = df.agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+    counts = df.agg(*rule_counts(df.columns, rules))
 
     def report_row(i: int, rule: Rule):
-        found = present[rule.name]
-        failing = F.col(f"r{i}")
+        found = _tested(df.columns, rule)
         if found is None:
-            status = F.lit("failed" if rule.required else "skipped")
+            failing, status = F.lit(None).cast("long"), F.lit("failed" if rule.required else "skipped")
         else:
+            failing = F.col(f"r{i}")
             status = F.when(failing > 0, "failed").otherwise("passed")
         return F.struct(
             F.lit(rule.name).alias("rule"), F.lit(found).cast("string").alias("checked_column"),
@@ -73,3 +92,12 @@ def assert_valid(report: DataFrame) -> None:
     if failed:
         detail = "; ".join(f"{r.rule} ({r.checked_column or 'column missing'}): {r.failing_rows}" for r in failed)
         raise ValidationFailed(f"{len(failed)} rule(s) failed: {detail}")
+
+
+def gate_summary(report: DataFrame) -> DataFrame:
+    """Whether the gate lets a table pass: one row with the number of rules by outcome and the failed ones by name."""
+    def by(status: str) -> Column:
+        return F.count_if(F.col("status") == status)
+
+    failed = F.array_join(F.sort_array(F.collect_list(F.when(F.col("status") == "failed", F.col("rule")))), ",")
+    return report.agg((by("failed") == 0).alias("passes"), by("passed").alias("n_passed"), by("failed").alias("n_failed"), by("skipped").alias("n_skipped"), failed.alias("failed_rules"))

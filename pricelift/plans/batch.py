@@ -13,6 +13,7 @@ from ..functions import retail
 from ..operators import clean, elasticity, features, forecast, models, pricing, quality, reports, split
 from ..operators.joins import fold_back, join_dim
 from ..streaming.scoring import closed_windows
+from ..sources.publish import folder, touch, write_audited
 from ..sources.tables import path_exists, read_table, require_inputs, write_table
 from .master import build_master
 
@@ -107,10 +108,10 @@ RAW_TABLES = ("sales", "catalog", "elasticity", "optimal", "forecast")
 def clean_and_merge(
     spark: SparkSession, raw: dict[str, str], out: str, rules: tuple[quality.Rule, ...] = quality.MASTER_RULES
 ) -> DataFrame:
-    """Clean the raw tables, build the wide table, write it by month and check it.
+    """Clean the raw tables, build the wide table, write it by month and publish it if it keeps the rules.
 
-    The table is written once; the gate reads the written Parquet, so the plan does not
-    run twice, and raises ``ValidationFailed`` if a rule is broken.
+    The rules are counted by the pass that writes.  If one is broken ``ValidationFailed`` is raised and the
+    table that stood in ``out`` before is still there.
     """
     require_inputs(spark, [raw[name] for name in RAW_TABLES])
     tables = {name: read_table(spark, raw[name]) for name in RAW_TABLES}
@@ -119,10 +120,8 @@ def clean_and_merge(
         clean.clean_elasticity(tables["elasticity"]), tables["optimal"],
         clean.clean_forecast(tables["forecast"]),
     )
-    write_table(master, out, partition_by=["year_month"])
-    written = spark.read.parquet(out)
-    quality.assert_valid(quality.validate(written, rules))
-    return written
+    write_audited(master, out, rules, partition_by=["year_month"])
+    return spark.read.parquet(out)
 
 
 def hold_out(spark: SparkSession, master: DataFrame, kept: str, held: str, fraction: float = 1 - split.HOLDOUT_FRACTION) -> None:
@@ -156,19 +155,22 @@ FOLD_MARK = "_folded_until_"
 
 def folded_until(spark: SparkSession, path: str) -> str | None:
     """Up to which instant the stream's windows are in a master table; None if none were folded in."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    fs, target = folder(spark, path)
+    names = [status.getPath().getName() for status in fs.listStatus(target)]
     marks = [name.removeprefix(FOLD_MARK) for name in names if name.startswith(FOLD_MARK)]
     return max(dt.datetime.strptime(m, "%Y%m%dT%H%M%S") for m in marks).isoformat(sep=" ") if marks else None
 
 
-def nightly_fold(spark: SparkSession, master_path: str, log: DataFrame, out: str, until: dt.datetime) -> DataFrame:
+def nightly_fold(
+    spark: SparkSession, master_path: str, log: DataFrame, out: str, until: dt.datetime,
+    rules: tuple[quality.Rule, ...] = (),
+) -> DataFrame:
     """Fold the windows that closed up to ``until`` into the master and write it to a new place.
 
     The table that is read says up to where windows are in it, the table that is written says so in turn.  A fold
     that is run twice, or again after a failure, reads the same table and so gives the same rows; a fold of the
     written table takes only later windows.  ``until`` (whole seconds, UTC) must lie behind the watermark of the stream.
+    The mark is in the folder before it is published, so no table is ever seen that holds windows and does not say so.
     """
     if out.rstrip("/") == master_path.rstrip("/"):
         raise ValueError("a table cannot be folded onto itself")
@@ -177,7 +179,8 @@ def nightly_fold(spark: SparkSession, master_path: str, log: DataFrame, out: str
     final = closed_windows(log, since, until.isoformat(sep=" "))
     folded = fold_back(spark.read.parquet(master_path), final)
     folded = folded.withColumn("year_month", F.coalesce("year_month", F.date_format("date", "yyyy-MM")))
-    write_table(folded, out, partition_by=["year_month"])
-    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/{FOLD_MARK}{until:%Y%m%dT%H%M%S}")
-    mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(mark).close()
+    write_audited(
+        folded, out, rules, partition_by=["year_month"],
+        finish=lambda staged: touch(spark, f"{staged}/{FOLD_MARK}{until:%Y%m%dT%H%M%S}"),
+    )
     return spark.read.parquet(out)

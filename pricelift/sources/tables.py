@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,15 +40,17 @@ def read_table(
 
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
-    fmt: str = "parquet",
+    fmt: str = "parquet", observed: tuple[Observation, Sequence[Column]] | None = None,
 ) -> None:
     """Write from every task; the number of files follows the data, never one forced file.
 
     A partitioned write first rebalances by the partition columns: otherwise every task
     would leave a small file in every partition.  AQE splits a partition that holds much
-    of the data and merges small ones.
+    of the data and merges small ones.  ``observed`` takes aggregates of the rows in the same pass.
     """
     spread = df.hint("rebalance", *partition_by) if partition_by else df
+    if observed is not None:
+        spread = spread.observe(observed[0], *observed[1])
     writer = spread.write.format(fmt).mode(mode)
     if fmt == "csv":
         writer = writer.option("header", "true")

@@ -9,11 +9,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .events import flat_window
 from .scoring import TRAINING_INPUTS, closed_windows, score_windows, training_rows
 from ..operators.pricing import RESULT_COLUMNS
+from ..sources.publish import folder as folder_of
 
 # RocksDB keeps window state off the JVM heap, so the number of products may grow; ``start_pricing`` sets it.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -36,24 +38,18 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _hadoop(spark: SparkSession, path: str):
-    """The file system of a path and the path, as Hadoop objects."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
 def run_of(spark: SparkSession, checkpoint: str) -> str:
     """The name of the run that a checkpoint folder belongs to.
 
     It is the name of an empty file there, made at the first start.  With a new checkpoint batch numbers begin at 0
     again; a run of its own keeps them from replacing what was written before."""
-    fs, folder = _hadoop(spark, f"{checkpoint}/pricing")
+    fs, folder = folder_of(spark, f"{checkpoint}/pricing")
     if fs.exists(folder):
         names = sorted(s.getPath().getName() for s in fs.listStatus(folder))
         if names:
             return names[0]
     run = f"run{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}x{uuid.uuid4().hex[:8]}"
-    fs, target = _hadoop(spark, f"{checkpoint}/pricing/{run}")
+    fs, target = folder_of(spark, f"{checkpoint}/pricing/{run}")
     fs.create(target).close()
     return run
 
@@ -61,8 +57,15 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
 def compact_batches(log: DataFrame, out: str, since: str | None, until: str) -> None:
     """Write the final rows of the windows that ended in (since, until] below their date, in few files.
 
-    ``log`` holds ``date``; ``out`` gains rows, and readers of one date open that date only."""
-    closed_windows(log, since, until).hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(out)
+    ``log`` holds ``date``.  Every date that such a window has is written anew as a whole, with its earlier windows,
+    and replaces what stood there: a span that is compacted twice, or again after a failure, gives the same rows.
+    Readers of one date open that date only."""
+    span = F.col("window_end") <= F.lit(until).cast("timestamp")
+    if since is not None:
+        span = span & (F.col("window_end") > F.lit(since).cast("timestamp"))
+    dates = log.filter(span).select("date").distinct()
+    whole = closed_windows(log.join(dates, "date", "left_semi"), None, until)
+    whole.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(out)
 
 
 def publish_lookup(lookup: DataFrame, path: str, version: int, model: PipelineModel | None = None) -> None:
