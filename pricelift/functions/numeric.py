@@ -47,6 +47,13 @@ def clip(value: ColumnLike, low: float | None = None, high: float | None = None)
 MEAN_GRID, FINE_GRID = float(2**24), float(2**62)
 
 
+def grid_parts(value: ColumnLike) -> tuple[Column, Column]:
+    """A number as a part on the coarse grid and the rest on the fine one; nulls and NaN have neither."""
+    v = F.nanvl(col(value).cast("double"), F.lit(None).cast("double"))
+    coarse = F.rint(v * F.lit(MEAN_GRID)) / F.lit(MEAN_GRID)
+    return coarse, F.rint((v - coarse) * F.lit(FINE_GRID)) / F.lit(FINE_GRID)
+
+
 def stable_mean(value: ColumnLike) -> Column:
     """Mean that does not depend on the order in which shuffle blocks arrive.
 
@@ -54,9 +61,8 @@ def stable_mean(value: ColumnLike) -> Column:
     rerun after a lost executor gives the same price, and small values keep their digits.  Larger sums
     round like any double sum.  Nulls and NaN are left out.
     """
-    v = F.nanvl(col(value).cast("double"), F.lit(None).cast("double"))
-    coarse = F.rint(v * F.lit(MEAN_GRID)) / F.lit(MEAN_GRID)
-    return F.avg(coarse) + F.avg(F.rint((v - coarse) * F.lit(FINE_GRID)) / F.lit(FINE_GRID))
+    coarse, fine = grid_parts(value)
+    return F.avg(coarse) + F.avg(fine)
 
 
 def band(value: ColumnLike, edges: Sequence[float], labels: Sequence[str]) -> Column:

@@ -8,9 +8,10 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import retail
-from ..operators import clean, elasticity, features, forecast, models, pricing, quality, reports, split
+from ..operators import clean, elasticity, features, forecast, lookup_state, models, pricing, quality, reports, split
 from ..operators.joins import fold_back, join_dim
 from ..streaming.scoring import closed_windows
 from ..sources.publish import folder, touch, write_audited
@@ -161,9 +162,24 @@ def folded_until(spark: SparkSession, path: str) -> str | None:
     return max(dt.datetime.strptime(m, "%Y%m%dT%H%M%S") for m in marks).isoformat(sep=" ") if marks else None
 
 
+def begin_lookup_state(master: DataFrame, state: str) -> None:
+    """Store the lookup state of a whole (written) master table; nightly folds add to it."""
+    lookup_state.write_state(lookup_state.partial_state(master), state, "0")
+
+
+def fold_part(since: str | None) -> str:
+    """Name of the state of the fold that began at an instant; names sort by it, behind that of the whole table."""
+    return "1" if since is None else "2" + "".join(c for c in since if c.isdigit())
+
+
+def current_lookup(spark: SparkSession, state: str, schema: T.StructType) -> DataFrame:
+    """The product lookup of the master and all windows folded in since, from the stored states only."""
+    return lookup_state.lookup_of(lookup_state.read_state(spark, state, schema))
+
+
 def nightly_fold(
     spark: SparkSession, master_path: str, log: DataFrame, out: str, until: dt.datetime,
-    rules: tuple[quality.Rule, ...] = (),
+    rules: tuple[quality.Rule, ...] = (), state: str | None = None,
 ) -> DataFrame:
     """Fold the windows that closed up to ``until`` into the master and write it to a new place.
 
@@ -171,6 +187,9 @@ def nightly_fold(
     that is run twice, or again after a failure, reads the same table and so gives the same rows; a fold of the
     written table takes only later windows.  ``until`` (whole seconds, UTC) must lie behind the watermark of the stream.
     The mark is in the folder before it is published, so no table is ever seen that holds windows and does not say so.
+
+    ``state`` is a folder begun by ``begin_lookup_state``: the state of the folded windows alone is added there, before the
+    table is published and under a name that says where the fold began, so that a fold that is run again replaces it.
     """
     if out.rstrip("/") == master_path.rstrip("/"):
         raise ValueError("a table cannot be folded onto itself")
@@ -179,6 +198,10 @@ def nightly_fold(
     final = closed_windows(log, since, until.isoformat(sep=" "))
     folded = fold_back(spark.read.parquet(master_path), final)
     folded = folded.withColumn("year_month", F.coalesce("year_month", F.date_format("date", "yyyy-MM")))
+    if state is not None:
+        fresh = fold_back(spark.read.parquet(master_path).filter(F.lit(False)), final)
+        fresh = fresh.withColumn("year_month", F.coalesce("year_month", F.date_format("date", "yyyy-MM")))
+        lookup_state.write_state(lookup_state.partial_state(fresh), state, fold_part(since))
     write_audited(
         folded, out, rules, partition_by=["year_month"],
         finish=lambda staged: touch(spark, f"{staged}/{FOLD_MARK}{until:%Y%m%dT%H%M%S}"),
