@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .events import flat_window
+from .keyed import KeyedSink, version_name
+from .late import late_windows, repair_run
 from .scoring import TRAINING_INPUTS, closed_windows, score_windows, training_rows
 from ..operators.pricing import RESULT_COLUMNS
 from ..sources.publish import folder as folder_of
@@ -25,12 +27,16 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 NO_RUN = "run0"
 
 
+def batch_folder(path: str, batch_id: int, run: str) -> str:
+    return f"{path}/run={run}/batch_id={batch_id}"
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, run: str = NO_RUN) -> None:
     """Write one micro-batch into its own folder of its run.
 
     A batch that is run again after a failure replaces what it wrote the first time, and
     nothing that another run wrote.  The rebalance keeps the number of files in step with the size of the batch."""
-    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
+    df.hint("rebalance").write.mode("overwrite").parquet(batch_folder(path, batch_id, run))
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
@@ -132,6 +138,43 @@ class StreamPaths:
     results: str
     training_log: str
     checkpoint: str
+    #: Where one row per window and product is kept, beside the revisions; nowhere if None.
+    current: str | None = None
+
+
+def write_scored(flat: DataFrame, lookup: DataFrame, model: PipelineModel | None, paths: StreamPaths, batch_id: int, run: str) -> None:
+    """Price window rows and write the results, the training log and, if it is kept, the current row of each window."""
+    scored = score_windows(flat, lookup, model, keep=TRAINING_INPUTS).persist()
+    try:
+        results = scored.select("window_start", "window_end", *RESULT_COLUMNS, "is_new_product")
+        write_batch(results, paths.results, batch_id, run)
+        write_batch(training_rows(scored), paths.training_log, batch_id, run)
+        if paths.current is not None:
+            # from what was written: the rows of the stream are not worked out once more
+            written = flat.sparkSession.read.parquet(batch_folder(paths.results, batch_id, run))
+            KeyedSink(flat.sparkSession, paths.current).upsert(written, version_name(run, batch_id))
+    finally:
+        scored.unpersist()
+
+
+def repair_late(raw: DataFrame, lookups: LookupSource, paths: StreamPaths, since: str | None, until: str, run: str | None = None) -> DataFrame:
+    """Reprice the windows that ended in (since, until] and lack late events; returns the account of them.
+
+    The repaired windows are written as batch 0 of a run of repairs, whose rows are newer than any of the stream.  Windows
+    that need nothing are not written again, so a second repair of a span is empty.
+    """
+    spark, run = raw.sparkSession, run or repair_run()
+    found = late_windows(raw, read_batches(spark, paths.features), since, until)
+    # written first: the account and the new rows must be of one reading of both sides
+    account = f"{paths.features}_late/run={run}"
+    found.write.mode("overwrite").parquet(account)
+    late = spark.read.parquet(account)
+    if not late.isEmpty():
+        flat = late.drop("late_orders", "late_units")
+        lookup, model = lookups.current()
+        write_batch(flat, paths.features, 0, run)
+        write_scored(flat, lookup, model, paths, 0, run)
+    return late
 
 
 def make_batch_writer(lookups: LookupSource, paths: StreamPaths, run: str = NO_RUN) -> Callable[[DataFrame, int], None]:
@@ -144,12 +187,7 @@ def make_batch_writer(lookups: LookupSource, paths: StreamPaths, run: str = NO_R
                 return
             lookup, model = lookups.current()
             write_batch(flat, paths.features, batch_id, run)
-            scored = score_windows(flat, lookup, model, keep=TRAINING_INPUTS).persist()
-            try:
-                write_batch(scored.select("window_start", "window_end", *RESULT_COLUMNS, "is_new_product"), paths.results, batch_id, run)
-                write_batch(training_rows(scored), paths.training_log, batch_id, run)
-            finally:
-                scored.unpersist()
+            write_scored(flat, lookup, model, paths, batch_id, run)
         finally:
             flat.unpersist()
 
