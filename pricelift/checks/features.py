@@ -6,24 +6,30 @@ from pyspark.sql import functions as F
 
 from . import inputs as x
 from .base import Check
-from .views import rnd
+from .joins import master
+from .views import MASTER_DATES, MASTER_DOUBLES, MASTER_WHOLE, rnd
 from ..functions import retail
-from ..operators import features, patterns, ranks, reports, split
+from ..operators import features, lookup_state, patterns, ranks, reports, split
 from ..operators.joins import orders_in_set
 from ..sources import testdata as td
 
 
-def _lookup(spark, sf, levels=None):
-    sales = td.sales(spark, sf).withColumn("stock_urgency_category", retail.stock_category("inventory_ratio"))
-    chosen = sales.select(
-        "product_id", "product_name", "department", "date", "base_price", "current_price", "cost_price",
-        "inventory_level", "inventory_ratio", "units_sold", "stock_urgency_category",
-    )
-    return features.product_lookup(chosen, levels)
+def _lookup(spark, sf):
+    return features.product_lookup(master(spark, sf))
 
 
 def _lookup_levels(spark, sf):
-    return _lookup(spark, sf, {"stock_urgency_category": retail.STOCK_CATEGORIES})
+    return features.product_lookup(master(spark, sf), {"stock_urgency_category": retail.STOCK_CATEGORIES})
+
+
+def _lookup_states(spark, sf):
+    """The lookup of the whole sales table from the states of three parts of it."""
+    sales = td.sales(spark, sf).withColumn("stock_urgency_category", retail.stock_category("inventory_ratio")).select(
+        "product_id", "product_name", "department", "date", "base_price", "current_price", "cost_price",
+        "inventory_level", "inventory_ratio", "units_sold", "stock_urgency_category",
+    )
+    part = F.crc32(F.col("date").cast("string").cast("binary")) % 3
+    return lookup_state.lookup_of(lookup_state.merged(*[lookup_state.partial_state(sales.filter(part == n)) for n in range(3)]))
 
 
 def _patterns(spark, sf):
@@ -69,13 +75,14 @@ CHECKS = [
         select product_id, coalesce(a / case when b = 0 then 1 else b end, 1) as festival_demand_multiplier
         from (select product_id, avg(units_sold) filter (where festival_flag = 1) as a, avg(units_sold) filter (where festival_flag = 0) as b
               from sales group by product_id)""", doubles="festival_demand_multiplier"),
-    *[Check(key, plan, f"""
+    *[Check(key, plan, "select * from master_lookup", doubles=f"{MASTER_DOUBLES} {MASTER_WHOLE}", dates=MASTER_DATES)
+      for key, plan in (("product_lookup", _lookup), ("product_lookup_levels", _lookup_levels))],
+    Check("lookup_states", _lookup_states, """
         select l.product_id, product_name, department, d.date, base_price, current_price, cost_price, inventory_level,
                inventory_ratio, units_sold, m.stock_urgency_category
         from sales_lookup l join stock_mode m on m.product_id = l.product_id
         join (select product_id, min(date) as date from sales group by product_id) d on d.product_id = l.product_id""",
-        doubles="base_price current_price cost_price inventory_level inventory_ratio units_sold", dates="date")
-      for key, plan in (("product_lookup", _lookup), ("product_lookup_levels", _lookup_levels))],
+        doubles="base_price current_price cost_price inventory_level inventory_ratio units_sold", dates="date"),
     Check("purchase_patterns", _patterns, f"""
         with lines as (select l.*, o.order_hour_of_day, o.order_dow, o.days_since_prior_order, p.p_name
                        from order_lines l join order_gaps o on o.order_id = l.order_id and o.eval_set = 'train'

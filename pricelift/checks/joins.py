@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from . import inputs as x
 from .base import Check
+from .views import MASTER_DATES, MASTER_DOUBLES
 from ..operators import features, joins
 from ..plans.master import build_master, build_master_busy
 from ..operators import clean
@@ -34,7 +35,7 @@ def _requests(spark, sf):
     return joins.point_lookup(asked, results)
 
 
-def _master(spark, sf, build=build_master):
+def master(spark, sf, build=build_master):
     t = x.derived(spark, sf)
     return build(
         clean.clean_sales(td.sales_full(spark, sf)), clean.clean_catalog(td.catalog_full(spark, sf)),
@@ -42,22 +43,6 @@ def _master(spark, sf, build=build_master):
     )
 
 
-_MASTER_COLUMNS = (
-    "product_id", "date", "year_month", "product_name_opt", "department_elas", "current_price_opt", "aisle",
-    "moving_avg_7day", "demand_volatility", "total_units_sold", "weekend_demand_boost", "festival_demand_multiplier",
-    "price_sensitivity_category", "sensitivity_encoded", "price_elasticity", "predicted_units_avg",
-    "competitor_price_gap", "expiry_risk_flag", "stock_urgency_category",
-)
-
-
-def _master_slim(spark, sf):
-    return _master(spark, sf).select(*_MASTER_COLUMNS)
-
-
-def _busy_slim(spark, sf):
-    return _master(spark, sf, build_master_busy).select(*_MASTER_COLUMNS)
-
-
 def _by_name(spark, sf):
     """Name join with unique names on the right side."""
     per_name = x.optimal(spark, sf).groupBy("product_name").agg(
@@ -115,33 +100,6 @@ CHECKS = [
         from price_events where event_id % 3 <> 0""", doubles="current_price cost_price", dates="date"),
     Check("distinct_products", lambda s, d: joins.distinct_products(td.sales(s, d)), """
         select product_id, min(product_name) as product_name from sales group by product_id"""),
-    *[Check(key, plan, """
-        select s.product_id, s.date, strftime(s.date, '%Y-%m') as year_month, o.product_name as product_name_opt,
-               l.department as department_elas, o.current_price as current_price_opt, c.aisle,
-               avg(s.units_sold) over w as moving_avg_7day, coalesce(stddev_samp(s.units_sold) over w, 0) as demand_volatility,
-               cast(sum(s.units_sold) over (partition by s.product_id) as bigint) as total_units_sold,
-               b.wk / case when b.wd = 0 then 1 else b.wd end as weekend_demand_boost,
-               coalesce(b.fe / case when b.nf = 0 then 1 else b.nf end, 1) as festival_demand_multiplier,
-               l.price_sensitivity_category,
-               case when l.product_id is not null then case l.price_sensitivity_category when 'High' then 3 when 'Medium' then 2 else 1 end end as sensitivity_encoded,
-               o.price_elasticity, f.u as predicted_units_avg,
-               coalesce(l.recommended_optimal_price, m.med) - s.current_price as competitor_price_gap,
-               case when c.is_perishable = 1 and c.shelf_life_days < 14 then 1 else 0 end as expiry_risk_flag,
-               case when s.inventory_ratio < 0.2 then 'Critical' when s.inventory_ratio > 0.7 then 'Low' else 'Normal' end as stock_urgency_category
-        from sales_full s
-        left join catalog c on c.product_id = s.product_id
-        left join lerner l on l.product_id = s.product_id
-        left join (select department, quantile_disc(current_base_price, 0.5) as med from lerner group by department) m on m.department = l.department
-        left join optimal o on o.product_id = s.product_id
-        left join (select product_id, avg(predicted_units) as u from forecast
-                   where predicted_units_lower <= predicted_units and predicted_units <= predicted_units_upper
-                     and not (predicted_units_lower = 0 and predicted_units = 0 and predicted_units_upper = 0)
-                   group by product_id) f on f.product_id = s.product_id
-        left join (select product_id, avg(units_sold) filter (where is_weekend = 1) as wk, avg(units_sold) filter (where is_weekend = 0) as wd,
-                          avg(units_sold) filter (where festival_flag = 1) as fe, avg(units_sold) filter (where festival_flag = 0) as nf
-                   from sales_full group by product_id) b on b.product_id = s.product_id
-        window w as (partition by s.product_id order by s.date rows between 6 preceding and current row)""",
-        doubles="current_price_opt moving_avg_7day demand_volatility weekend_demand_boost festival_demand_multiplier"
-                " price_elasticity predicted_units_avg competitor_price_gap", dates="date")
-      for key, plan in (("build_master", _master_slim), ("build_master_busy", _busy_slim))],
+    *[Check(key, plan, "select * from master", doubles=MASTER_DOUBLES, dates=MASTER_DATES)
+      for key, plan in (("build_master", master), ("build_master_busy", lambda s, d: master(s, d, build_master_busy)))],
 ]

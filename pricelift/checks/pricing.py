@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import inputs as x
 from .base import Check
 from .views import rnd, units_at
-from ..operators import forecast as fc, pricing, quality
+from ..operators import forecast as fc, pricing, quality, seasonal
 from ..plans import batch
 from ..sources import testdata as td
 
@@ -39,17 +42,29 @@ def _ensemble(spark, sf):
     return fc.ensemble_demand(tree.join(yhat, "product_id")).select("product_id", "ensemble_demand")
 
 
-def _quality(spark, sf):
-    """Rules on rows that break some of them; one optional column is absent."""
+def _dirty(spark, sf):
+    """Rows that break some rules; one optional column is absent."""
     pid = F.col("product_id")
-    dirty = td.sales(spark, sf).select(
+    return td.sales(spark, sf).select(
         F.when(pid % 71 != 0, pid).alias("product_id"), (F.col("current_price") / F.lit(4.0)).alias("current_price"),
         F.when(pid % 61 == 0, 0.0).otherwise(F.col("cost_price")).alias("cost_price"),
         F.when(pid % 59 == 0, None).otherwise(F.col("inventory_ratio") * F.lit(1.05)).alias("inventory_ratio"),
         F.when(pid % 41 == 0, None).otherwise(F.col("department")).alias("department"),
         F.when(F.col("units_sold") > 60, "Extreme").when(pid % 2 == 0, "High").alias("price_sensitivity_category"),
     )
-    return quality.validate(dirty)
+
+
+def _gate(spark, sf):
+    """What the gate says of rows that break rules, of those that keep them, and of a table without two columns."""
+    dirty = _dirty(spark, sf)
+    broken = [F.coalesce(F.expr(r.violated.format(c=c)), F.lit(False)) for r in quality.MASTER_RULES for c in r.columns if c in dirty.columns]
+    tables = {"dirty": dirty, "fit": dirty.filter(~reduce(Column.__or__, broken)), "thin": dirty.drop("cost_price", "department")}
+    rows = [quality.gate_summary(quality.validate(df)).withColumn("name", F.lit(name)) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _missing(spark, sf):
+    return quality.validate(_dirty(spark, sf).drop("current_price", "cost_price", "inventory_ratio").withColumnRenamed("department", "dept")).filter("checked_column is null")
 
 
 CHECKS = [
@@ -73,9 +88,10 @@ CHECKS = [
         from (select *, case when step = 39 then hi else lo + step * ((hi - lo) / 39) end as price
               from (select e.*, cast(g.i as integer) as step, {rnd("base_price * 0.6", 2)} as lo, {rnd("base_price * 1.6", 2)} as hi
                     from edge_ready e, range(40) g(i)))""", doubles="price demand profit"),
-    Check("forecast_project", lambda s, d: x.forecast(s, d).drop("confidence_pct", "model_used", "product_name", "department"),
-          "select * from forecast",
-          doubles="predicted_units predicted_units_lower predicted_units_upper recommended_price predicted_revenue", dates="forecast_date"),
+    Check("forecast_project", x.forecast, """
+        select f.*, c.product_name, c.department, cast(null as double) as confidence_pct, 'trend_seasonal' as model_used
+        from forecast f left join catalog c on c.product_id = f.product_id""",
+          doubles="confidence_pct predicted_units predicted_units_lower predicted_units_upper recommended_price predicted_revenue", dates="forecast_date"),
     Check("train_seasonal", lambda s, d: fc.seasonal_index(td.sales(s, d)), "select * from seasonal_indices",
           doubles="mean_units seasonal_index"),
     Check("seasonal_forecast", lambda s, d: x.seasonal_forecast(s, d), "select product_id, ds, yhat, yhat_lower, yhat_upper from seasonal_days",
@@ -90,7 +106,7 @@ CHECKS = [
         doubles="ensemble_demand"),
     Check("duplicate_check", lambda s, d: pricing.duplicate_count(td.table(s, d, "lineitem").select("l_partkey"), "l_partkey"), """
         select count(*) - count(distinct l_partkey) as duplicates from lineitem"""),
-    Check("validate_master", _quality, """
+    Check("validate_master", lambda s, d: quality.validate(_dirty(s, d)), """
         with dirty as (select product_id as pid, current_price / 4 as price, inventory_ratio * 1.05 as ratio, * from sales)
         select 'product_id_not_null' as rule, 'product_id' as checked_column, case when n > 0 then 'failed' else 'passed' end as status, n as failing_rows
         from (select count(*) filter (where pid % 71 = 0) as n from dirty)
@@ -105,4 +121,28 @@ CHECKS = [
         from (select count(*) filter (where units_sold > 60) as n from dirty)
         union all select 'department_not_null', 'department', case when n > 0 then 'failed' else 'passed' end, n
         from (select count(*) filter (where pid % 41 = 0) as n from dirty)"""),
+    Check("validation_gate", _gate, """
+        with dirty as (select product_id as pid, current_price / 4 as price, inventory_ratio * 1.05 as ratio, * from sales),
+        b as (select pid % 71 = 0 as product, price < 0.5 or price > 500 as price, pid % 61 = 0 or cost_price < 0.01 as cost,
+                     pid % 59 <> 0 and (ratio < 0 or ratio > 1) as ratio, units_sold > 60 as kind, pid % 41 = 0 as dept from dirty),
+        n as (select 'dirty' as name, cast(count(*) filter (where product) > 0 as int) as a, cast(count(*) filter (where price) > 0 as int) as b,
+                     cast(count(*) filter (where cost) > 0 as int) as c, cast(count(*) filter (where ratio) > 0 as int) as d,
+                     cast(count(*) filter (where kind) > 0 as int) as e, cast(count(*) filter (where dept) > 0 as int) as f, 0 as gone from b
+              union all select 'fit', 0, 0, 0, 0, 0, 0, 0
+              union all select 'thin', cast(count(*) filter (where product) > 0 as int), cast(count(*) filter (where price) > 0 as int), 1,
+                     cast(count(*) filter (where ratio) > 0 as int), cast(count(*) filter (where kind) > 0 as int), 0, 1 from b)
+        select name, case when a + b + c + d + e + f = 0 then 1 else 0 end as passes,
+               cast(6 - gone - (a + b + c + d + e + f) as bigint) as n_passed, cast(a + b + c + d + e + f as bigint) as n_failed, cast(1 + gone as bigint) as n_skipped,
+               array_to_string(list_filter([case when c = 1 then 'cost_positive' end, case when f = 1 then 'department_not_null' end,
+                 case when d = 1 then 'inventory_ratio_in_range' end, case when b = 1 then 'price_in_range' end,
+                 case when a = 1 then 'product_id_not_null' end, case when e = 1 then 'sensitivity_known' end], lambda r: r is not null), ',') as failed_rules
+        from n"""),
+    Check("missing_column_rule", _missing, """
+        select rule, cast(null as varchar) as checked_column, status, cast(null as bigint) as failing_rows
+        from (values ('price_in_range', 'failed'), ('cost_positive', 'failed'), ('total_units_not_negative', 'skipped'),
+                     ('inventory_ratio_in_range', 'skipped'), ('department_not_null', 'skipped')) as v(rule, status)"""),
+    Check("clean_optimal", x.optimal, "select * from optimal",
+          doubles="cost_price current_price price_elasticity recommended_price price_change_pct predicted_weekly_demand predicted_weekly_revenue"
+                  " predicted_weekly_profit current_weekly_profit profit_uplift profit_uplift_pct"),
+    Check("train_seasonal_joint", lambda s, d: seasonal.joint_effects(seasonal.joint_seasonal_fit(td.sales(s, d)))),
 ]

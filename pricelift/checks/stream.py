@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from . import inputs as x
 from .base import Check
 from ..operators import reports
+from ..session import ensure_checkpoint_dir
 from ..sources import testdata as td
-from ..streaming import events, scoring
+from ..streaming import events, keyed, late, scoring
 
 
 def _epoch(df, *names):
@@ -48,7 +50,35 @@ def _revisions(spark, sf):
     return _epoch(scoring.latest_revision(early.unionByName(late)).drop("window_end"), "window_start")
 
 
+def _keyed(spark, sf):
+    """Windows written by three batches, the last of which revises half of them, to a sink with one row per key."""
+    sink = keyed.KeyedSink(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/keyed-{uuid.uuid4().hex}", buckets=2)
+    w = x.windows(spark, sf).select("window_start", "window_end", "product_id", "window_units")
+    late = F.col("product_id") % 2 == 0
+    early = w.withColumn("window_units", F.when(late, F.col("window_units") - 1).otherwise(F.col("window_units")))
+    first = F.col("product_id") % 3 == 0
+    for batch, rows in enumerate((early.filter(first), early.filter(~first), w.filter(late))):
+        sink.upsert(rows, keyed.version_name("run", batch))
+    sink.vacuum()
+    return _epoch(sink.read().drop("window_end"), "window_start")
+
+
+def _late(spark, sf):
+    """Windows of a stream that saw nine events in ten."""
+    e = td.price_events(spark, sf)
+    fields = F.struct("product_id", "units_sold", "current_price", "inventory_ratio", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"))
+    written = events.flat_window(events.tumbling_demand(e.filter(F.col("event_id") % 10 != 0), "1 hour"))
+    found = late.late_windows(e.select(F.to_json(fields).alias("value")), written, None, "2100-01-01 00:00:00", "1 hour")
+    return _epoch(found.drop("window_end", "avg_price", "avg_inventory"), "window_start")
+
+
 CHECKS = [
+    Check("update_output", _keyed, "select cast(t0 as bigint) as window_start, product_id, window_units from windows"),
+    Check("watermark_late", _late, """
+        select cast(epoch(time_bucket(interval 1 hour, event_time)) as bigint) as window_start, product_id, cast(sum(units_sold) as bigint) as window_units,
+               count(*) as orders, count(*) filter (where event_id % 10 = 0) as late_orders,
+               cast(coalesce(sum(units_sold) filter (where event_id % 10 = 0), 0) as bigint) as late_units
+        from price_events group by 1, 2 having count(*) filter (where event_id % 10 = 0) > 0"""),
     Check("parse_events", _parsed, """
         select cast(user_id as integer) as product_id, cast(1 + event_id % 5 as integer) as units_sold,
                cast(1 + event_id % 40 as double) as current_price, cast((event_id % 101) / 100.0 as double) as inventory_ratio,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import inputs as x
@@ -10,7 +13,7 @@ from .views import rnd
 from ..functions import calendar as cal
 from ..functions import retail
 from ..operators import clean, features, joins
-from ..sources import tables, testdata as td
+from ..sources import schemas, tables, testdata as td
 from ..streaming import events
 
 BASE_TABLES = ("customer", "lineitem", "orders", "part")
@@ -113,7 +116,50 @@ def _orders_per_product(spark, sf):
     return counts.select("product_id", retail.frequency_band("n").alias("purchase_frequency"))
 
 
+def _read(spark, sf):
+    """A table read with a schema of its own: three of its columns, one of them wider."""
+    schema = schemas.schema_of("p_partkey long, p_name string, p_retailprice double")
+    return tables.read_table(spark, f"{sf}/part.parquet", schema)
+
+
+def _required(spark, sf):
+    """Rows of the required tables, and what is missing of a set with an absent one."""
+    paths = {name: f"{sf}/{name}.parquet" for name in BASE_TABLES}
+    tables.require_inputs(spark, list(paths.values()))
+    counts = [tables.read_table(spark, path).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows")) for name, path in paths.items()]
+    try:
+        tables.require_inputs(spark, [*paths.values(), f"{sf}/absent.parquet"])
+        missing = ""
+    except FileNotFoundError as error:
+        missing = str(error).rsplit("/", 1)[1]
+    return reduce(DataFrame.unionByName, counts).withColumn("missing", F.lit(missing))
+
+
+def _resolved(spark, sf):
+    """Columns found by parts of their names, and their sums and counts."""
+    part, orders = td.table(spark, sf, "part"), td.table(spark, sf, "orders")
+    found = [
+        ("price", part, clean.resolve_column(part, ["price"])), ("key", orders, clean.resolve_column(orders, ["key"], exclude=["order"])),
+        ("type", part, clean.resolve_column(part, ["kind", "type"])), ("none", part, clean.resolve_column(part, ["absent"])),
+    ]
+    rows = [
+        df.agg(F.lit(name).alias("wanted"), F.lit(column).cast("string").alias("found"), (F.count(column) if column else F.lit(0)).cast("long").alias("n_values"))
+        for name, df, column in found
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 CHECKS = [
+    Check("read_table", _read, "select cast(p_partkey as bigint) as p_partkey, p_name, cast(p_retailprice as double) as p_retailprice from part", doubles="p_retailprice"),
+    Check("require_inputs", _required, """
+        select name, n_rows, 'absent.parquet' as missing
+        from (select 'customer' as name, count(*) as n_rows from customer union all select 'lineitem', count(*) from lineitem
+              union all select 'orders', count(*) from orders union all select 'part', count(*) from part)"""),
+    Check("resolve_columns", _resolved, """
+        select 'price' as wanted, 'p_retailprice' as found, count(p_retailprice) as n_values from part
+        union all select 'key', 'o_custkey', count(o_custkey) from orders
+        union all select 'type', 'p_type', count(p_type) from part
+        union all select 'none', null, 0"""),
     Check("audit_tables", _audit, """
         select 'customer' as name, 'ok' as status, count(*) as n_rows, cast(5 as bigint) as n_cols,
                'c_custkey, c_name, c_nationkey, c_acctbal' as sample_cols from customer

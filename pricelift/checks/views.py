@@ -333,6 +333,72 @@ from (
         from recent_trend_v r left join forecast_prices p on p.product_id = r.product_id, range(30) g(i)
         where r.recent_rows >= 10))
 """
+#: Columns of the wide table by kind, in no order; the lookup takes the mean of numbers and the mode of the others.
+MASTER_DOUBLES = (
+    "base_price discount_pct current_price cost_price inventory_ratio revenue profit moving_avg_7day demand_volatility weekend_demand_boost"
+    " festival_demand_multiplier base_price_cat cost_price_cat gross_margin_pct cost_price_elas current_base_price avg_price_elasticity"
+    " recommended_optimal_price avg_weekly_demand predicted_demand_at_optimal expected_weekly_profit_at_optimal current_weekly_profit"
+    " profit_improvement_pct cost_price_opt current_price_opt price_elasticity recommended_price price_change_pct predicted_weekly_demand"
+    " predicted_weekly_revenue predicted_weekly_profit current_weekly_profit_opt profit_uplift profit_uplift_pct predicted_units_avg"
+    " predicted_revenue_avg confidence_pct_avg inventory_urgency_score price_to_cost_ratio profit_margin_pct competitor_price_gap"
+)
+MASTER_WHOLE = (
+    "transaction_id festival_flag inventory_level units_sold store_id day_of_week is_weekend month peak_hour total_units_sold shelf_life_days"
+    " is_perishable store_id_cat sensitivity_encoded expiry_risk_flag"
+)
+MASTER_DATES = "date date_only created_date optimization_date"
+MASTER_TEXTS = (
+    "product_name department product_name_cat aisle department_cat product_name_elas department_elas price_sensitivity_category"
+    " product_name_opt department_opt price_sensitivity stock_urgency optimization_reason"
+)
+VIEWS["master"] = f"""
+select s.*, s.date as date_only, strftime(s.date, '%Y-%m') as year_month,
+       avg(s.units_sold) over w as moving_avg_7day, coalesce(stddev_samp(s.units_sold) over w, 0) as demand_volatility,
+       cast(sum(s.units_sold) over (partition by s.product_id) as bigint) as total_units_sold,
+       b.wk / case when b.wd = 0 then 1 else b.wd end as weekend_demand_boost,
+       coalesce(b.fe / case when b.nf = 0 then 1 else b.nf end, 1) as festival_demand_multiplier,
+       c.product_name as product_name_cat, c.aisle, c.department as department_cat, c.base_price as base_price_cat, c.cost_price as cost_price_cat,
+       {rnd("(c.base_price - c.cost_price) / nullif(c.base_price, 0) * 100", 1)} as gross_margin_pct, c.shelf_life_days, c.is_perishable,
+       case when c.product_id is not null then cast(1 as bigint) end as store_id_cat,
+       case when c.product_id is not null then date '2024-01-01' end as created_date,
+       l.product_name as product_name_elas, l.department as department_elas, l.cost_price as cost_price_elas, l.current_base_price,
+       l.avg_price_elasticity, l.price_sensitivity_category, coalesce(l.recommended_optimal_price, m.med) as recommended_optimal_price,
+       l.avg_weekly_demand, l.predicted_demand_at_optimal, l.expected_weekly_profit_at_optimal, l.current_weekly_profit, l.profit_improvement_pct,
+       case when l.product_id is not null then case l.price_sensitivity_category when 'High' then 3 when 'Medium' then 2 else 1 end end as sensitivity_encoded,
+       o.product_name as product_name_opt, o.department as department_opt, o.cost_price as cost_price_opt, o.current_price as current_price_opt,
+       o.price_elasticity, o.price_sensitivity, o.stock_urgency, o.recommended_price, o.price_change_pct, o.predicted_weekly_demand,
+       o.predicted_weekly_revenue, o.predicted_weekly_profit, o.current_weekly_profit as current_weekly_profit_opt, o.profit_uplift, o.profit_uplift_pct,
+       o.optimization_reason, case when o.product_id is not null then date '2001-10-10' end as optimization_date,
+       f.u as predicted_units_avg, f.r as predicted_revenue_avg, cast(null as double) as confidence_pct_avg,
+       1 - s.inventory_ratio as inventory_urgency_score, s.current_price / nullif(s.cost_price, 0) as price_to_cost_ratio,
+       case when c.is_perishable = 1 and c.shelf_life_days < 14 then 1 else 0 end as expiry_risk_flag,
+       (s.current_price - s.cost_price) / nullif(s.current_price, 0) * 100 as profit_margin_pct,
+       case when s.inventory_ratio < 0.2 then 'Critical' when s.inventory_ratio > 0.7 then 'Low' else 'Normal' end as stock_urgency_category,
+       coalesce(l.recommended_optimal_price, m.med) - s.current_price as competitor_price_gap
+from sales_full s
+left join catalog c on c.product_id = s.product_id
+left join lerner l on l.product_id = s.product_id
+left join (select department, quantile_disc(current_base_price, 0.5) as med from lerner group by department) m on m.department = l.department
+left join optimal o on o.product_id = s.product_id
+left join (select product_id, avg(predicted_units) as u, avg(predicted_revenue) as r from forecast
+           where predicted_units_lower <= predicted_units and predicted_units <= predicted_units_upper
+             and not (predicted_units_lower = 0 and predicted_units = 0 and predicted_units_upper = 0)
+           group by product_id) f on f.product_id = s.product_id
+left join (select product_id, avg(units_sold) filter (where is_weekend = 1) as wk, avg(units_sold) filter (where is_weekend = 0) as wd,
+                  avg(units_sold) filter (where festival_flag = 1) as fe, avg(units_sold) filter (where festival_flag = 0) as nf
+           from sales_full group by product_id) b on b.product_id = s.product_id
+window w as (partition by s.product_id order by s.date rows between 6 preceding and current row)
+"""
+# a product has one row per date, so all its dates are as frequent and the first one wins; texts depend on the product
+VIEWS["master_lookup"] = f"""
+select a.*, y.year_month, k.stock_urgency_category
+from (select product_id, {", ".join(f"{mean(c)} as {c}" for c in MASTER_DOUBLES.split())}, {", ".join(f"avg({c}) as {c}" for c in MASTER_WHOLE.split())},
+             {", ".join(f"min({c}) as {c}" for c in (MASTER_DATES + " " + MASTER_TEXTS).split())} from master group by product_id) a
+join (select product_id, year_month, row_number() over (partition by product_id order by count(*) desc, year_month) as rn from master group by product_id, year_month) y
+  on y.product_id = a.product_id and y.rn = 1
+join (select product_id, stock_urgency_category, row_number() over (partition by product_id order by count(*) desc, stock_urgency_category) as rn
+      from master group by product_id, stock_urgency_category) k on k.product_id = a.product_id and k.rn = 1
+"""
 VIEWS["seasonal_levels"] = """
 select product_id, case when grouping(wd) = 0 then 'weekday' when grouping(mo) = 0 then 'month' when grouping(f) = 0 then 'festival' else 'all' end as kind,
        coalesce(wd, mo, f) as bucket, cast(sum(u) as double) / count(*) as every, cast(sum(u) filter (where f = 0) as double) / count(*) filter (where f = 0) as usual,
