@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,23 +10,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import pin_session
+from .inexact import INEXACT
 from .views import with_views
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
 
-def comparable(df: DataFrame) -> DataFrame:
+def comparable(df: DataFrame, inexact: Collection[str] = ()) -> DataFrame:
     """Result in the form both engines can agree on bit by bit.
 
-    Doubles are cut to single precision, so the order of a floating sum cannot show;
-    minus zero becomes zero; dates become text and booleans 0/1.
+    Minus zero becomes zero; dates become text and booleans 0/1.  Doubles stay as they are, but for those whose last
+    digits hang on the order of additions, which are cut to single precision.
     """
     out = []
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            short = c.cast("float").cast("double")
-            c = F.when(short == 0, F.lit(0.0)).otherwise(short)
+            shown = c.cast("float").cast("double") if field.name in inexact else c
+            c = F.when(shown == 0, F.lit(0.0)).otherwise(shown)
         elif isinstance(field.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(field.dataType, T.BooleanType):
@@ -35,11 +36,11 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def comparable_sql(sql: str, doubles: str, dates: str, flags: str) -> str:
-    changes = [
-        f"case when cast({c} as float) = 0 then cast(0 as double) else cast(cast({c} as float) as double) end as {c}"
-        for c in doubles.split()
-    ]
+def comparable_sql(sql: str, doubles: str, dates: str, flags: str, inexact: Collection[str] = ()) -> str:
+    changes = []
+    for c in doubles.split():
+        shown = f"cast(cast({c} as float) as double)" if c in inexact else f"cast({c} as double)"
+        changes.append(f"case when {shown} = 0 then cast(0 as double) else {shown} end as {c}")
     changes += [f"strftime({c}, '%Y-%m-%d') as {c}" for c in dates.split()]
     changes += [f"cast({c} as integer) as {c}" for c in flags.split()]
     if not changes:
@@ -56,10 +57,14 @@ class Check:
     dates: str = ""
     flags: str = ""
 
+    @property
+    def inexact(self) -> list[str]:
+        return INEXACT.get(self.key, "").split()
+
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(self.plan(pin_session(spark), sf_dir))
+        return comparable(self.plan(pin_session(spark), sf_dir), self.inexact)
 
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
-        return with_views(comparable_sql(self.sql.strip(), self.doubles, self.dates, self.flags))
+        return with_views(comparable_sql(self.sql.strip(), self.doubles, self.dates, self.flags, self.inexact))

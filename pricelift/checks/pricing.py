@@ -69,7 +69,7 @@ def _missing(spark, sf):
 
 CHECKS = [
     Check("department_gains", lambda s, d: batch.department_gains(td.sales_full(s, d), td.catalog(s, d)), """
-        select department, sum(profit_uplift) as profit_uplift from shop_results
+        select department, cast(sum(cast(profit_uplift as decimal(28,6))) as double) as profit_uplift from shop_results
         where optimization_method <> 'expiry_discount' group by department""", doubles="profit_uplift"),
     Check("demand_at_price", _demand, f"""
         select product_id, {units_at("current_price")} as demand from edge_ready""", doubles="demand"),

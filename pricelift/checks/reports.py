@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from . import inputs as x
 from .base import Check
+from .views import mean
 from ..operators import reports
 
 _GOOD = "edge_results where optimization_method <> 'expiry_discount'"
@@ -36,29 +37,29 @@ def _replies(results):
 
 
 CHECKS = [
-    Check("kpi_totals", _r(reports.kpi_totals), """
-        select coalesce(sum(profit_uplift) filter (where optimization_method <> 'expiry_discount'), 0) as total_uplift,
-               avg(profit_uplift_pct) filter (where optimization_method <> 'expiry_discount') as mean_uplift_pct,
+    Check("kpi_totals", _r(reports.kpi_totals), f"""
+        select coalesce(cast(sum(cast(profit_uplift as decimal(28,6))) filter (where optimization_method <> 'expiry_discount') as double), 0) as total_uplift,
+               {mean("case when optimization_method <> 'expiry_discount' then profit_uplift_pct end")} as mean_uplift_pct,
                count(*) filter (where optimization_method <> 'expiry_discount') as comparable_rows, count(*) as n_rows,
-               avg(price_change_pct) as mean_price_change_pct, count(*) filter (where price_change_pct > 0) as price_increases,
+               {mean('price_change_pct')} as mean_price_change_pct, count(*) filter (where price_change_pct > 0) as price_increases,
                count(*) filter (where price_change_pct < 0) as price_cuts,
-               coalesce(sum(spoilage_savings_estimate) filter (where optimization_method = 'expiry_discount'), 0) as spoilage_total,
+               coalesce(cast(sum(cast(spoilage_savings_estimate as decimal(28,6))) filter (where optimization_method = 'expiry_discount') as double), 0) as spoilage_total,
                count(*) filter (where stock_urgency_category = 'Critical') as critical_rows
         from edge_results""", doubles="total_uplift mean_uplift_pct mean_price_change_pct spoilage_total"),
     Check("top_department", _r(reports.top_department), f"""
         select department, u as department_uplift, u / t * 100 as share_pct
-        from (select department, u, sum(u) over () as t, row_number() over (order by u desc, department) as rn
-              from (select department, sum(profit_uplift) as u from {_GOOD} group by department))
+        from (select department, u, cast(sum(cast(u as decimal(28,6))) over () as double) as t, row_number() over (order by u desc, department) as rn
+              from (select department, cast(sum(cast(profit_uplift as decimal(28,6))) as double) as u from {_GOOD} group by department))
         where rn = 1 and t > 0 and u > 0""", doubles="department_uplift share_pct"),
     Check("uplift_by_method", _r(lambda r: reports.uplift_by(r, "optimization_method", total=True)), f"""
-        select coalesce(optimization_method, 'Total') as optimization_method, sum(profit_uplift) as profit_uplift
+        select coalesce(optimization_method, 'Total') as optimization_method, cast(sum(cast(profit_uplift as decimal(28,6))) as double) as profit_uplift
         from {_GOOD} group by rollup (optimization_method)""", doubles="profit_uplift"),
     Check("uplift_by_department", _r(lambda r: reports.uplift_by(r, "department").orderBy(F.col("profit_uplift").desc())), f"""
-        select department, sum(profit_uplift) as profit_uplift from {_GOOD} group by department order by 2 desc""", doubles="profit_uplift"),
+        select department, cast(sum(cast(profit_uplift as decimal(28,6))) as double) as profit_uplift from {_GOOD} group by department order by 2 desc""", doubles="profit_uplift"),
     Check("uplift_by_dept_method", _r(lambda r: reports.uplift_by(r, "department", "optimization_method")), f"""
-        select department, optimization_method, sum(profit_uplift) as profit_uplift from {_GOOD} group by all""", doubles="profit_uplift"),
+        select department, optimization_method, cast(sum(cast(profit_uplift as decimal(28,6))) as double) as profit_uplift from {_GOOD} group by all""", doubles="profit_uplift"),
     Check("method_counts", _r(lambda r: reports.value_counts(r, "optimization_method")), """
-        select optimization_method, count(*) as n_rows, count(*) * 100.0::double / sum(count(*)) over () as share_pct
+        select optimization_method, count(*) as n_rows, count(*) / cast(sum(count(*)) over () as double) * 100 as share_pct
         from edge_results group by optimization_method""", doubles="share_pct"),
     Check("urgency_crosstab", _r(lambda r: reports.crosstab(r, "department", "stock_urgency_category", STOCK_LEVELS)), """
         select department, count(*) filter (where stock_urgency_category = 'Critical') as "Critical",

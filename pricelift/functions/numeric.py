@@ -65,6 +65,11 @@ def stable_mean(value: ColumnLike) -> Column:
     return F.avg(coarse) + F.avg(fine)
 
 
+def exact_sum(value: ColumnLike) -> Column:
+    """Sum of amounts to a millionth, added as decimals: the same in any order and at any size; NaN and infinities are left out."""
+    return F.sum(finite(value).cast("decimal(28,6)")).cast("double")
+
+
 def band(value: ColumnLike, edges: Sequence[float], labels: Sequence[str]) -> Column:
     """Right-closed intervals (edge, next edge] to labels; outside them null.  An infinite last edge
     leaves the last interval open."""

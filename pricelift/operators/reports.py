@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import retail, text
+from ..functions.numeric import exact_sum, stable_mean
 
 
 def _comparable(results: DataFrame) -> DataFrame:
@@ -24,14 +25,14 @@ def kpi_totals(results: DataFrame) -> DataFrame:
     same = retail.is_comparable("optimization_method")
     change = F.col("price_change_pct")
     return results.agg(
-        F.coalesce(F.sum(F.when(same, F.col("profit_uplift"))), F.lit(0.0)).alias("total_uplift"),
-        F.avg(F.when(same, F.col("profit_uplift_pct"))).alias("mean_uplift_pct"),
+        F.coalesce(exact_sum(F.when(same, F.col("profit_uplift"))), F.lit(0.0)).alias("total_uplift"),
+        stable_mean(F.when(same, F.col("profit_uplift_pct"))).alias("mean_uplift_pct"),
         F.count_if(same).alias("comparable_rows"),
         F.count(F.lit(1)).alias("n_rows"),
-        F.avg(change).alias("mean_price_change_pct"),
+        stable_mean(change).alias("mean_price_change_pct"),
         F.count_if(change > 0).alias("price_increases"),
         F.count_if(change < 0).alias("price_cuts"),
-        F.coalesce(F.sum(F.when(~same, F.col("spoilage_savings_estimate"))), F.lit(0.0)).alias("spoilage_total"),
+        F.coalesce(exact_sum(F.when(~same, F.col("spoilage_savings_estimate"))), F.lit(0.0)).alias("spoilage_total"),
         F.count_if(F.col("stock_urgency_category") == "Critical").alias("critical_rows"),
     )
 
@@ -39,7 +40,7 @@ def kpi_totals(results: DataFrame) -> DataFrame:
 def uplift_by(results: DataFrame, *keys: str, total: bool = False) -> DataFrame:
     """Uplift of the comparable rows by the keys; ``total`` adds a grand-total row."""
     rows = _comparable(results)
-    uplift = F.sum("profit_uplift").alias("profit_uplift")
+    uplift = exact_sum("profit_uplift").alias("profit_uplift")
     if not total:
         return rows.groupBy(*keys).agg(uplift)
     rolled = rows.rollup(*keys).agg(uplift, F.grouping_id().alias("_level"))
@@ -52,7 +53,7 @@ def uplift_by(results: DataFrame, *keys: str, total: bool = False) -> DataFrame:
 def top_department(results: DataFrame) -> DataFrame:
     """Best department and its share of the total; nothing unless both are positive."""
     best = uplift_by(results, "department").filter(F.col("profit_uplift").isNotNull()).agg(
-        F.sum("profit_uplift").alias("_total"),
+        exact_sum("profit_uplift").alias("_total"),
         F.max("profit_uplift").alias("department_uplift"),
         F.min_by("department", F.struct(-F.col("profit_uplift"), F.col("department"))).alias("department"),
     )
