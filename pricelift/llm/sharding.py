@@ -15,6 +15,9 @@ JUMP_MULTIPLIER = 2862933555777941757
 #: are gathered, however many rows there are.
 SLOT_PIECES = 4096
 
+#: Copies of a row that are written out from one list.
+STRETCH = 10_000
+
 
 def jump_hash(keys: np.ndarray, shards: int) -> np.ndarray:
     """The shard of every 64-bit key.  All keys that have not settled take one jump a round."""
@@ -42,34 +45,38 @@ def jump_shard(key: Column, shards: int) -> Column:
     return settle(F.coalesce(key.cast("long"), F.lit(0)))
 
 
+def slot_piece(key: Column, checksum: Column, pieces: int) -> Column:
+    """Piece of a shard a row is numbered in: checksums of its key and its text, so no arithmetic of keys fills one piece."""
+    return F.pmod(F.coalesce(F.crc32(key.cast("string").cast("binary")), F.lit(0)) + checksum, F.lit(pieces))
+
+
 def shard_documents(docs: DataFrame, shards: int = 24, key: str = "doc_id", text: str = "text", pieces: int = SLOT_PIECES) -> DataFrame:
     """Every row with its shard, its slot there, and its shard when one more is appended.
 
-    Slots are gapless from 0 in each shard: rows are numbered inside a piece of the shard
-    (key modulo ``pieces``) and start behind the rows of the pieces before it, so that no task
-    sees a whole shard.  Only pieces x shards counts are summed up.
+    Slots are gapless from 0 in each shard.  Equal rows are counted first, map-side, and take as many slots side by
+    side; different rows are numbered inside a piece of the shard and start behind the rows of the pieces before it, so
+    no task sees a whole shard, and many copies of one row are one row until they are written out, one after another.
 
-    A null text has no bytes and checksum 0; a null key counts as key 0 for the shard.  Equal rows
-    get neighbouring slots.  An empty table gives no rows.  Other columns are not carried over.
+    A null text has no bytes and checksum 0; a null key counts as key 0 for the shard.  An empty table gives no rows.
+    Other columns are not carried over.
     """
-    id_ = F.coalesce(F.col(key).cast("long"), F.lit(0))
     body = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
-    placed = docs.select(
-        F.col(key).cast("long").alias("doc_id"),
-        (F.octet_length(body).cast("long") + 8).alias("size"),
-        F.crc32(body).alias("text_crc32"),
-        F.pmod(id_, F.lit(pieces)).alias("piece"),
-        jump_shard(F.col(key), shards).alias("shard"),
-        jump_shard(F.col(key), shards + 1).alias("grown_shard"),
+    read = docs.select(F.col(key).cast("long").alias("doc_id"), (F.octet_length(body).cast("long") + 8).alias("size"), F.crc32(body).alias("text_crc32"))
+    counted = read.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
+    placed = counted.select(
+        "*", slot_piece(F.col("doc_id"), F.col("text_crc32"), pieces).alias("piece"),
+        jump_shard(F.col("doc_id"), shards).alias("shard"), jump_shard(F.col("doc_id"), shards + 1).alias("grown_shard"),
     )
-    counts = docs.select(
-        jump_shard(F.col(key), shards).alias("shard"), F.pmod(id_, F.lit(pieces)).alias("piece")
-    ).groupBy("shard", "piece").agg(F.count("*").alias("n"))
+    inside = Window.partitionBy("shard", "piece").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = placed.withColumn("end", F.sum("n").over(inside))
+    # 24 x 4096 sums at most
+    counts = numbered.groupBy("shard", "piece").agg(F.max("end").alias("rows"))
     before = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("shard", "piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "piece").orderBy("doc_id", "text_crc32", "size")
-    numbered = placed.withColumn("rank", F.row_number().over(inside))
-    return numbered.join(starts, ["shard", "piece"]).select(
-        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
-        (F.col("start") + F.col("rank") - 1).cast("long").alias("slot"), "grown_shard",
-    )
+    starts = counts.select("shard", "piece", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    joined = numbered.join(starts, ["shard", "piece"])
+    first = F.col("start") + F.col("end") - F.col("n")
+    named = joined.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "grown_shard", first.alias("first"), (first + F.col("n") - 1).alias("last"))
+    # written out by stretches, so that no list is as long as the copies of a row are many
+    runs = named.select("*", F.explode(F.sequence("first", "last", F.lit(STRETCH).cast("long"))).alias("from_"))
+    slots = F.explode(F.sequence("from_", F.least(F.col("from_") + STRETCH - 1, F.col("last")))).alias("slot")
+    return runs.select("doc_id", "size", "text_crc32", "law", "shard", slots, "grown_shard")

@@ -89,11 +89,14 @@ with recursive jumps as (
   select doc_id, octet_length(encode(coalesce(text, ''))) + 8 as size,
          xor(list_reduce(
            list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::bigint)),
-           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as text_crc32
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as text_crc32,
+         coalesce(xor(list_reduce(
+           list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(doc_id::varchar)), '..'), lambda x: ('0x' || x)::bigint)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295), 0) as key_crc32
   from documents, crc_table
 )
 select sized.doc_id, size, text_crc32, 'key' as law, shard,
-       row_number() over (partition by shard order by ((coalesce(sized.doc_id, 0) % 4096) + 4096) % 4096, sized.doc_id, text_crc32, size) - 1 as slot,
+       row_number() over (partition by shard order by (key_crc32 + text_crc32) % 4096, sized.doc_id nulls first, text_crc32, size) - 1 as slot,
        grown_shard
 from sized join settled on sized.doc_id is not distinct from settled.doc_id
 """
