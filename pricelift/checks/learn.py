@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import inputs as x
 from .base import Check
 from ..functions import retail
-from ..operators import features, metrics, models
+from ..operators import comparison, features, metrics, models
 from ..sources import testdata as td
 
 
@@ -64,6 +67,34 @@ def _facts(scored):
     return report.withColumn("s", packed).select("n_rows", "s.scored_rows", "s.in_range", (F.col("rmse") >= F.col("mae")).alias("rmse_bounds_mae"))
 
 
+def _compared(spark, sf):
+    """Both learners from two origins, with fewer trees than the pipeline takes."""
+    return comparison.compare_models(model_rows(spark, sf), folds=2, max_trees=60, forest_trees=60)
+
+
+def _metrics(spark, sf):
+    """Errors of both models on the newer rows, trained with the pipeline's parameters, beside the naive forecast's."""
+    train, test = _split_rows(spark, sf)
+    fitted = {"boosted": models.train_demand(train, test), "forest": models.train_forest(train)}
+    naive = metrics.naive_forecast(train, test)
+    rows = [metrics.regression_metrics(naive, "units_sold", "naive_pred").withColumns({"learner": F.lit("naive"), "trees": F.lit(None).cast("int")})]
+    for name, model in fitted.items():
+        errors = metrics.regression_metrics(models.predict(naive, model), "units_sold", "prediction")
+        rows.append(errors.withColumns({"learner": F.lit(name), "trees": F.lit(comparison.iterations(model))}))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _importances(spark, sf):
+    train, test = _split_rows(spark, sf)
+    return comparison.compared_importances(spark, {"boosted": models.train_demand(train, test), "forest": models.train_forest(train)})
+
+
+def _baseline_values(spark, sf):
+    model, _ = _boosted(spark, sf)
+    lookup = features.product_lookup(model_rows(spark, sf).drop("date", "product_name"))
+    return models.predict_baseline(lookup, model).select("product_id", "base_price", "baseline_demand")
+
+
 def _train_demand(spark, sf):
     model, test = _boosted(spark, sf)
     return _facts(models.predict(test, model))
@@ -122,4 +153,7 @@ CHECKS = [
         from (values {", ".join(f"('{name}')" for name in models.FEATURES)}) as f(feature)""", doubles="total"),
     Check("predict_baseline", _baseline, """
         select product_id, base_price, 1 as not_negative from sales_lookup""", doubles="base_price"),
+    # figures that no SQL states: the tests hold them against a known signal
+    Check("model_errors", _metrics), Check("model_importances", _importances), Check("baseline_demand", _baseline_values),
+    Check("model_comparison", _compared),
 ]

@@ -28,6 +28,11 @@ def training_rows(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFram
     )
 
 
+def training_rows_with(df: DataFrame, labels: Sequence[str], features: Sequence[str] = FEATURES) -> DataFrame:
+    """Training rows with columns that tell where they belong."""
+    return drop_incomplete(df, [*features, TARGET]).select(*labels, *features, F.col(TARGET).cast("double").alias(TARGET))
+
+
 def train_demand(
     train: DataFrame, valid: DataFrame, features: Sequence[str] = FEATURES,
     max_trees: int = 500, depth: int = 6, rate: float = 0.05, tolerance: float = 0.001,
