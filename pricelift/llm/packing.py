@@ -193,11 +193,11 @@ def pack_documents(docs: DataFrame, path: str, size: int = 1024, end_id: int = 2
     """One row per piece of every document with its sequence and its place there.
 
     Documents are dealt to groups of about ``docs_per_group``; each group is packed on its own,
-    so neither a task nor the driver sees all pieces.  A null or empty text is its end token alone.
-    Equal rows are packed like any others.  An empty table gives no rows.  A null doc_id stays null.
+    so neither a task nor the driver sees all pieces; equal rows are told apart by where they were read and spread like others.  A null or empty text is its end token alone.
+    An empty table gives no rows.  A null doc_id stays null.
     Columns beyond doc_id and text are not carried over, whatever their names.
     """
     groups = max(1, math.ceil(docs.count() / docs_per_group))
     pieces = tokenised_pieces(docs, path, size, end_id)
-    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("pack_group").applyInPandas(lambda g: pack_group(g, size), PACKED)
