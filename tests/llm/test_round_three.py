@@ -364,3 +364,34 @@ def test_html_with_deep_and_unmatched_tags(spark):
     pages = spark.createDataFrame([(n, "u", body + story) for n, body in enumerate(bodies)], "page_id long, url string, html string")
     got = html_text.extract_pages(pages).collect()
     assert len(got) == 4 and all("a long story of words" in r.text for r in got) and time.time() - start < 30
+
+
+# ------------------------------------------------------------------ hot keys
+
+def test_slots_of_keys_with_one_remainder_are_spread(spark):
+    from pricelift.llm import sharding
+
+    docs = spark.range(20_000).select((F.col("id") * 4096).alias("doc_id"), F.lit("same").alias("text"))
+    pieces = docs.select(sharding.slot_piece(F.col("doc_id"), F.crc32(F.col("text").cast("binary")), 4096).alias("p")).groupBy("p").count().collect()
+    assert len(pieces) > 3500 and max(r["count"] for r in pieces) < 30
+    got = sharding.shard_documents(docs).groupBy("shard").agg(F.count("*").alias("n"), F.min("slot").alias("lo"), F.max("slot").alias("hi"), F.count_distinct("slot").alias("d")).collect()
+    assert sum(r.n for r in got) == 20_000 and all(r.lo == 0 and r.hi == r.n - 1 and r.d == r.n for r in got)
+
+
+def test_slots_of_copies_are_gapless(spark):
+    from pricelift.llm import sharding
+
+    docs = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.col("id")).when(F.col("id") % 3 == 1, F.lit(7)).alias("doc_id"), F.lit("same").alias("text"))
+    got = sharding.shard_documents(docs)
+    rows = got.groupBy("shard").agg(F.count("*").alias("n"), F.min("slot").alias("lo"), F.max("slot").alias("hi"), F.count_distinct("slot").alias("d")).collect()
+    assert sum(r.n for r in rows) == 30_000 and all(r.lo == 0 and r.hi == r.n - 1 and r.d == r.n for r in rows)
+    assert got.filter("doc_id = 7").count() == 10_000 and got.filter("doc_id is null").count() == 10_000
+
+
+def test_equal_rows_are_dealt_to_many_packing_groups(spark):
+    docs = spark.range(6_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("one two three").alias("text"))
+    path = queries.vocabulary("byte_bpe_50k.json")
+    rows = packing.pack_documents(docs, path, docs_per_group=500).select("sequence_id", "offset", "length").collect()
+    groups = collections.Counter(r.sequence_id >> 32 for r in rows)
+    assert len(rows) == 6_000 and len(groups) == 12 and max(groups.values()) < 700
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 6_000 and all(r.offset + r.length <= 1024 for r in rows)
