@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,9 +51,20 @@ def _split_rows(spark, sf):
     return rows.filter(F.col("date") < x.SPLIT_DATE), rows.filter(F.col("date") >= x.SPLIT_DATE)
 
 
-def _boosted(spark, sf):
-    train, test = _split_rows(spark, sf)
-    return models.train_demand(train, test), test
+_FITTED: dict[tuple[str, str, str], PipelineModel] = {}
+
+
+def _fitted(spark, sf, learner):
+    """A model with the pipeline's parameters; queries of one application that need the same one train it once."""
+    key = spark.sparkContext.applicationId, sf, learner
+    if key not in _FITTED:
+        train, test = _split_rows(spark, sf)
+        _FITTED[key] = models.train_demand(train, test) if learner == "boosted" else models.train_forest(train)
+    return _FITTED[key]
+
+
+def _both(spark, sf):
+    return {learner: _fitted(spark, sf, learner) for learner in ("boosted", "forest")}
 
 
 def _facts(scored):
@@ -75,45 +87,41 @@ def _compared(spark, sf):
 def _metrics(spark, sf):
     """Errors of both models on the newer rows, trained with the pipeline's parameters, beside the naive forecast's."""
     train, test = _split_rows(spark, sf)
-    fitted = {"boosted": models.train_demand(train, test), "forest": models.train_forest(train)}
     naive = metrics.naive_forecast(train, test)
     rows = [metrics.regression_metrics(naive, "units_sold", "naive_pred").withColumns({"learner": F.lit("naive"), "trees": F.lit(None).cast("int")})]
-    for name, model in fitted.items():
+    for name, model in _both(spark, sf).items():
         errors = metrics.regression_metrics(models.predict(naive, model), "units_sold", "prediction")
         rows.append(errors.withColumns({"learner": F.lit(name), "trees": F.lit(comparison.iterations(model))}))
     return reduce(DataFrame.unionByName, rows)
 
 
 def _importances(spark, sf):
-    train, test = _split_rows(spark, sf)
-    return comparison.compared_importances(spark, {"boosted": models.train_demand(train, test), "forest": models.train_forest(train)})
+    return comparison.compared_importances(spark, _both(spark, sf))
 
 
 def _baseline_values(spark, sf):
-    model, _ = _boosted(spark, sf)
+    model = _fitted(spark, sf, "boosted")
     lookup = features.product_lookup(model_rows(spark, sf).drop("date", "product_name"))
     return models.predict_baseline(lookup, model).select("product_id", "base_price", "baseline_demand")
 
 
 def _train_demand(spark, sf):
-    model, test = _boosted(spark, sf)
-    return _facts(models.predict(test, model))
+    return _facts(models.predict(_split_rows(spark, sf)[1], _fitted(spark, sf, "boosted")))
 
 
 def _train_forest(spark, sf):
-    train, test = _split_rows(spark, sf)
-    return _facts(models.predict(test, models.train_forest(train)))
+    return _facts(models.predict(_split_rows(spark, sf)[1], _fitted(spark, sf, "forest")))
 
 
 def _importance(spark, sf):
-    model, _ = _boosted(spark, sf)
+    model = _fitted(spark, sf, "boosted")
     shares = models.feature_importance(spark, model)
     total = shares.agg(F.round(F.sum("importance"), 6)).scalar()
     return shares.select("feature", F.col("importance").between(0, 1).alias("is_share"), total.alias("total"))
 
 
 def _baseline(spark, sf):
-    model, _ = _boosted(spark, sf)
+    model = _fitted(spark, sf, "boosted")
     lookup = features.product_lookup(model_rows(spark, sf).drop("date", "product_name"))
     return models.predict_baseline(lookup, model).select("product_id", "base_price", (F.col("baseline_demand") >= 0).alias("not_negative"))
 
