@@ -511,9 +511,9 @@ def executed(df):
 
 
 def master_of(spark, small):
-    from pricelift.checks.joins import _master
+    from pricelift.checks.joins import master
 
-    return _master(spark, small)
+    return master(spark, small)
 
 
 def test_master_has_76_columns_and_keeps_the_grain(spark, small):
