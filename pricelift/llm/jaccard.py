@@ -29,8 +29,9 @@ from pricelift.llm.components import connected_components
 
 #: Keys a task combines at a time.
 KEY_BUFFER = 400_000
-#: Ranges of keys to a shuffle partition.
+#: Ranges of keys to a shuffle partition, at least; beyond that they follow the number of documents.
 RANGES = 4
+DOCS_TO_RANGE = 10_000
 #: Sets and shingles to a cell of a partition; larger partitions are compared cell against cell.
 CELL_SETS = 1024
 CELL_SHINGLES = 2_000_000
@@ -138,12 +139,12 @@ class Slices:
         return each[large] if len(each) - large.sum() < spare else each
 
 
-ROWS = pa.schema([("p", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64()), ("keys", pa.binary()), ("nodes", pa.binary())])
-ROWS_DDL = "p int, a long, b long, c long, d long, keys binary, nodes binary"
+ROWS = pa.schema([("p", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64()), ("keys", pa.binary()), ("nodes", pa.binary()), ("mark", pa.binary())])
+ROWS_DDL = "p int, a long, b long, c long, d long, keys binary, nodes binary, mark binary"
 
 
-def _rows(p=None, a=None, b=None, c=None, d=None, keys=None, nodes=None) -> pa.RecordBatch:
-    columns = (p, a, b, c, d, keys, nodes)
+def _rows(p=None, a=None, b=None, c=None, d=None, keys=None, nodes=None, mark=None) -> pa.RecordBatch:
+    columns = (p, a, b, c, d, keys, nodes, mark)
     n = next(len(x) for x in columns if x is not None)
     return pa.RecordBatch.from_arrays([pa.nulls(n, f.type) if x is None else pa.array(x, f.type) for x, f in zip(columns, ROWS, strict=True)], schema=ROWS)
 
@@ -167,11 +168,15 @@ def _firsts(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return key[new], node[new], np.unique(np.stack([node[other], first[other]], axis=1), axis=0)
 
 
+def dealt(first: int, n: int) -> np.ndarray:
+    """Partition numbers for rows that need no partition of their own: places from ``first`` on, spread by a hash."""
+    return (mix(np.arange(first, first + n, dtype=np.uint64) + _C) >> np.uint64(33)).astype(np.int32)
+
+
 def _edge_rows(edges: np.ndarray) -> Iterator[pa.RecordBatch]:
     for at in range(0, len(edges), 100_000):
         part = edges[at : at + 100_000]
-        # edges are dealt out evenly, they need no partition of their own
-        yield _rows(p=(part[:, 0] & 1023).astype(np.int32), a=part[:, 0], b=part[:, 1])
+        yield _rows(p=dealt(at, len(part)), a=part[:, 0], b=part[:, 1])
 
 
 def _combined(keys: list[np.ndarray], nodes: list[int], parts: int) -> Iterator[pa.RecordBatch]:
@@ -188,45 +193,52 @@ def _combined(keys: list[np.ndarray], nodes: list[int], parts: int) -> Iterator[
 
 
 def signatures(docs: DataFrame, size: int, percent: int, parts: int) -> DataFrame:
-    """Rows of three kinds: documents (a = doc_id, b = set size, c and d = digest of the set, nodes = its bitmap), blocks of
-    keys with their nodes, and edges (a, b) between nodes of one task that share a key.  Only distinct keys of a task leave it, in
-    ``parts`` ranges of keys."""
+    """Rows of three kinds: documents (a = doc_id, b = set size, c and d = digest of the set, nodes = its bitmap, mark = digest of the
+    text), blocks of keys with their nodes, and edges (a, b) between nodes of one task that share a key.  Only distinct keys of a
+    task leave it, in ``parts`` ranges of keys.  A node is the first half of the digest of a set, so texts are told apart by
+    what they hold, whatever their doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices = Slices(percent)
         keys: list[np.ndarray] = []
         nodes: list[int] = []
-        waiting = 0
+        waiting = done = 0
         for batch in batches:
             ids, sizes, digests, marks = batch.column(0).to_pylist(), [], [], []
-            for doc_id, text in zip(ids, batch.column(1), strict=True):
+            for text in batch.column(1):
                 hashes = shingle_set(text.as_py(), size)
                 sizes.append(len(hashes))
                 marks.append(bitmap(hashes, width(len(hashes))).tobytes())
                 digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-                if doc_id is not None and len(hashes):
+                if len(hashes):
                     own = np.unique(slices.keys(hashes))
                     keys.append(own)
-                    nodes.append(doc_id)
+                    nodes.append(int.from_bytes(digests[-1][:8], "little", signed=True))
                     waiting += len(own)
                 if waiting >= KEY_BUFFER:
                     yield from _combined(keys, nodes, parts)
                     keys, nodes, waiting = [], [], 0
             if ids:
                 halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                yield _rows(p=(np.arange(len(ids)) & 1023).astype(np.int32), a=ids, b=sizes, c=halves[:, 0], d=halves[:, 1], nodes=marks)
+                yield _rows(p=dealt(done, len(ids)), a=ids, b=sizes, c=halves[:, 0], d=halves[:, 1], nodes=marks, mark=batch.column(2).to_pylist())
+                done += len(ids)
         if keys:
             yield from _combined(keys, nodes, parts)
 
     return _texts(docs).mapInArrow(run, ROWS_DDL)
 
 
+def text_mark():
+    """The digest of a text; a null text is like an empty one."""
+    return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
+
+
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_mark().alias("mark"))
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """Documents (a, b, c, d, nodes) and edges (a, b) of ``signatures``, with edges for keys that several tasks hold.
+    """Documents (a, b, c, d, nodes, mark) and edges (a, b) of ``signatures``, with edges for keys that several tasks hold.
 
     A key comes from a task once, so no key has more entries than there are tasks.  Of a range of
     keys all blocks are held at once; the ranges are many times as many as the partitions.
@@ -435,18 +447,26 @@ def crossed(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return i[there], j[there]
 
 
+#: Columns beside those of a table: the digest of a text, and doc_id and digest of the rows that stay.
+MARK, OWN_ID, OWN_MARK = "_text_mark_of_row", "_kept_doc_id", "_kept_text_mark"
+
 MEMBERS = pa.schema([("task", pa.string()), ("side", pa.int32()), ("node", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
 
 
 def member_sets(members: DataFrame, size: int) -> DataFrame:
-    """The set of every member, once for each task it is in."""
+    """The set of every member (node, text, tasks), once for each task it is in; rows of one node have one text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows = []
                 for node, text, tasks in zip(*(part.column(c).to_pylist() for c in range(3)), strict=True):
+                    # rows that repeat id and text stand for one set
+                    if node in sent:
+                        continue
+                    sent.add(node)
                     hashes = shingle_set(text, size)
                     data = hashes.tobytes()
                     rows += [(t["task"], t["side"], node, len(hashes), data) for t in tasks]
@@ -544,44 +564,66 @@ def assigned(members: DataFrame, percent: int) -> DataFrame:
     return placed.select(*columns, whole.alias("whole"), F.when(whole, single).otherwise(spread).alias("tasks"))
 
 
-def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id): the smallest doc_id reachable by links from every document.
+def components_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc_id, mark, n_shingles, head) of every row: ``head`` is the row (none, doc_id, mark) that stands for its component.
 
-    Texts that are null, empty or without words have the empty set, which links with nothing; so do rows
-    without a doc_id, whose component is null.  Rows with equal sets form one component.  Rows that share
-    a doc_id are told apart by their texts: each is in the component of its own text.  An empty table gives no
-    rows; columns beyond doc_id and text are not read.
+    It has the smallest doc_id, rows without one last, and of those with one doc_id the smallest digest of a
+    text.  Rows with the empty set have none.
     """
-    parts = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = stored(shared_keys(signatures(docs, size, percent, parts)), "shingle-rows")
-    documents = rows.filter("c is not null").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "c", "d", F.col("nodes").alias("bits"))
-    reps = documents.filter("n_shingles > 0 and doc_id is not null").groupBy("c", "d").agg(
-        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("bits").alias("bits"))
-    # written, so that the last join exchanges both of its sides and a set with very many copies can be split
-    reps = stored(reps, "sets")
+    ranges = max(RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.select("doc_id").count() // DOCS_TO_RANGE))
+    rows = stored(shared_keys(signatures(docs, size, percent, ranges)), "shingle-rows")
+    documents = rows.filter("c is not null").select(
+        F.col("a").alias("doc_id"), "mark", F.col("b").alias("n_shingles"), "c", "d", F.col("nodes").alias("bits"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    sets = documents.filter("n_shingles > 0").groupBy("c", "d").agg(
+        F.min(row).alias("rep"), F.max("n_shingles").alias("n"), F.first("bits").alias("bits"))
+    # written, so that the numbers of the sets stay and the last join exchanges both of its sides: a set with very many
+    # copies can then be split
+    sets = stored(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
     parts = connected_components(rows.filter("c is null").select("a", "b"), "partitions")
-    members = reps.join(parts, F.col("rep") == F.col("node")).select("node", "n", "bits", F.col("component").alias("part"))
+    parts = parts.select(F.col("node").alias("c"), F.col("component").alias("part"))
+    members = sets.join(parts, "c").select("node", "n", "bits", "part")
     cells = stored(assigned(members, percent), "cells")
     # partitions of more than one cell are looked at by bitmaps alone first: passages that many texts share join
     # unrelated ones, and what a bitmap already rules out needs no set to be sent
     large = cells.filter("not whole").select("node", "n", F.col("bits").alias("data"), F.explode("tasks").alias("t")).select("t.task", "t.side", "node", "n", "data")
     finer = connected_components(stored(task_edges(large, percent, False), "candidates"), "finer")
     again = cells.filter("not whole").select("node", "n").join(finer, "node").select("node", "n", F.col("component").alias("part"))
-    tasks = stored(assigned(cells.filter("whole").select("node", "n", "part").unionByName(again), percent).select("node", "tasks"), "comparisons")
-    texts = _texts(docs).join(tasks, F.col("doc_id") == F.col("node")).select("doc_id", "text", "tasks")
+    tasks = assigned(cells.filter("whole").select("node", "n", "part").unionByName(again), percent).select("node", "tasks")
+    tasks = stored(tasks.join(sets.select("node", "rep"), "node").select("node", "tasks", "rep"), "comparisons")
+    texts = _texts(docs).alias("t").join(
+        tasks, (F.col("t.mark") == F.col("rep.mark")) & F.col("t.doc_id").eqNullSafe(F.col("rep.doc_id"))).select("node", "text", "tasks")
     edges = stored(task_edges(member_sets(texts, size), percent, True), "links")
-    found = connected_components(edges, "components").withColumnRenamed("node", "rep")
-    of_set = reps.join(found, "rep", "left").select("c", "d", F.coalesce("component", "rep").alias("of_set"))
+    found = connected_components(edges, "components").join(sets.select("node", "rep"), "node")
+    heads = found.groupBy("component").agg(F.min("rep").alias("head"))
+    heads = found.select("node", "component").join(heads, "component").select("node", "head")
+    of_set = sets.join(heads, "node", "left").select("c", "d", F.coalesce("head", "rep").alias("head"))
     joined = documents.join(of_set, ["c", "d"], "left")
-    own = F.when(F.col("n_shingles") > 0, F.col("of_set")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
+    return joined.select("doc_id", "mark", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("head")).alias("head"))
+
+
+def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
+    """(doc_id, n_shingles, component_id): the smallest doc_id reachable by links from every document.
+
+    Texts that are null, empty or without words have the empty set, which links with nothing.  Rows with equal
+    sets form one component.  Rows without a doc_id link by their texts like others, but give no smallest doc_id, and
+    their own component_id is null.  Rows that share a doc_id are told apart by their texts: each is in the
+    component of its own text.  An empty table gives no rows; columns beyond doc_id and text are not read.
+    """
+    own = F.coalesce(F.col("head.doc_id"), F.col("doc_id"))
+    return components_of(docs, size, percent).select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, with its columns as they were.
 
-    Rows that share a doc_id count once; rows without one are kept, as nothing tells them apart.
+    Rows without a doc_id are compared by their texts and stay only where no row of their component has one; texts under
+    one doc_id are apart unless they link.  Rows that repeat doc_id and text count once, whatever their other columns.  Texts without words link
+    with nothing: each of their distinct rows (doc_id, text) stays.
     """
-    kept = jaccard_components(docs, size, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    chosen = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    marked = docs.withColumn(MARK, text_mark())
+    own = components_of(docs, size, percent).filter(
+        "head is null or (mark = head.mark and doc_id <=> head.doc_id)").select(
+        F.col("doc_id").alias(OWN_ID), F.col("mark").alias(OWN_MARK)).distinct()
+    chosen = marked.join(own, (F.col(MARK) == F.col(OWN_MARK)) & F.col("doc_id").cast("long").eqNullSafe(F.col(OWN_ID)), "left_semi")
+    return chosen.dropDuplicates(["doc_id", MARK]).select(*docs.columns)
