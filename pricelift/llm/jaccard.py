@@ -591,8 +591,9 @@ def components_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
     again = cells.filter("not whole").select("node", "n").join(finer, "node").select("node", "n", F.col("component").alias("part"))
     tasks = assigned(cells.filter("whole").select("node", "n", "part").unionByName(again), percent).select("node", "tasks")
     tasks = stored(tasks.join(sets.select("node", "rep"), "node").select("node", "tasks", "rep"), "comparisons")
+    # the members grow with the table: the join exchanges both sides at every size, and a hot text can be split
     texts = _texts(docs).alias("t").join(
-        tasks, (F.col("t.mark") == F.col("rep.mark")) & F.col("t.doc_id").eqNullSafe(F.col("rep.doc_id"))).select("node", "text", "tasks")
+        tasks.hint("merge"), (F.col("t.mark") == F.col("rep.mark")) & F.col("t.doc_id").eqNullSafe(F.col("rep.doc_id"))).select("node", "text", "tasks")
     edges = stored(task_edges(member_sets(texts, size), percent, True), "links")
     found = connected_components(edges, "components").join(sets.select("node", "rep"), "node")
     heads = found.groupBy("component").agg(F.min("rep").alias("head"))
