@@ -52,7 +52,7 @@ _WEEKLY_DOUBLES = (
     "weekly_revenue", "weekly_profit", "avg_price", "min_price", "max_price", "avg_discount_pct", "avg_inventory",
     "avg_inventory_ratio", "ma4_weekly_sales", "price_change_pct", "demand_change_pct",
 )
-_ROLLING_SQL = """
+ROLLING_SQL = """
         select product_id, date, avg(units_sold) over w as moving_avg_7day,
                coalesce(stddev_samp(units_sold) over w, 0) as demand_volatility
         from sales window w as (partition by product_id order by date rows between 6 preceding and current row)"""
@@ -101,10 +101,10 @@ CHECKS = [
         from stats s join hours h on h.product_id = s.product_id and h.rn = 1 join days d on d.product_id = s.product_id and d.rn = 1""",
         doubles="reorder_rate avg_cart_position avg_days_between_orders loyalty_index"),
     Check("rolling_7", lambda s, d: features.rolling_features(td.sales(s, d)).select(
-        "product_id", "date", "moving_avg_7day", "demand_volatility"), _ROLLING_SQL,
+        "product_id", "date", "moving_avg_7day", "demand_volatility"), ROLLING_SQL,
         doubles="moving_avg_7day demand_volatility", dates="date"),
     Check("rolling_7_split", lambda s, d: features.rolling_features_split(td.sales(s, d)).select(
-        "product_id", "date", "moving_avg_7day", "demand_volatility"), _ROLLING_SQL,
+        "product_id", "date", "moving_avg_7day", "demand_volatility"), ROLLING_SQL,
         doubles="moving_avg_7day demand_volatility", dates="date"),
     Check("total_units", lambda s, d: features.with_total(td.sales(s, d)).select("product_id", "date", "total_units_sold"), """
         select product_id, date, cast(sum(units_sold) over (partition by product_id) as bigint) as total_units_sold from sales""", dates="date"),

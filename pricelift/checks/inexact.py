@@ -20,6 +20,7 @@ INEXACT: dict[str, str] = {
     "product_lookup_levels": "demand_volatility predicted_units_avg predicted_revenue_avg",
     "rolling_7": "demand_volatility",
     "rolling_7_split": "demand_volatility",
+    "rolling_7_ranged": "demand_volatility",
     "recent_trend": "std_daily",
     "elasticity_table": "current_weekly_profit",
     "seasonal_factor": "seasonal_factor",

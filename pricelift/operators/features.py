@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 from ..functions import calendar as cal
 from ..functions import retail
 from ..functions.numeric import clip, finite, ratio, round_to, stable_mean
+from ..session import ensure_checkpoint_dir
 
 
 def calendar_features(df: DataFrame, date_col: str = "date") -> DataFrame:
@@ -60,8 +61,36 @@ def rolling_features_split(
     limit); only tails travel to later months, and months beyond the first that already
     supply enough rows are left out.
     """
+    return rolled_chunks(with_chunk(sales, chunk_format), rows, value, order, keep_chunk)
+
+
+def with_ranges(sales: DataFrame, order: Sequence[str] = ("date", "transaction_id"), segments: int | None = None) -> DataFrame:
+    """Add the number of the range of (product, *order) a row lies in.
+
+    The ranges are cut by sampled counts, wherever the rows are: a product with a month of a third of all rows, one busy
+    day or very many undated rows lies in many of them.  Only rows equal in all of these columns stay
+    together.  The rows are checkpointed, since another exchange could cut them elsewhere.
+    """
+    spark = sales.sparkSession
+    ensure_checkpoint_dir(spark)
+    parts = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return sales.repartitionByRange(parts, "product_id", *order).withColumn(CHUNK, F.spark_partition_id()).checkpoint()
+
+
+def rolling_features_ranged(
+    sales: DataFrame, rows: int = 7, value: str = "units_sold", order: tuple[str, ...] = ("date", "transaction_id"),
+    segments: int | None = None,
+) -> DataFrame:
+    """``rolling_features`` for products of any size: windows per range of rows, with the last rows carried over each border."""
+    present = tuple(c for c in order if c in sales.columns)
+    return rolled_chunks(with_ranges(sales, present, segments), rows, value, present)
+
+
+def rolled_chunks(
+    chunked: DataFrame, rows: int = 7, value: str = "units_sold", order: tuple[str, ...] = ("date",), keep_chunk: bool = False,
+) -> DataFrame:
+    """Rolling windows per product and chunk, where chunks of a product follow each other in ``order``."""
     keep = rows - 1
-    chunked = with_chunk(sales, chunk_format)
     latest_first = [F.col(c).desc() for c in order]
     in_chunk = Window.partitionBy("product_id", "_chunk").orderBy(*latest_first)
     slots = ["product_id", "_chunk", *order, value]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_CSV_OPTIONS = {
+CSV_OPTIONS = {
     "header": "true", "positiveInf": "inf", "negativeInf": "-inf", "nanValue": "nan",
     "mode": "PERMISSIVE",
 }
@@ -32,7 +32,7 @@ def read_table(
     if fmt == "csv":
         if schema is None:
             raise ValueError("a CSV table needs an explicit schema")
-        reader = reader.options(**_CSV_OPTIONS)
+        reader = reader.options(**CSV_OPTIONS)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
