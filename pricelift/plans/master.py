@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import features
 from ..operators.joins import join_dim, rename_collisions
@@ -36,17 +37,19 @@ def build_master(
 
 def build_master_busy(
     sales: DataFrame, catalog: DataFrame, elasticity: DataFrame, optimal: DataFrame, forecast: DataFrame,
-    order: tuple[str, ...] = ("date", "transaction_id"),
+    order: tuple[str, ...] = ("date", "transaction_id"), busy_rows: int = features.BUSY_ROWS,
 ) -> DataFrame:
     """The same table from sales with many rows per product and day.
 
-    One product may then hold a third of all rows.  Whole rows of sales are exchanged once, on product
-    and month: the windows run there with the rows before the month, and the product
-    tables, joined with each other and laid out per product and month, meet sales under
-    the same partitioning.  Tails, totals and months are read from sales apart, a few columns each, and combine
-    map-side.
+    One product may then hold a third of all rows.  Whole rows of sales are exchanged once: a product with more than
+    ``busy_rows`` rows by month, where the windows run with the rows before the month, any other whole.  The product
+    tables, joined with each other, are laid out per month for the busy products alone, so no other product's columns are
+    copied, and meet sales under the same partitioning.  Tails, totals and months are read from sales apart, a few
+    columns each, and combine map-side.
     """
-    rolled = features.rolling_features_split(sales, order=order, keep_chunk=True)
+    months = features.busy_months(sales, busy_rows)
+    chunked = features.with_busy_chunk(sales, months)
+    rolled = features.rolled_chunks(chunked, order=order, keep_chunk=True, divided=F.col(features.CHUNK) != features.UNDIVIDED)
     parts = [features.product_figures(sales)]
     taken = [*rolled.columns, *parts[0].columns]
     for table, suffix in ((catalog, "_cat"), (elasticity, "_elas"), (optimal, "_opt"), (features.forecast_summary(forecast), "")):
@@ -54,7 +57,7 @@ def build_master_busy(
         taken += parts[-1].columns
     # the figures have a row for every product in sales, so left joins lose nothing
     product = reduce(lambda left, right: left.join(right, "product_id", "left"), parts)
-    months = features.with_chunk(sales.select("product_id", "date")).select("product_id", features.CHUNK).distinct()
-    by_month = months.join(product, "product_id", "left")
+    laid_out = product.join(F.broadcast(months), F.col("product_id").eqNullSafe(F.col("_product")), "left")
+    by_month = laid_out.withColumn(features.CHUNK, F.coalesce("_month", F.lit(features.UNDIVIDED))).drop("_product", "_month")
     joined = rolled.join(by_month, ["product_id", features.CHUNK], "left").drop(features.CHUNK)
     return features.business_features(joined)

@@ -548,6 +548,28 @@ def test_busy_master_equals_the_plain_one(spark, small):
     assert rows(comparable(busy.select(columns)), "product_id", "date") == rows(comparable(plain.select(columns)), "product_id", "date")
 
 
+@pytest.mark.parametrize("busy_rows", [0, 35, 10**6])
+def test_busy_master_copies_product_columns_for_busy_products_only(spark, small, busy_rows):
+    """All products, some and none split by month: the same rows; product columns are laid out once for the rest."""
+    from pricelift.checks.base import comparable
+
+    sales = td.sales_full(spark, small).withColumn("transaction_id", F.xxhash64("product_id", "date"))
+    sales = sales.withColumn("date", F.when(F.col("transaction_id") % 9 != 0, F.col("date"))).persist()
+    counts = {r.product_id: r["count"] for r in sales.groupBy("product_id").count().collect()}
+    months = features.busy_months(sales, busy_rows)
+    assert {r._product for r in months.collect()} == {p for p, n in counts.items() if n > busy_rows}
+    chunks = features.with_busy_chunk(sales, months).select("product_id", features.CHUNK).distinct().groupBy("product_id").count().collect()
+    assert all(r["count"] == 1 for r in chunks if counts[r.product_id] <= busy_rows)
+    product = td.catalog_full(spark, small).select("product_id", "aisle", "shelf_life_days", "is_perishable")
+    forecast = sales.select("product_id", F.lit(1.0).alias("predicted_units"), F.lit(1.0).alias("predicted_revenue"), F.lit(1.0).alias("confidence_pct"))
+    none = product.select("product_id", F.lit(1.5).alias("x")).limit(0)
+    tables = (sales, product, none.withColumnRenamed("x", "e"), none.withColumnRenamed("x", "o"), forecast)
+    shown = ["product_id", "date", "transaction_id", "moving_avg_7day", "demand_volatility", "total_units_sold", "aisle", "predicted_units_avg"]
+    key = ("product_id", "date", "transaction_id")
+    got, want = (rows(comparable(m.select(shown), ("demand_volatility",)), *key) for m in (build_master_busy(*tables, busy_rows=busy_rows), build_master(*tables)))
+    assert got == want and len(got) == sales.count()
+
+
 def test_pricing_needs_no_shuffle(spark, small):
     assert "Exchange" not in executed(pricing.price_products(td.lookup_edge(spark, small)))
 
