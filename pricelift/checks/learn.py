@@ -12,6 +12,7 @@ from . import inputs as x
 from .base import Check
 from ..functions import retail
 from ..operators import comparison, features, metrics, models
+from ..session import ensure_checkpoint_dir
 from ..sources import testdata as td
 
 
@@ -54,17 +55,23 @@ def _split_rows(spark, sf):
 _FITTED: dict[tuple[str, str, str], PipelineModel] = {}
 
 
-def _fitted(spark, sf, learner):
-    """A model with the pipeline's parameters; queries of one application that need the same one train it once."""
-    key = spark.sparkContext.applicationId, sf, learner
-    if key not in _FITTED:
-        train, test = _split_rows(spark, sf)
-        _FITTED[key] = models.train_demand(train, test) if learner == "boosted" else models.train_forest(train)
-    return _FITTED[key]
+def _both(spark, sf, learners=("boosted", "forest")):
+    """Models with the pipeline's parameters; queries of one application that need the same one train it once.
+
+    The training rows are made once for all readings of all learners."""
+    app = spark.sparkContext.applicationId
+    missing = [learner for learner in learners if (app, sf, learner) not in _FITTED]
+    if missing:
+        ensure_checkpoint_dir(spark)
+        rows = models.training_rows_with(model_rows(spark, sf), ("date",)).checkpoint()
+        train, test = rows.filter(F.col("date") < x.SPLIT_DATE), rows.filter(F.col("date") >= x.SPLIT_DATE)
+        for learner in missing:
+            _FITTED[app, sf, learner] = models.train_demand(train, test) if learner == "boosted" else models.train_forest(train)
+    return {learner: _FITTED[app, sf, learner] for learner in learners}
 
 
-def _both(spark, sf):
-    return {learner: _fitted(spark, sf, learner) for learner in ("boosted", "forest")}
+def _fitted(spark, sf, learner):
+    return _both(spark, sf, (learner,))[learner]
 
 
 def _facts(scored):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import metrics, models
+from ..session import ensure_checkpoint_dir
 
 #: Share of the rows that the first origin has behind it, and of a training set that tells when boosting stops.
 FIRST_SHARE, STOP_SHARE = 0.55, 0.15
@@ -46,9 +47,11 @@ def compare_models(rows: DataFrame, folds: int = 3, max_trees: int = 500, forest
 
     A fold trains on all days before its origin and is judged on the days up to the next one; boosting stops by
     the newest days of the training part, never by the days it is judged on.  Folds and learners go one after another; each fit and each
-    judgement is a Spark job over all rows of its days.
+    judgement is a Spark job over all rows of its days.  The rows are made once for all of them.
     """
     spark = rows.sparkSession
+    ensure_checkpoint_dir(spark)
+    rows = models.training_rows_with(rows, ("product_id", "date")).checkpoint()
     out = []
     for fold, (cut, end) in enumerate(origins(rows, folds)):
         train, test = rows.filter(F.col("date") < F.lit(cut)), rows.filter(F.col("date") >= F.lit(cut))
@@ -57,7 +60,7 @@ def compare_models(rows: DataFrame, folds: int = 3, max_trees: int = 500, forest
         stop = cut_dates(train, [1 - STOP_SHARE])
         older, newer = (train.filter(F.col("date") < F.lit(stop[0])), train.filter(F.col("date") >= F.lit(stop[0]))) if stop else (train, train)
         fitted = {"boosted": models.train_demand(older, newer, max_trees=max_trees), "forest": models.train_forest(train, trees=forest_trees)}
-        judged = metrics.naive_forecast(train, models.training_rows_with(test, ("product_id",)))
+        judged = metrics.naive_forecast(train, test)
         naive = metrics.regression_metrics(judged, models.TARGET, "naive_pred").select(F.col("mape").alias("naive_mape"))
         packed = naive.select(F.struct("naive_mape").alias("s")).scalar()
         for learner, model in fitted.items():

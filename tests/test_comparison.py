@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pricelift.operators import comparison, models
 
@@ -37,3 +38,36 @@ def test_both_learners_beat_the_naive_forecast_at_every_origin(spark, rows):
     shares = comparison.compared_importances(spark, {"forest": models.train_forest(rows, trees=5)}).collect()
     assert max(shares, key=lambda r: r.importance).feature == "current_price" and {r.learner for r in shares} == {"forest"}
     assert comparison.compare_models(rows.limit(0), 2).count() == 0
+
+
+def test_trees_read_points_and_not_rows(spark, rows):
+    """Points keep number, sum and squares of the rows; their number follows the bins, and copies of the table add none."""
+    stages = models.binning(rows, models.FEATURES)
+    keys = [models.BIN + f for f in models.FEATURES]
+
+    def sums(df, weight):
+        w, y = F.col(weight), F.col(models.TARGET)
+        return df.agg(F.sum(w), F.sum(w * y), F.sum(w * y * y)).first()
+
+    binned = stages[0].transform(models.training_rows(rows)).withColumn("one", F.lit(1.0))
+    many = binned.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(50))))
+    count = binned.select(keys).distinct().count()
+    for df in (binned, many):
+        for pieces in (1, 2, 8):
+            points = models.weighted_points(models.cells(df, (), keys), F.lit(pieces))
+            got, want = list(sums(points, models.WEIGHT)), list(sums(df, "one"))
+            assert got[:2] == pytest.approx(want[:2]) and points.count() <= pieces * count and (pieces == 1 or got[2] == pytest.approx(want[2]))
+    assert binned.select(keys).distinct().groupBy().agg(*[F.max(k) for k in keys]).first()[0] <= models.BINS - 1
+    # a rare value has a bin of its own, a single value is one bin
+    rare = spark.range(5000).select((F.col("id") < 3).cast("int").alias("a"), F.lit(2.0).alias("b"))
+    assert models.thresholds(rare, ("a", "b")) == [[-float("inf"), 0.5, float("inf")], [-float("inf"), 0.0, float("inf")]]
+
+
+def test_forest_on_points_keeps_no_draw_per_row(spark, rows):
+    """Fifty copies of every row: the same trees' splits, and no more points cached than of one copy."""
+    many = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(50))))
+    one, fifty = (models.train_forest(r, trees=5) for r in (rows, many))
+    assert [s.getOutputCols() for s in (one.stages[0], fifty.stages[0])] == [[models.BIN + f for f in models.FEATURES]] * 2
+    error = [models.predict(rows, m).agg(F.avg(F.abs(F.col("units_sold") - F.col("prediction")))).first()[0] for m in (one, fifty)]
+    mean = rows.select(F.abs(F.col("units_sold") - F.avg("units_sold").over(Window.partitionBy())).alias("e")).agg(F.avg("e")).first()[0]
+    assert max(error) < mean / 2 and "_bin_current_price" not in models.predict(rows, one).columns
