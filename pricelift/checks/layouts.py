@@ -27,6 +27,12 @@ def _served(spark, sf):
     return joins.point_lookup(asked, spark.table(name))
 
 
+def _write_lines(lines, schema, path):
+    """The lines as they are, every file beginning with the names of its columns; each task writes its own file."""
+    # a separator that no line has, so that a line is one value and stays unquoted
+    lines.select(F.col("line").alias(",".join(schema.names))).write.options(header=True, sep="\u0001").csv(path)
+
+
 def _checked(spark, sf):
     """Sales as text lines, some torn and some with a word for a number: what is read, and what is turned away."""
     fields = [F.col(c).cast("string") for c in ("product_id", "date", "units_sold", "current_price")]
@@ -35,10 +41,7 @@ def _checked(spark, sf):
         F.when(F.col("product_id") % 17 == 0, F.concat_ws(",", *fields[:2]))
         .when(F.col("product_id") % 13 == 0, F.concat_ws(",", *wrong)).otherwise(F.concat_ws(",", *fields)).alias("line"))
     path, schema = _shared(spark, "lines"), schemas.schema_of("product_id long, date date, units_sold long, current_price double")
-    # every file begins with the names of its columns
-    head = F.lit(",".join(schema.names)).alias("line")
-    whole = spark.range(1).select(head, F.lit(0).alias("rank")).unionByName(lines.withColumn("rank", F.lit(1)))
-    whole.repartition(1, "rank").sortWithinPartitions("rank").select("line").write.text(path)
+    _write_lines(lines, schema, path)
     checked = quarantine.read_checked(spark, path, schema)
     counts = quarantine.rejected_counts(quarantine.rejected(checked)).groupBy("column").agg(F.sum("n_records").alias("n_records"))
     read = quarantine.accepted(checked).agg(F.lit("").alias("column"), F.count(F.lit(1)).alias("n_records"))

@@ -97,3 +97,18 @@ def test_bad_records_of_json(spark, tmp_path):
     assert sorted(tuple(r.bad_columns) for r in quarantine.rejected(checked).collect()) == [("product_id",), ("record",)]
     with pytest.raises(ValueError):
         quarantine.read_checked(spark, str(source), schema, "parquet")
+
+
+def test_lines_are_written_by_every_task_each_file_with_its_header(spark, tmp_path):
+    """The lines arrive whole and unquoted, and no single task writes them all."""
+    from pricelift.checks import layouts
+    from pricelift.sources import schemas
+
+    schema = schemas.schema_of("product_id long, date date, units_sold long, current_price double")
+    lines = spark.range(4000).repartition(4).select(F.concat_ws(",", F.col("id"), F.lit("2024-01-01"), F.when(F.col("id") % 5 == 0, "many").otherwise("3"), F.lit("1.5")).alias("line"))
+    layouts._write_lines(lines, schema, str(tmp_path / "lines"))
+    files = [p.read_text().splitlines() for p in (tmp_path / "lines").glob("*.csv")]
+    assert len(files) == 4 and {f[0] for f in files} == {",".join(schema.names)}
+    assert sorted(line for f in files for line in f[1:]) == sorted(r.line for r in lines.collect())
+    checked = quarantine.read_checked(spark, str(tmp_path / "lines"), schema)
+    assert (quarantine.accepted(checked).count(), quarantine.rejected(checked).count()) == (3200, 800)
