@@ -51,11 +51,13 @@ def joint_seasonal_fit(sales: DataFrame) -> DataFrame:
     """product_id, days, terms (values of TERMS), spread: log(1 + units) of a day as a sum of effects.
 
     Units are first summed to product and day.  Rows without a product, date or units do not count, a missing
-    festival flag counts as 0.  The sums of one weekday hold what the base terms need; seven of them make the equations of a
+    festival flag counts as 0.  Days are exchanged by product once.  The sums of one weekday hold what the base terms need; seven of them make the equations of a
     product.  The ridge is on everything but the level: a product with a single day has its level only.
     """
     days = sales.filter(F.col("product_id").isNotNull() & F.col("date").isNotNull() & F.col("units_sold").isNotNull()).groupBy("product_id", "date").agg(
         F.sum("units_sold").alias("units"), F.max("festival_flag").alias("festival"))
+    # a product has few days, but its sums are many: days are exchanged, four columns each, and all sums are made where they are
+    days = days.repartition("product_id")
     n = len(BASE)
     terms = [t.alias(f"x{i}") for i, t in enumerate(base_terms(F.col("date"), F.col("festival")))]
     rows = days.filter(F.col("units") >= 0).select("product_id", F.weekday("date").alias("weekday"), F.log1p(F.col("units").cast("double")).alias("y"), *terms)

@@ -108,3 +108,12 @@ def test_joint_fit_of_all_products_equals_least_squares(spark, small):
         np.testing.assert_allclose(got[product], ridge_fit(days), rtol=1e-4, atol=1e-6)
     effects = seasonal.joint_effects(seasonal.joint_seasonal_fit(sales))
     assert effects.count() == len(got) * len(seasonal.TERMS) and effects.filter("effect is null").count() == 0
+
+
+def test_joint_fit_exchanges_days_and_no_sums(spark, small):
+    """The sums of a product are wider than its days; they are made behind one exchange by product."""
+    fit = seasonal.joint_seasonal_fit(td.sales(spark, small))
+    fit.collect()
+    plan = fit._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "REPARTITION_BY_COL" in plan and "hashpartitioning(product_id#" in plan
+    assert "weekday" not in "".join(line for line in plan.splitlines() if "hashpartitioning" in line)
