@@ -20,8 +20,10 @@ def build_master(
     Sales are exchanged on product_id once: the rolling windows, the product total, the
     weekend and festival ratios and every dimension join reuse that partitioning and its
     sort.  A product has one row per day at most, so no task can be overrun.  Joining
-    ``optimal`` by product_name is possible but refused when names repeat.
+    ``optimal`` by product_name is possible but refused when names repeat.  The dimensions grow with the
+    products and meet sales where they lie; none is gathered by the driver, whatever the size of its files.
     """
+    catalog, elasticity, optimal = (t.hint("merge") for t in (catalog, elasticity, optimal))
     master = features.rolling_features(sales)
     master = features.with_total(master)
     master = features.with_conditional_ratio(master, "is_weekend", "units_sold", "weekend_demand_boost")
@@ -31,7 +33,7 @@ def build_master(
     master = join_dim(master, catalog, "product_id", "_cat")
     master = join_dim(master, elasticity, "product_id", "_elas")
     master = join_dim(master, optimal, optimal_key, "_opt", require_unique=optimal_key != "product_id")
-    master = join_dim(master, features.forecast_summary(forecast), "product_id")
+    master = join_dim(master, features.forecast_summary(forecast).hint("merge"), "product_id")
     return features.business_features(master)
 
 
@@ -56,7 +58,7 @@ def build_master_busy(
         parts.append(rename_collisions(taken, table, "product_id", suffix))
         taken += parts[-1].columns
     # the figures have a row for every product in sales, so left joins lose nothing
-    product = reduce(lambda left, right: left.join(right, "product_id", "left"), parts)
+    product = reduce(lambda left, right: left.join(right.hint("merge"), "product_id", "left"), parts)
     laid_out = product.join(F.broadcast(months), F.col("product_id").eqNullSafe(F.col("_product")), "left")
     by_month = laid_out.withColumn(features.CHUNK, F.coalesce("_month", F.lit(features.UNDIVIDED))).drop("_product", "_month")
     joined = rolled.join(by_month, ["product_id", features.CHUNK], "left").drop(features.CHUNK)

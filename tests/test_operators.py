@@ -570,6 +570,14 @@ def test_busy_master_copies_product_columns_for_busy_products_only(spark, small,
     assert got == want and len(got) == sales.count()
 
 
+@pytest.mark.parametrize("key", ["product_lookup", "product_lookup_levels", "build_master"])
+def test_no_table_of_products_is_gathered_by_the_driver(spark, small, key):
+    """The files of these tables are small enough to broadcast; their rows grow with the products."""
+    from pricelift.checks.registry import all_checks
+
+    assert "Broadcast" not in all_checks()[key].run(spark, small)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pricing_needs_no_shuffle(spark, small):
     assert "Exchange" not in executed(pricing.price_products(td.lookup_edge(spark, small)))
 
