@@ -5,7 +5,7 @@ import math
 import pytest
 
 from pricelift.checks import inputs as x
-from pricelift.operators import features
+from pricelift.operators import features, forecast
 from pricelift.sources import testdata as td
 
 
@@ -31,3 +31,12 @@ def test_weekly_features_and_elasticity_stay_where_the_days_are(spark, small, sm
     assert len(hash_exchanges(features.weekly_features(x.weekly(spark, small)))) == len(hash_exchanges(sales))
     # the catalog alone comes to them
     assert len(hash_exchanges(x.elasticity(spark, small))) <= len(hash_exchanges(sales)) + 1
+
+
+def test_seasonal_indices_and_forecast_stay_where_the_days_are(spark, small, small_tasks):
+    sales = td.sales(spark, small, by_product=True)
+    index = forecast.seasonal_index(sales)
+    factor = forecast.seasonal_factor(forecast.seasonal_forecast(index, x.FORECAST_START))
+    assert len(hash_exchanges(index)) == len(hash_exchanges(factor)) == len(hash_exchanges(sales))
+    # rows that lie anyhow give the same
+    assert sorted(map(str, index.collect())) == sorted(map(str, forecast.seasonal_index(td.sales(spark, small)).collect()))
