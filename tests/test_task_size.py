@@ -5,6 +5,8 @@ import math
 import pytest
 
 from pricelift.checks import inputs as x
+from pricelift.checks.base import comparable
+from pricelift.checks.registry import all_checks
 from pricelift.operators import features, forecast
 from pricelift.sources import testdata as td
 
@@ -17,6 +19,7 @@ def hash_exchanges(df):
 @pytest.fixture
 def small_tasks(monkeypatch):
     monkeypatch.setattr(features, "ROWS_PER_TASK", 300)
+    monkeypatch.setattr(features, "MANY_ROWS", 1000)
 
 
 def test_parts_grow_with_the_rows_whatever_their_packed_size(spark, small, small_tasks):
@@ -40,3 +43,26 @@ def test_seasonal_indices_and_forecast_stay_where_the_days_are(spark, small, sma
     assert len(hash_exchanges(index)) == len(hash_exchanges(factor)) == len(hash_exchanges(sales))
     # rows that lie anyhow give the same
     assert sorted(map(str, index.collect())) == sorted(map(str, forecast.seasonal_index(td.sales(spark, small)).collect()))
+
+
+def test_few_rows_take_no_tasks_of_their_own(spark, small):
+    """Numbered parts are not put together again; a wide plan over few rows would begin each of them."""
+    plan = td.sales(spark, small, by_product=True)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" not in plan
+
+
+def test_code_of_the_wide_table_is_short_enough_to_be_compiled(spark, small):
+    """HotSpot leaves methods of more than 8,000 bytes uncompiled: the last step of 76 columns then takes twice as long."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = all_checks()["build_master"].run(spark, small)._jdf.queryExecution().debug().codegenToSeq()
+        assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_minus_zero_is_shown_as_zero_and_all_else_as_it_is(spark):
+    values = [-0.0, 0.0, -1e-320, float("inf"), None]
+    shown = [r.v for r in comparable(spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)).collect()]
+    assert list(map(str, shown)) == ["0.0", "0.0", "-1e-320", "inf", "None"]
