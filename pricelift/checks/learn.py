@@ -12,8 +12,8 @@ from . import inputs as x
 from .base import Check
 from ..functions import retail
 from ..operators import comparison, features, metrics, models
-from ..session import ensure_checkpoint_dir
 from ..sources import testdata as td
+from ..sources.tables import written_once
 
 
 def _test(spark, sf):
@@ -36,9 +36,9 @@ def _report(spark, sf):
 
 
 def model_rows(spark, sf):
-    """Sales with the six model features."""
-    sales = td.sales(spark, sf)
-    category = x.lerner(spark, sf).select("product_id", "price_sensitivity_category")
+    """Sales with the six model features; sales and elasticity lie by product, in parts of the same number."""
+    sales = td.sales(spark, sf, by_product=True)
+    category = x.lerner(spark, sf).select("product_id", "price_sensitivity_category").hint("merge")
     return sales.join(category, "product_id", "left").select(
         "product_id", "product_name", "date", "units_sold", "base_price", "current_price", "cost_price", "inventory_ratio",
         retail.price_to_cost("current_price", "cost_price").alias("price_to_cost_ratio"),
@@ -47,31 +47,28 @@ def model_rows(spark, sf):
     )
 
 
-def _split_rows(spark, sf):
-    rows = model_rows(spark, sf)
+def _split(rows):
     return rows.filter(F.col("date") < x.SPLIT_DATE), rows.filter(F.col("date") >= x.SPLIT_DATE)
 
 
 _FITTED: dict[tuple[str, str, str], PipelineModel] = {}
 
 
-def _both(spark, sf, learners=("boosted", "forest")):
+def _both(spark, sf, learners=("boosted", "forest"), rows=None):
     """Models with the pipeline's parameters; queries of one application that need the same one train it once.
 
-    The training rows are made once for all readings of all learners."""
+    ``rows`` are written model rows; without them those that training needs are written here, once for all readings of all learners."""
     app = spark.sparkContext.applicationId
     missing = [learner for learner in learners if (app, sf, learner) not in _FITTED]
     if missing:
-        ensure_checkpoint_dir(spark)
-        rows = models.training_rows_with(model_rows(spark, sf), ("date",)).checkpoint()
-        train, test = rows.filter(F.col("date") < x.SPLIT_DATE), rows.filter(F.col("date") >= x.SPLIT_DATE)
+        train, test = _split(written_once(models.training_rows_with(model_rows(spark, sf), ("date",))) if rows is None else rows)
         for learner in missing:
             _FITTED[app, sf, learner] = models.train_demand(train, test) if learner == "boosted" else models.train_forest(train)
     return {learner: _FITTED[app, sf, learner] for learner in learners}
 
 
-def _fitted(spark, sf, learner):
-    return _both(spark, sf, (learner,))[learner]
+def _fitted(spark, sf, learner, rows=None):
+    return _both(spark, sf, (learner,), rows)[learner]
 
 
 def _facts(scored):
@@ -93,31 +90,34 @@ def _compared(spark, sf):
 
 def _metrics(spark, sf):
     """Errors of both models on the newer rows, trained with the pipeline's parameters, beside the naive forecast's."""
-    train, test = _split_rows(spark, sf)
+    rows = written_once(model_rows(spark, sf))
+    train, test = _split(rows)
     naive = metrics.naive_forecast(train, test)
-    rows = [metrics.regression_metrics(naive, "units_sold", "naive_pred").withColumns({"learner": F.lit("naive"), "trees": F.lit(None).cast("int")})]
-    for name, model in _both(spark, sf).items():
+    compared = [metrics.regression_metrics(naive, "units_sold", "naive_pred").withColumns({"learner": F.lit("naive"), "trees": F.lit(None).cast("int")})]
+    for name, model in _both(spark, sf, rows=rows).items():
         errors = metrics.regression_metrics(models.predict(naive, model), "units_sold", "prediction")
-        rows.append(errors.withColumns({"learner": F.lit(name), "trees": F.lit(comparison.iterations(model))}))
-    return reduce(DataFrame.unionByName, rows)
+        compared.append(errors.withColumns({"learner": F.lit(name), "trees": F.lit(comparison.iterations(model))}))
+    return reduce(DataFrame.unionByName, compared)
 
 
 def _importances(spark, sf):
     return comparison.compared_importances(spark, _both(spark, sf))
 
 
-def _baseline_values(spark, sf):
-    model = _fitted(spark, sf, "boosted")
-    lookup = features.product_lookup(model_rows(spark, sf).drop("date", "product_name"))
-    return models.predict_baseline(lookup, model).select("product_id", "base_price", "baseline_demand")
+def _at_base(spark, sf):
+    """The lookup scored at its base prices; model and lookup read the same written rows."""
+    rows = written_once(model_rows(spark, sf).drop("product_name"))
+    model = _fitted(spark, sf, "boosted", rows)
+    return models.predict_baseline(features.product_lookup(rows.drop("date")), model)
 
 
-def _train_demand(spark, sf):
-    return _facts(models.predict(_split_rows(spark, sf)[1], _fitted(spark, sf, "boosted")))
+def _baseline_values(spark, sf):
+    return _at_base(spark, sf).select("product_id", "base_price", "baseline_demand")
 
 
-def _train_forest(spark, sf):
-    return _facts(models.predict(_split_rows(spark, sf)[1], _fitted(spark, sf, "forest")))
+def _scored(spark, sf, learner):
+    rows = written_once(model_rows(spark, sf))
+    return _facts(models.predict(_split(rows)[1], _fitted(spark, sf, learner, rows)))
 
 
 def _importance(spark, sf):
@@ -128,9 +128,7 @@ def _importance(spark, sf):
 
 
 def _baseline(spark, sf):
-    model = _fitted(spark, sf, "boosted")
-    lookup = features.product_lookup(model_rows(spark, sf).drop("date", "product_name"))
-    return models.predict_baseline(lookup, model).select("product_id", "base_price", (F.col("baseline_demand") >= 0).alias("not_negative"))
+    return _at_base(spark, sf).select("product_id", "base_price", (F.col("baseline_demand") >= 0).alias("not_negative"))
 
 
 _ERRORS = """count(*) as n_rows, avg(abs(units_sold - prediction)) as mae, sqrt(avg((units_sold - prediction) ** 2)) as rmse,
@@ -162,7 +160,7 @@ CHECKS = [
         doubles="test_mape train_mape naive_mape beats_naive_by p25 p50 p75 max"),
     *[Check(key, plan, f"""
         select count(*) as n_rows, count(*) as scored_rows, 1 as in_range, 1 as rmse_bounds_mae
-        from sales where date >= date '{x.SPLIT_DATE}'""") for key, plan in (("train_demand", _train_demand), ("train_forest", _train_forest))],
+        from sales where date >= date '{x.SPLIT_DATE}'""") for key, plan in (("train_demand", lambda s, d: _scored(s, d, "boosted")), ("train_forest", lambda s, d: _scored(s, d, "forest")))],
     Check("feature_importance", _importance, f"""
         select feature, 1 as is_share, cast(1 as double) as total
         from (values {", ".join(f"('{name}')" for name in models.FEATURES)}) as f(feature)""", doubles="total"),

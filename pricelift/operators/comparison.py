@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import metrics, models
-from ..session import ensure_checkpoint_dir
+from ..sources.tables import written_once
 
 #: Share of the rows that the first origin has behind it, and of a training set that tells when boosting stops.
 FIRST_SHARE, STOP_SHARE = 0.55, 0.15
@@ -50,8 +50,7 @@ def compare_models(rows: DataFrame, folds: int = 3, max_trees: int = 500, forest
     judgement is a Spark job over all rows of its days.  The rows are made once for all of them.
     """
     spark = rows.sparkSession
-    ensure_checkpoint_dir(spark)
-    rows = models.training_rows_with(rows, ("product_id", "date")).checkpoint()
+    rows = written_once(models.training_rows_with(rows, ("product_id", "date")))
     out = []
     for fold, (cut, end) in enumerate(origins(rows, folds)):
         train, test = rows.filter(F.col("date") < F.lit(cut)), rows.filter(F.col("date") >= F.lit(cut))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -9,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 CSV_OPTIONS = {
     "header": "true", "positiveInf": "inf", "negativeInf": "-inf", "nanValue": "nan",
     "mode": "PERMISSIVE",
@@ -59,6 +62,18 @@ def write_table(
     writer.save(path)
 
 
+def written_once(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """The rows of ``df``, made once and written below the shared checkpoint folder.
+
+    A checkpoint is read whole, in as many tasks as made it; of these files a later reading takes only the columns and parts that
+    it names, in tasks as large as the session wants them.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def require_inputs(spark: SparkSession, paths: Sequence[str]) -> None:
     missing = [path for path in paths if not path_exists(spark, path)]
     if missing:
