@@ -1,12 +1,16 @@
 """Queries that read their rows several times make them once and read what was written."""
 
 import math
+import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from oracle import connect, difference
 from pricelift.checks.registry import all_checks
 from pricelift.operators import models
+from pricelift.sources import testdata as td
 from pricelift.sources.tables import written_once
 
 
@@ -17,6 +21,26 @@ def test_the_lookup_reads_the_rows_that_the_model_was_trained_on(spark, small, k
     assert files and all("/rows-" in f for f in files)
 
 
+def test_states_read_the_sales_that_were_written(spark, small):
+    """The sales were made anew for every part and counted column."""
+    files = all_checks()["lookup_states"].run(spark, small).inputFiles()
+    assert files and all("/rows-" in f for f in files)
+
+
+def test_rows_without_a_date_are_in_a_part(spark, small, tmp_path):
+    """They were in none of the three parts."""
+    for name in os.listdir(small):
+        if name != "lineitem.parquet":
+            os.symlink(f"{small}/{name}", tmp_path / name)
+    duckdb.connect().execute(
+        f"copy (select * replace (case when l_partkey % 3 > 0 or l_linenumber > 1 then l_shipdate end as l_shipdate) from '{small}/lineitem.parquet')"
+        f" to '{tmp_path}/lineitem.parquet' (format parquet)")
+    assert td.sales(spark, str(tmp_path)).filter("date is null").count() > 0
+    check, con = all_checks()["lookup_states"], connect(str(tmp_path))
+    assert difference(check.run(spark, str(tmp_path)), con, check.oracle()) is None
+    con.close()
+
+
 def test_written_rows_are_the_same_and_read_by_column_and_part(spark):
     df = spark.range(100).select("id", (F.col("id") % 7 / 0.0001).alias("v"), F.when(F.col("id") % 3 > 0, F.lit("x")).alias("t"), (F.col("id") % 2).alias("part"))
     kept = written_once(df, ("part",))
