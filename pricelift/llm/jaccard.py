@@ -6,9 +6,9 @@
 2. In a partition, sets are the leaves of a signature tree: each node holds the OR of the bitmaps below
    and the range of set sizes.  A dual traversal from the roots drops node pairs whose largest possible
    overlap cannot reach the threshold, and node pairs already known to be one component.
-3. Large partitions are traversed with bitmaps alone first, cell against cell, which splits them into finer
-   ones; then, with the sets, pairs that reach the leaves are compared exactly, and those that link are
-   edges of the components.
+3. Passages that many texts share chain unrelated sets to partitions that grow with the table.  In a large one only
+   the sets of one key are compared, with bitmaps alone first, which splits it into finer ones; then, with the
+   sets, pairs that reach the leaves are compared exactly, and those that link are edges of the components.
 """
 
 from __future__ import annotations
@@ -159,13 +159,14 @@ def from_planes(data: bytes) -> np.ndarray:
 
 
 def _firsts(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with their smallest nodes, and edges from the other nodes of a key to that one."""
+    """Distinct keys with their smallest nodes, and edges (other node, that one, key) from the other nodes of a key."""
     order = np.lexsort((node, key))
     key, node = key[order], node[order]
     new = np.concatenate([[True], key[1:] != key[:-1]])
     first = node[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    other = node != first
-    return key[new], node[new], np.unique(np.stack([node[other], first[other]], axis=1), axis=0)
+    # a node comes after itself where it has a key twice
+    other = (node != first) & np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
+    return key[new], node[new], np.stack([node[other], first[other], key[other].view(np.int64)], axis=1)
 
 
 def dealt(first: int, n: int) -> np.ndarray:
@@ -176,7 +177,7 @@ def dealt(first: int, n: int) -> np.ndarray:
 def _edge_rows(edges: np.ndarray) -> Iterator[pa.RecordBatch]:
     for at in range(0, len(edges), 100_000):
         part = edges[at : at + 100_000]
-        yield _rows(p=dealt(at, len(part)), a=part[:, 0], b=part[:, 1])
+        yield _rows(p=dealt(at, len(part)), a=part[:, 0], b=part[:, 1], d=part[:, 2])
 
 
 def _combined(keys: list[np.ndarray], nodes: list[int], parts: int) -> Iterator[pa.RecordBatch]:
@@ -194,7 +195,7 @@ def _combined(keys: list[np.ndarray], nodes: list[int], parts: int) -> Iterator[
 
 def signatures(docs: DataFrame, size: int, percent: int, parts: int) -> DataFrame:
     """Rows of three kinds: documents (a = doc_id, b = set size, c and d = digest of the set, nodes = its bitmap, mark = digest of the
-    text), blocks of keys with their nodes, and edges (a, b) between nodes of one task that share a key.  Only distinct keys of a
+    text), blocks of keys with their nodes, and edges (a, b) between nodes of one task that share a key, d.  Only distinct keys of a
     task leave it, in ``parts`` ranges of keys.  A node is the first half of the digest of a set, so texts are told apart by
     what they hold, whatever their doc_id."""
 
@@ -238,7 +239,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """Documents (a, b, c, d, nodes, mark) and edges (a, b) of ``signatures``, with edges for keys that several tasks hold.
+    """Documents (a, b, c, d, nodes, mark) and edges (a, b, d) of ``signatures``, with edges for keys that several tasks hold.
 
     A key comes from a task once, so no key has more entries than there are tasks.  Of a range of
     keys all blocks are held at once; the ranges are many times as many as the partitions.
@@ -379,6 +380,13 @@ def possible_pairs(words: list[np.ndarray], sizes: list[int], first: int | None,
         return []
     bits = 64 * min(map(len, words))
     matrix = np.array([w if 64 * len(w) == bits else folded(w, bits) for w in words])
+    if first is None and len(words) <= FAN:
+        # most keys have few sets, for which a tree takes longer than all pairs
+        n = np.array(sizes)
+        common = np.bitwise_count(matrix[:, None] & matrix).sum(axis=2, dtype=np.int64)
+        slack = n - common.diagonal()
+        overlap = np.minimum(common + np.minimum(slack[:, None], slack), np.minimum(n[:, None], n))
+        return [(x, y) for x, y in np.argwhere(overlap * (100 + percent) >= percent * (n[:, None] + n)).tolist() if x < y]
     return traversed(matrix, np.array(sizes), matrix[:, 0], first, percent, None)[0]
 
 
@@ -564,6 +572,19 @@ def assigned(members: DataFrame, percent: int) -> DataFrame:
     return placed.select(*columns, whole.alias("whole"), F.when(whole, single).otherwise(spread).alias("tasks"))
 
 
+def sharing(edges: DataFrame, large: DataFrame) -> DataFrame:
+    """(node, n, part) of the sets (c, node, n) of ``large``: once for every key, the part, that they share with another of them.
+
+    Linked sets share a key.  Near copies share most of theirs; of keys with the same sets (told by their number and 128 bits of hashes)
+    one is kept."""
+    held = edges.select(F.col("d").alias("key"), F.explode(F.array("a", "b")).alias("c")).distinct()
+    own = stored(held.join(large.select("c", "node", "n"), "c").select("key", "node", "n"), "held")
+    lists = own.groupBy("key").agg(
+        F.count("*").alias("sets"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).filter("sets > 1")
+    chosen = lists.groupBy("sets", "x", "y").agg(F.min("key").alias("key")).select("key")
+    return own.join(chosen, "key").select("node", "n", F.col("key").alias("part"))
+
+
 def components_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(doc_id, mark, n_shingles, head) of every row: ``head`` is the row (none, doc_id, mark) that stands for its component.
 
@@ -580,15 +601,18 @@ def components_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
     # written, so that the numbers of the sets stay and the last join exchanges both of its sides: a set with very many
     # copies can then be split
     sets = stored(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
-    parts = connected_components(rows.filter("c is null").select("a", "b"), "partitions")
+    edges = rows.filter("c is null")
+    parts = connected_components(edges.select("a", "b"), "partitions")
     parts = parts.select(F.col("node").alias("c"), F.col("component").alias("part"))
-    members = sets.join(parts, "c").select("node", "n", "bits", "part")
+    members = sets.join(parts, "c").select("c", "node", "n", "part")
     cells = stored(assigned(members, percent), "cells")
-    # partitions of more than one cell are looked at by bitmaps alone first: passages that many texts share join
+    # partitions of more than one cell are looked at key by key and by bitmaps alone first: passages that many texts share join
     # unrelated ones, and what a bitmap already rules out needs no set to be sent
-    large = cells.filter("not whole").select("node", "n", F.col("bits").alias("data"), F.explode("tasks").alias("t")).select("t.task", "t.side", "node", "n", "data")
-    finer = connected_components(stored(task_edges(large, percent, False), "candidates"), "finer")
-    again = cells.filter("not whole").select("node", "n").join(finer, "node").select("node", "n", F.col("component").alias("part"))
+    large = cells.filter("not whole").select("c", "node", "n")
+    compared = assigned(sharing(edges, large), percent).select("node", F.explode("tasks").alias("t")).select("t.task", "t.side", "node")
+    bitmaps = compared.join(sets.select("node", "n", F.col("bits").alias("data")), "node")
+    finer = connected_components(stored(task_edges(bitmaps, percent, False), "candidates"), "finer")
+    again = large.select("node", "n").join(finer, "node").select("node", "n", F.col("component").alias("part"))
     tasks = assigned(cells.filter("whole").select("node", "n", "part").unionByName(again), percent).select("node", "tasks")
     tasks = stored(tasks.join(sets.select("node", "rep"), "node").select("node", "tasks", "rep"), "comparisons")
     # the members grow with the table: the join exchanges both sides at every size, and a hot text can be split
