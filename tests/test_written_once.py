@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from oracle import connect, difference
 from pricelift.checks.registry import all_checks
-from pricelift.operators import models
+from pricelift.operators import features, models
 from pricelift.sources import testdata as td
 from pricelift.sources.tables import written_once
 
@@ -60,3 +60,29 @@ def test_bins_of_features_with_few_more_and_many_values(spark):
     ends = (-math.inf, math.inf)
     assert got["few"] == [ends[0], 0.5, 1.5, ends[1]] and got["none"] == [ends[0], 0.0, ends[1]]
     assert got["more"] == [ends[0], *sorted(set(want.more)), ends[1]] and got["many"] == [ends[0], *sorted(set(want.many)), ends[1]]
+
+
+@pytest.mark.parametrize("key", ["product_lookup", "product_lookup_levels", "build_master", "build_master_busy"])
+@pytest.mark.parametrize("many", [False, True])
+def test_the_wide_table_is_made_from_sales_that_were_written(spark, small, monkeypatch, key, many):
+    """Sales were made anew for each of the tables that are derived from them, and all of these twice for the lookup."""
+    if many:
+        monkeypatch.setattr(features, "ROWS_PER_TASK", 300)
+        monkeypatch.setattr(features, "MANY_ROWS", 1000)
+    check, con = all_checks()[key], connect(small)
+    got = check.run(spark, small)
+    assert not [f for f in got.inputFiles() if f.endswith("lineitem.parquet")] and any("/rows" in f for f in got.inputFiles())
+    assert difference(got, con, check.oracle()) is None
+    con.close()
+
+
+def test_many_rows_are_read_by_product_where_they_lie(spark, monkeypatch):
+    df = spark.range(3000).select((F.col("id") % 70).alias("product_id"), F.col("id").alias("v"))
+    monkeypatch.setattr(features, "ROWS_PER_TASK", 300)
+    for many in (False, True):
+        monkeypatch.setattr(features, "MANY_ROWS", 1000 if many else 10_000)
+        kept = features.kept_by(features.lay_out(df, 3000), 3000)
+        sums = kept.groupBy("product_id").agg(F.sum("v"))
+        assert ("Exchange" in sums._jdf.queryExecution().executedPlan().toString()) is not many
+        assert sorted(kept.collect()) == sorted(df.collect()) and kept.schema.names == df.schema.names
+        assert not many or len(kept.inputFiles()) <= 10
