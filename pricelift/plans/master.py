@@ -47,11 +47,13 @@ def build_master_busy(
     ``busy_rows`` rows by month, where the windows run with the rows before the month, any other whole.  The product
     tables, joined with each other, are laid out per month for the busy products alone, so no other product's columns are
     copied, and meet sales under the same partitioning.  Tails, totals and months are read from sales apart, a few
-    columns each, and combine map-side.
+    columns each, and combine map-side.  Whether any product is busy is counted first: if none is, there is nothing to split, and sales that
+    lie by product are not exchanged at all.
     """
     months = features.busy_months(sales, busy_rows)
+    busy = not months.isEmpty()
     chunked = features.with_busy_chunk(sales, months)
-    rolled = features.rolled_chunks(chunked, order=order, keep_chunk=True, divided=F.col(features.CHUNK) != features.UNDIVIDED)
+    rolled = features.rolled_chunks(chunked, order=order, keep_chunk=True, divided=busy and F.col(features.CHUNK) != features.UNDIVIDED)
     parts = [features.product_figures(sales)]
     taken = [*rolled.columns, *parts[0].columns]
     for table, suffix in ((catalog, "_cat"), (elasticity, "_elas"), (optimal, "_opt"), (features.forecast_summary(forecast), "")):
@@ -59,6 +61,8 @@ def build_master_busy(
         taken += parts[-1].columns
     # the figures have a row for every product in sales, so left joins lose nothing
     product = reduce(lambda left, right: left.join(right.hint("merge"), "product_id", "left"), parts)
+    if not busy:
+        return features.business_features(rolled.drop(features.CHUNK).join(product.hint("merge"), "product_id", "left"))
     laid_out = product.join(F.broadcast(months), F.col("product_id").eqNullSafe(F.col("_product")), "left")
     by_month = laid_out.withColumn(features.CHUNK, F.coalesce("_month", F.lit(features.UNDIVIDED))).drop("_product", "_month")
     joined = rolled.join(by_month, ["product_id", features.CHUNK], "left").drop(features.CHUNK)

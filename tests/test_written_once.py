@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from oracle import connect, difference
+from pricelift.checks import joins
 from pricelift.checks.registry import all_checks
 from pricelift.operators import features, models
+from pricelift.plans.master import build_master_busy
 from pricelift.sources import testdata as td
 from pricelift.sources.tables import written_once
 
@@ -86,3 +88,15 @@ def test_many_rows_are_read_by_product_where_they_lie(spark, monkeypatch):
         assert ("Exchange" in sums._jdf.queryExecution().executedPlan().toString()) is not many
         assert sorted(kept.collect()) == sorted(df.collect()) and kept.schema.names == df.schema.names
         assert not many or len(kept.inputFiles()) <= 10
+
+
+def test_no_busy_product_no_exchange_of_sales(spark, small, monkeypatch):
+    """Whole rows of sales were exchanged by product and month, though no product is split, and joined with rows that none carries over."""
+    monkeypatch.setattr(features, "ROWS_PER_TASK", 300)
+    monkeypatch.setattr(features, "MANY_ROWS", 1000)
+    plan = joins.master(spark, small, build_master_busy)._jdf.queryExecution().executedPlan().toString()
+    assert "_halo" not in plan and "Union" not in plan and not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "transaction_id" in line]
+    # the catalog alone is exchanged, and once
+    assert plan.count("Exchange hashpartitioning") <= 3
+    split = joins.master(spark, small, lambda *tables: build_master_busy(*tables, busy_rows=35))
+    assert "_halo" in split._jdf.queryExecution().executedPlan().toString() and split.columns == joins.master(spark, small, build_master_busy).columns
