@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -71,3 +72,43 @@ def test_forest_on_points_keeps_no_draw_per_row(spark, rows):
     error = [models.predict(rows, m).agg(F.avg(F.abs(F.col("units_sold") - F.col("prediction")))).first()[0] for m in (one, fifty)]
     mean = rows.select(F.abs(F.col("units_sold") - F.avg("units_sold").over(Window.partitionBy())).alias("e")).agg(F.avg("e")).first()[0]
     assert max(error) < mean / 2 and "_bin_current_price" not in models.predict(rows, one).columns
+
+
+class Asked(Transformer):
+    """Says which bin of the price a row is in, and counts the rows it is asked for."""
+
+    def __init__(self, counter):
+        super().__init__()
+        self.counter = counter
+
+    def _transform(self, df):
+        counter = self.counter
+
+        @F.udf("double")
+        def say(price):
+            counter.add(1)
+            return price
+
+        return df.withColumn("prediction", say(models.BIN + "current_price"))
+
+
+def test_a_model_is_asked_once_for_every_cell(spark, rows):
+    """It was asked for every row, 500 trees each."""
+    stages = models.binning(rows, models.FEATURES)
+    many = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(20))))
+    cells = stages[0].transform(rows).select([models.BIN + f for f in models.FEATURES]).distinct().count()
+    asked = spark.sparkContext.accumulator(0)
+    got = models.predict(many, PipelineModel([*stages, Asked(asked)]), "said")
+    assert got.columns == [*many.columns, "said"] and got.agg(F.sum("said")).first()[0] == 20 * stages[0].transform(rows).agg(F.sum("_bin_current_price")).first()[0]
+    assert 0 < asked.value <= cells
+    model = models.train_forest(rows, trees=5)
+    key = ["product_id", "date"]
+    want = {tuple(r[c] for c in key): r.prediction for r in model.transform(rows).collect()}
+    assert {tuple(r[c] for c in key): r.prediction for r in models.predict(rows, model).collect()} == want and len(want) == rows.count()
+
+
+def test_cells_of_many_features_have_their_own_keys(spark):
+    names = [f"f{n}" for n in range(12)]
+    df = spark.createDataFrame([tuple(float(i == n) for i in range(12)) for n in range(12)] + [tuple([31.0] * 12), tuple([31.0] * 11 + [30.0])], names)
+    keys = models.cell_keys(names)
+    assert len(keys) == 2 and df.select(*keys).distinct().count() == 14
